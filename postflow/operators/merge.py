@@ -37,7 +37,7 @@ def last_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
 
 
 def deltas(rows: DataFrame, spec: MergeSpec) -> DataFrame:
-    """What a batch adds to each key: summed measures and the last stamp."""
+    """What a batch adds to each key: summed measures and the greatest stamp."""
     return (rows.dropna(subset=list(spec.keys)).groupBy(*spec.keys)
             .agg(*[F.sum(name).alias(name) for name in spec.measures],
                  F.max(spec.stamp).alias(spec.stamp))
@@ -69,7 +69,10 @@ def overwrite(target: DataFrame, source: DataFrame, spec: MergeSpec,
 
 
 def increment(target: DataFrame, source: DataFrame, spec: MergeSpec) -> DataFrame:
-    """Measures add up; the source's last stamp replaces the stored one."""
+    """Measures add up; the source's stamp replaces the stored one.
+
+    With ``latest`` the greater of the two stamps stays.
+    """
     keys = list(spec.keys)
     new = deltas(source, spec).select(
         *keys, *[F.col(name).alias(f"new_{name}") for name in (*spec.measures, spec.stamp)])
@@ -80,7 +83,9 @@ def increment(target: DataFrame, source: DataFrame, spec: MergeSpec) -> DataFram
         return F.coalesce(old + add, old, add).alias(name)
 
     values = {name: total(name) for name in spec.measures}
-    values[spec.stamp] = F.coalesce(f"new_{spec.stamp}", spec.stamp).alias(spec.stamp)
+    stamps = (f"new_{spec.stamp}", spec.stamp)
+    stamp = F.greatest(*stamps) if spec.latest else F.coalesce(*stamps)
+    values[spec.stamp] = stamp.alias(spec.stamp)
     return joined.select(*[values.get(name, F.col(name)) for name in target.columns])
 
 

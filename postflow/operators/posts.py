@@ -37,12 +37,14 @@ def message_rows(posts: DataFrame, at: Column | None = None) -> DataFrame:
     """Every message of every post as (topic, value): the post, each tag, the activity.
 
     The messages of a post leave one projection as an array, so the posts are
-    read once and not once per topic.
+    read once and not once per topic; the tags are a column of their own, so each
+    text is searched once.
     """
+    posts = posts.withColumn("_tags", hashtags("text"))
     c = F.col
     time_text = c("timestamp").cast("string")
     stamp = iso_text(F.current_timestamp() if at is None else at)
-    tags = hashtags("text")
+    tags = c("_tags")
 
     def message(topic: str, value: Column) -> Column:
         return F.struct(F.lit(topic).alias("topic"), value.alias("value"))

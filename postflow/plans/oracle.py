@@ -256,6 +256,8 @@ ORACLE = {
  UNION ALL SELECT 'user_activity', (SELECT count(*) FROM (
    SELECT DISTINCT username, timestamp FROM posts)), (SELECT CAST(sum(likes) AS BIGINT) FROM posts)
  """),
+    "stream_shared_hashtags": _with(HASHTAG_WINDOWS, STORED_HASHTAGS),
+    "stream_shared_users": _with(USER_WINDOWS, STORED_USERS),
     "stream_batch_parity": _with(USER_WINDOWS, """SELECT count(*) AS left_rows,
  count(*) AS right_rows, CAST(0 AS BIGINT) AS only_left, CAST(0 AS BIGINT) AS only_right
  FROM uw"""),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -281,8 +282,7 @@ def user_results(posts: DataFrame) -> DataFrame:
 
 
 def as_policy(name: str, policy: str) -> MergeSpec:
-    spec = MERGES[name]
-    return MergeSpec(spec.keys, policy, spec.measures, spec.stamp, spec.day_of)
+    return replace(MERGES[name], policy=policy)
 
 
 def merge_insert_ignore(spark, sf):
@@ -499,6 +499,24 @@ def stream_loads(spark, sf):
                   for name, policy, _, _ in jobs.LOADS.values()})
 
 
+def run_shared(spark, sf) -> str:
+    root = new_folder(spark, "tables")
+    jobs.finish([jobs.start_shared(spark, root, replay(spark, topic_files(spark, sf)), NOW)])
+    return root
+
+
+def stream_shared_hashtags(spark, sf):
+    table = EpochTable.named(spark, run_shared(spark, sf), "hashtag_counts", "increment",
+                             latest=True)
+    return without_zone(table.current())
+
+
+def stream_shared_users(spark, sf):
+    table = EpochTable.named(spark, run_shared(spark, sf), "user_activity", "increment",
+                             latest=True)
+    return without_zone(table.current())
+
+
 def stream_batch_parity(spark, sf):
     """The same aggregate as a stream and as a batch, compared row by row."""
     return matching.parity(stream_complete_users(spark, sf), user_results(posts_of(spark, sf)))
@@ -519,5 +537,6 @@ QUERIES = {query.__name__: query for query in (
     stream_complete_hashtags_direct, stream_complete_users_direct,
     stream_update_merge_hashtags, stream_update_merge_users,
     stream_increment_hashtags, stream_increment_users, stream_republish,
-    stream_analysis, stream_loads, stream_batch_parity,
+    stream_analysis, stream_loads, stream_shared_hashtags, stream_shared_users,
+    stream_batch_parity,
 )}

@@ -90,7 +90,8 @@ class MergeSpec:
     """How rows that meet on ``keys`` combine.
 
     ``policy`` is ``ignore`` (first row stays), ``overwrite`` (last row stays)
-    or ``increment`` (``measures`` add up, ``stamp`` is the last one).
+    or ``increment`` (``measures`` add up; ``stamp`` is the last one, or with
+    ``latest`` the greatest one whatever the order of arrival).
     ``day_of`` names the key column whose date partitions the stored table.
     """
 
@@ -99,6 +100,7 @@ class MergeSpec:
     measures: tuple[str, ...] = ()
     stamp: str | None = None
     day_of: str | None = None
+    latest: bool = False
 
 
 # One policy per table. Routing is by table name.

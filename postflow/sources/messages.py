@@ -43,11 +43,13 @@ def parse(rows: DataFrame, topic: str) -> DataFrame:
     """Payload fields as flat columns beside the ``raw`` text.
 
     Text that is not JSON, or a field of the wrong type, gives nulls;
-    ``accepted`` and ``rejected`` then part the rows.
+    ``accepted`` and ``rejected`` then part the rows. The struct is opened with
+    ``inline``: a filter does not move below it, where each tested field would
+    parse the text once more.
     """
-    raw = F.col("value").cast("string")
-    return (rows.select(raw.alias("raw"), F.from_json(raw, MESSAGES[topic]).alias("m"))
-            .select("raw", "m.*")
+    payload = F.from_json("raw", MESSAGES[topic])
+    return (rows.select(F.col("value").cast("string").alias("raw"))
+            .select("raw", F.inline(F.array(payload)))
             .withColumn("timestamp", event_time("timestamp")))
 
 

@@ -48,6 +48,10 @@ def table_sink(table: EpochTable, order: tuple[str, ...] = (),
     return save
 
 
+def rejects_folder(root: str, topic: str) -> str:
+    return f"{root.rstrip('/')}/rejects/topic={topic}"
+
+
 def load_sink(table: EpochTable, topic: str, rejects: str, shape: Callable[[DataFrame], DataFrame],
               order: tuple[str, ...] = ()) -> Save:
     """Merges the good records of a topic and keeps the others under ``rejects``."""
@@ -65,6 +69,34 @@ def load_sink(table: EpochTable, topic: str, rejects: str, shape: Callable[[Data
     return save
 
 
+def shared_sink(spark: SparkSession, root: str) -> Save:
+    """Posts of one micro-batch into all three tables, from one reading.
+
+    Window counts add up over batches, so each batch's windows are merged as
+    increments: no state is held between batches and no row is too late.
+    """
+    tweets = EpochTable.named(spark, root, "tweets")
+    counts = EpochTable.named(spark, root, "hashtag_counts", "increment", latest=True)
+    users = EpochTable.named(spark, root, "user_activity", "increment", latest=True)
+    rejects = rejects_folder(root, TWEETS_TOPIC)
+
+    def save(parsed: DataFrame, epoch: int) -> None:
+        parsed = parsed.persist()
+        try:
+            if parsed.isEmpty():
+                return
+            bad = rejected(parsed, TWEETS_TOPIC)
+            bad.write.mode("overwrite").parquet(f"{rejects}/epoch={epoch}")
+            posts = accepted(parsed, TWEETS_TOPIC)
+            tweets.write(posts, epoch, ("timestamp",))
+            counts.write(windowed_hashtags(hashtag_rows(posts)), epoch)
+            users.write(windowed_posts(posts), epoch)
+        finally:
+            parsed.unpersist()
+
+    return save
+
+
 def message_writer(fmt: str = "kafka", **options: str) -> Callable[[DataFrame], None]:
     """Writes (topic, value) rows; file formats get one folder per topic."""
 
@@ -95,10 +127,6 @@ def start_merge(rows: DataFrame, table: EpochTable, mode: str = "append",
     return start(rows, table_sink(table, **sink), table.checkpoint, mode, trigger, name)
 
 
-def rejects_folder(root: str, topic: str) -> str:
-    return f"{root.rstrip('/')}/rejects/topic={topic}"
-
-
 def good(source: Source, topic: str) -> DataFrame:
     return accepted(parse(source(topic), topic), topic)
 
@@ -148,6 +176,13 @@ def start_analysis(spark: SparkSession, root: str, source: Source, mode: str = "
     return queries
 
 
+def start_shared(spark: SparkSession, root: str, source: Source,
+                 trigger: dict | None = None) -> StreamingQuery:
+    """Raw posts, tag windows and user windows from one query over the post topic."""
+    return start(parse(source(TWEETS_TOPIC), TWEETS_TOPIC), shared_sink(spark, root),
+                 f"{root.rstrip('/')}/_checkpoint", trigger=trigger, name="shared")
+
+
 LOADS = {
     TWEETS_TOPIC: ("tweets", "ignore", lambda rows: rows, ("timestamp",)),
     HASHTAGS_TOPIC: ("hashtag_counts", "increment", tag_shape, ()),

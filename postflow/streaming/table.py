@@ -14,6 +14,9 @@ without new rows are read as they are, without a shuffle.
 
 from __future__ import annotations
 
+from dataclasses import replace
+from datetime import date
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,44 +50,51 @@ class EpochTable:
     @classmethod
     def named(cls, spark: SparkSession, root: str, name: str,
               policy: str | None = None, folder: str | None = None,
-              complete: bool = False) -> EpochTable:
+              complete: bool = False, latest: bool = False) -> EpochTable:
         """The table ``name`` under ``root``, with its declared schema and merge rule."""
         spec = MERGES[name]
         if policy is not None:
-            spec = MergeSpec(spec.keys, policy, spec.measures, spec.stamp, spec.day_of)
+            spec = replace(spec, policy=policy, latest=latest)
         return cls(spark, f"{root.rstrip('/')}/{folder or name}", TABLES[name], spec,
                    SINK_NAMES[name], complete)
 
     # Folders -----------------------------------------------------------------
 
+    def _files(self, path: str):
+        """A path and its file system, as Hadoop objects."""
+        target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return target, target.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
     def _folders(self, path: str, prefix: str) -> dict[str, str]:
         """Sub-folders ``<prefix>=<value>`` by value."""
-        target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        files = target.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        target, files = self._files(path)
         if not files.exists(target):
             return {}
         names = [status.getPath().getName() for status in files.listStatus(target)]
         return {name.split("=", 1)[1]: f"{path}/{name}"
                 for name in names if name.startswith(f"{prefix}=")}
 
-    def _epochs(self, part: str) -> dict[int, str]:
-        """Finished epochs of ``log`` or ``base``, oldest first."""
-        path_of = self.spark._jvm.org.apache.hadoop.fs.Path
+    def _epochs(self, part: str, after: int = -1) -> dict[int, str]:
+        """Finished epochs of ``log`` or ``base`` beyond ``after``, oldest first."""
         found = {}
         for value, folder in self._folders(f"{self.path}/{part}", "epoch").items():
-            mark = path_of(f"{folder}/_SUCCESS")
-            if mark.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(mark):
-                found[int(value)] = folder
+            if int(value) > after:
+                mark, files = self._files(f"{folder}/_SUCCESS")
+                if files.exists(mark):
+                    found[int(value)] = folder
         return dict(sorted(found.items()))
 
-    def _days(self, folders: list[str]) -> dict[str, list[str]]:
+    def _days(self, folders: list[str], first: date | None = None,
+              last: date | None = None) -> dict[str, list[str]]:
         """Paths by day over several epochs; one nameless day where the table has none."""
         if self.spec.day_of is None:
             return {"": folders} if folders else {}
+        low, high = str(first or date.min), str(last or date.max)
         days: dict[str, list[str]] = {}
         for folder in folders:
             for day, path in self._folders(folder, DAY).items():
-                days.setdefault(day, []).append(path)
+                if low <= day <= high:
+                    days.setdefault(day, []).append(path)
         return days
 
     def next_epoch(self) -> int:
@@ -106,25 +116,25 @@ class EpochTable:
 
         An epoch holds a key once, so ``max_by`` over the epoch has no ties.
         """
-        keys = [*self.spec.keys, DAY]
-        values = (*self.spec.measures, self.spec.stamp)
+        keys, stamp = [*self.spec.keys, DAY], self.spec.stamp
         if self.spec.policy == "overwrite":
-            folded = [F.max_by(name, "epoch").alias(name) for name in values]
+            folded = [F.max_by(name, "epoch").alias(name) for name in self.spec.measures]
         else:
             folded = [F.sum(name).alias(name) for name in self.spec.measures]
-            folded.append(F.max_by(self.spec.stamp, "epoch").alias(self.spec.stamp))
+        last = F.max(stamp) if self.spec.latest else F.max_by(stamp, "epoch")
+        folded.append(last.alias(stamp))
         return log.groupBy(*keys).agg(*folded).select(*self.schema.names, DAY)
 
-    def _plan(self, before: int | None = None):
+    def _plan(self, before: int | None = None, first: date | None = None,
+              last: date | None = None):
         """Paths to read: cold base, base that the log touches, and the log."""
         bases = {e: p for e, p in self._epochs("base").items() if before is None or e < before}
         newest = max(bases, default=-1)
         if self.complete:
             bases = {newest: bases[newest]} if bases else {}
-        log = [p for e, p in self._epochs("log").items()
-               if e > newest and (before is None or e < before)]
-        logged = self._days(log)
-        stored = self._days(list(bases.values()))
+        log = [p for e, p in self._epochs("log", newest).items() if before is None or e < before]
+        logged = self._days(log, first, last)
+        stored = self._days(list(bases.values()), first, last)
         if self.spec.day_of is not None:
             stored = {day: paths[-1:] for day, paths in stored.items()}
         cold = [p for day, paths in stored.items() if day not in logged for p in paths]
@@ -135,13 +145,16 @@ class EpochTable:
         folded = self._fold(self._read("log", log))
         if not warm:
             return folded
-        spec = MergeSpec((*self.spec.keys, DAY), self.spec.policy, self.spec.measures,
-                         self.spec.stamp)
+        spec = replace(self.spec, keys=(*self.spec.keys, DAY))
         return merge.merge(self._read("base", warm).drop("epoch"), folded, spec)
 
-    def current(self, before: int | None = None) -> DataFrame:
-        """The table after all finished epochs (those below ``before``)."""
-        cold, warm, log = self._plan(before)
+    def current(self, before: int | None = None, first: date | None = None,
+                last: date | None = None) -> DataFrame:
+        """The table after all finished epochs (those below ``before``).
+
+        ``first`` and ``last`` bound the days, so that no other day's folder is read.
+        """
+        cold, warm, log = self._plan(before, first, last)
         if self.spec.policy == "ignore":
             parts = [self._read("base", cold + warm)] if cold + warm else []
             parts += [self._read("log", log)] if log else []
@@ -161,7 +174,9 @@ class EpochTable:
         rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
         if self.spec.day_of is not None:
             # Tasks of even size that hold few days each: few files, and a day
-            # with most of the rows is still split.
+            # with most of the rows is still split. Spark turns adaptive execution,
+            # and the hint with it, off for stateful micro-batches: there the
+            # tasks of the aggregate write, and ``compact`` tidies up later.
             rows = rows.withColumn(DAY, F.to_date(self.spec.day_of)).hint("rebalance", DAY)
         writer = rows.write.mode("overwrite")
         if self.spec.day_of is not None:
@@ -185,6 +200,8 @@ class EpochTable:
         """
         key = self.spec.keys[0]
         fresh = merge.first_per_key(rows, self.spec.keys, order)
+        if not any(self._plan(before=epoch)):
+            return fresh
         low, high, size = rows.agg(F.min(key), F.max(key), F.count(key)).first()
         stored = self.current(before=epoch).filter(F.col(key).between(low, high))
         if size <= BROADCAST_ROWS:
@@ -221,3 +238,21 @@ class EpochTable:
             self._store(self._read("log", log).select(*self.schema.names), "base", epoch)
         else:
             self._store(self._merged(warm, log).select(*self.schema.names), "base", epoch)
+
+    def expire(self) -> None:
+        """Delete epochs that no reader of the newest base needs.
+
+        Readers that started before the last ``compact`` must have ended.
+        """
+        bases = self._epochs("base")
+        newest = max(bases, default=-1)
+        gone = [folder for value, folder in self._folders(f"{self.path}/log", "epoch").items()
+                if int(value) <= newest]
+        if self.complete:
+            gone += [folder for epoch, folder in bases.items() if epoch < newest]
+        elif self.spec.day_of is not None:
+            stored = self._days(list(bases.values()))
+            gone += [path for paths in stored.values() for path in paths[:-1]]
+        for folder in gone:
+            target, files = self._files(folder)
+            files.delete(target, True)

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import random
+from dataclasses import replace
+from datetime import date
 
 import pytest
 from conftest import at, rows_of
@@ -13,7 +15,7 @@ from postflow.schemas import MERGES, TABLES, MergeSpec
 from postflow.streaming.table import EpochTable
 
 COUNTS = MERGES["hashtag_counts"]
-INCREMENT = MergeSpec(COUNTS.keys, "increment", COUNTS.measures, COUNTS.stamp, COUNTS.day_of)
+INCREMENT = replace(COUNTS, policy="increment")
 TWEETS = MERGES["tweets"]
 FIRST = ("timestamp",)
 
@@ -154,6 +156,47 @@ def test_complete_table_reads_the_newest_epoch_only(spark, root):
     assert rows_of(table.current(), "hashtag", "count") == [("a", 2)]
 
 
+def test_days_bound_what_is_read(spark, root):
+    table = EpochTable.named(spark, root, "hashtag_counts", "increment")
+    for epoch in range(2):
+        table.write(counts(spark, [("a", 1, at(5, day=day), at(1)) for day in (1, 2, 3)]), epoch)
+        if epoch == 0:
+            table.compact()
+    some = table.current(first=date(2024, 1, 2), last=date(2024, 1, 2))
+    assert rows_of(some, "hashtag", "count") == [("a", 2)]
+    assert all("day=2024-01-02" in name for name in some.inputFiles())
+
+
+def test_expire_keeps_the_table(spark, root):
+    table = EpochTable.named(spark, root, "hashtag_counts", "increment")
+    for epoch in range(4):
+        table.write(counts(spark, [("a", 1, at(5, day=d), at(1)) for d in (1, epoch + 1)]), epoch)
+        if epoch < 3:
+            table.compact()
+    want = rows_of(table.current())
+    table.expire()
+    assert list(table._epochs("log")) == [3]
+    assert rows_of(table.current()) == want
+    assert sum(row[1] for row in want) == 7 + 1
+    whole = EpochTable.named(spark, root, "user_activity", complete=True)
+    for epoch in range(3):
+        whole.replace(spark.createDataFrame([("u", epoch, 1, 1, at(5), at(1))],
+                                            TABLES["user_activity"]), epoch)
+    whole.expire()
+    assert list(whole._epochs("base")) == [2]
+    assert rows_of(whole.current(), "tweet_count") == [(2,)]
+
+
+def test_latest_stamp_ignores_the_order_of_arrival(spark, root):
+    table = EpochTable.named(spark, root, "hashtag_counts", "increment", latest=True)
+    for epoch, minute in enumerate((3, 9, 4)):
+        table.write(counts(spark, [("a", 1, at(5), at(minute))]), epoch)
+        if epoch == 1:
+            table.compact()
+    row = table.current().first()
+    assert (row["count"], row["last_updated"].minute) == (3, 9)
+
+
 def test_empty_table(spark, root):
     for name in MERGES:
         table = EpochTable.named(spark, root, name)
