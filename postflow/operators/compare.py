@@ -22,11 +22,12 @@ def contains_join(outer: DataFrame, inner: DataFrame, part: str, whole: str) ->
     """Pairs where ``inner.whole`` contains ``outer.part``.
 
     A text contains a part exactly when the part is among its substrings, so
-    the test becomes an equality and the join a shuffled or broadcast hash join;
+    the test becomes an equality and the join a sort-merge join;
     only true pairs come out. Meant for identifiers: a text of n characters
-    gives at most n(n+1)/2 + 1 substrings.
+    gives at most n(n+1)/2 + 1 substrings. Their number is not in Spark's size
+    estimate, so the spread side must not be broadcast on its strength.
     """
-    spread = inner.withColumn("_part", F.explode(substrings(whole)))
+    spread = inner.withColumn("_part", F.explode(substrings(whole))).hint("merge")
     return outer.join(spread, outer[part] == spread["_part"]).drop("_part")
 
 

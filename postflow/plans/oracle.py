@@ -93,21 +93,24 @@ RATIO = """CASE WHEN tweet_count > 0 THEN CAST(total_likes AS DOUBLE) / tweet_co
 INSERT_IGNORE = """
 SELECT tweet_id, username, {text}, retweets, likes, timestamp FROM (
   SELECT * REPLACE (CAST(split_part(username, '_', 2) AS {id}) AS tweet_id),
-         row_number() OVER (PARTITION BY username ORDER BY retweets % 3, timestamp,
+         row_number() OVER (PARTITION BY username ORDER BY retweets % {n}, timestamp,
                             text, retweets, likes) AS n
   FROM posts) WHERE n = 1"""
 
-OVERWRITE = f"""
+OVERWRITE = """
 SELECT username, tweet_count, total_likes, total_retweets, window_end, last_updated FROM (
   SELECT *, row_number() OVER (PARTITION BY username, window_end ORDER BY batch DESC) AS n FROM (
-    {_USERS.replace('max(timestamp) AS timestamp', 'max(timestamp) AS last_updated')},
-      retweets % 3 AS batch
+    SELECT username, count(*) AS tweet_count, CAST(sum(likes) AS BIGINT) AS total_likes,
+      CAST(sum(retweets) AS BIGINT) AS total_retweets,
+      time_bucket(INTERVAL 5 MINUTE, timestamp, TIMESTAMP '1970-01-01')
+        + (o + 1) * INTERVAL 5 MINUTE AS window_end, max(timestamp) AS last_updated,
+      retweets % {n} AS batch
     FROM posts CROSS JOIN range(3) r(o) GROUP BY username, window_end, batch)) WHERE n = 1"""
 
 INCREMENT_HASHTAGS = """
 SELECT hashtag, CAST(sum(count) AS BIGINT) AS count, window_end,
        arg_max(last_updated, batch) AS last_updated
-FROM (SELECT hashtag, date_trunc('hour', t.timestamp) AS window_end, retweets % 3 AS batch,
+FROM (SELECT hashtag, date_trunc('hour', t.timestamp) AS window_end, retweets % {n} AS batch,
              count(*) AS count, max(t.timestamp) AS last_updated
       FROM tags t JOIN posts USING (tweet_id) GROUP BY ALL)
 GROUP BY hashtag, window_end"""
@@ -116,7 +119,7 @@ INCREMENT_USERS = """
 SELECT username, CAST(sum(n) AS BIGINT) AS tweet_count, CAST(sum(l) AS BIGINT) AS total_likes,
        CAST(sum(r) AS BIGINT) AS total_retweets, window_end,
        arg_max(last_updated, batch) AS last_updated
-FROM (SELECT username, date_trunc('hour', timestamp) AS window_end, retweets % 3 AS batch,
+FROM (SELECT username, date_trunc('hour', timestamp) AS window_end, retweets % {n} AS batch,
              count(*) AS n, sum(likes) AS l, sum(retweets) AS r, max(timestamp) AS last_updated
       FROM posts GROUP BY ALL)
 GROUP BY username, window_end"""
@@ -205,14 +208,14 @@ ORACLE = {
    printf('%s: %.2f avg likes (%d total likes over %d tweets)',
           username, avg_likes_per_tweet, sum_likes, sum_tweets)
  FROM ({TOP_AVERAGES})"""),
-    "merge_insert_ignore": _with(POSTS, INSERT_IGNORE.format(text="text", id="BIGINT")),
-    "merge_overwrite": _with(POSTS, OVERWRITE),
-    "merge_increment_hashtags": _with(TAGS, INCREMENT_HASHTAGS),
-    "merge_increment_users": _with(POSTS, INCREMENT_USERS),
+    "merge_insert_ignore": _with(POSTS, INSERT_IGNORE.format(text="text", id="BIGINT", n=2)),
+    "merge_overwrite": _with(POSTS, OVERWRITE.format(n=2)),
+    "merge_increment_hashtags": _with(TAGS, INCREMENT_HASHTAGS.format(n=2)),
+    "merge_increment_users": _with(POSTS, INCREMENT_USERS.format(n=2)),
     "table_insert_ignore": _with(
-        POSTS, INSERT_IGNORE.format(text="text AS tweet_text", id="INTEGER")),
-    "table_overwrite": _with(POSTS, OVERWRITE),
-    "table_increment": _with(POSTS, INCREMENT_USERS),
+        POSTS, INSERT_IGNORE.format(text="text AS tweet_text", id="INTEGER", n=3)),
+    "table_overwrite": _with(POSTS, OVERWRITE.format(n=3)),
+    "table_increment": _with(POSTS, INCREMENT_USERS.format(n=3)),
     "metrics_summary": _with(METRICS, """SELECT query_id, execution_mode,
  round(avg_time, 4) AS avg_time, executions FROM summary ORDER BY query_id, execution_mode"""),
     "metrics_total": "SELECT round(sum(value), 4) AS total_time FROM events",

@@ -24,8 +24,8 @@ from postflow.streaming import jobs
 from postflow.streaming.table import EpochTable
 
 NOW = {"availableNow": True}
-# Arrival batches that the merge queries split the posts into.
-BATCHES = 3
+# Arrival batches that the posts are split into: for one merge, and for a stored table.
+BATCHES, EPOCHS = 2, 3
 # Files per topic that the streams read; two of them make a micro-batch.
 FILES = 4
 
@@ -251,9 +251,9 @@ def report_lines(spark, sf):
 
 # Merges ----------------------------------------------------------------------
 
-def batches(posts: DataFrame) -> list[DataFrame]:
+def batches(posts: DataFrame, n: int = BATCHES) -> list[DataFrame]:
     """All posts as arrival batches."""
-    return [posts.filter(F.pmod("retweets", F.lit(BATCHES)) == i) for i in range(BATCHES)]
+    return [posts.filter(F.pmod("retweets", F.lit(n)) == i) for i in range(n)]
 
 
 def user_posts(posts: DataFrame) -> DataFrame:
@@ -286,27 +286,27 @@ def as_policy(name: str, policy: str) -> MergeSpec:
 
 
 def merge_insert_ignore(spark, sf):
-    first, *rest = batches(user_posts(posts_of(spark, sf)))
+    stored, new = batches(user_posts(posts_of(spark, sf)))
     spec = MERGES["tweets"]
-    start = merge.first_per_key(first, spec.keys, ("timestamp",))
-    return reduce(lambda t, s: merge.insert_ignore(t, s, spec, ("timestamp",)), rest, start)
+    target = merge.first_per_key(stored, spec.keys, ("timestamp",))
+    return merge.insert_ignore(target, new, spec, ("timestamp",))
 
 
 def merge_overwrite(spark, sf):
-    first, *rest = [user_results(batch) for batch in batches(posts_of(spark, sf))]
-    return reduce(lambda t, s: merge.overwrite(t, s, MERGES["user_activity"]), rest, first)
+    target, new = [user_results(batch) for batch in batches(posts_of(spark, sf))]
+    return merge.overwrite(target, new, MERGES["user_activity"])
 
 
 def merge_increment_hashtags(spark, sf):
     spec = as_policy("hashtag_counts", "increment")
-    first, *rest = [hourly_tags(batch) for batch in batches(posts_of(spark, sf))]
-    return reduce(lambda t, s: merge.increment(t, s, spec), rest, merge.deltas(first, spec))
+    stored, new = [hourly_tags(batch) for batch in batches(posts_of(spark, sf))]
+    return merge.increment(merge.deltas(stored, spec), new, spec)
 
 
 def merge_increment_users(spark, sf):
     spec = as_policy("user_activity", "increment")
-    first, *rest = [hourly_activity(batch) for batch in batches(posts_of(spark, sf))]
-    return reduce(lambda t, s: merge.increment(t, s, spec), rest, merge.deltas(first, spec))
+    stored, new = [hourly_activity(batch) for batch in batches(posts_of(spark, sf))]
+    return merge.increment(merge.deltas(stored, spec), new, spec)
 
 
 def table_epochs(spark, name, policy, parts, order=()):
@@ -320,17 +320,17 @@ def table_epochs(spark, name, policy, parts, order=()):
 
 
 def table_insert_ignore(spark, sf):
-    parts = batches(user_posts(posts_of(spark, sf)))
+    parts = batches(user_posts(posts_of(spark, sf)), EPOCHS)
     return table_epochs(spark, "tweets", "ignore", parts, ("timestamp",))
 
 
 def table_overwrite(spark, sf):
-    parts = [user_results(batch) for batch in batches(posts_of(spark, sf))]
+    parts = [user_results(batch) for batch in batches(posts_of(spark, sf), EPOCHS)]
     return table_epochs(spark, "user_activity", "overwrite", parts)
 
 
 def table_increment(spark, sf):
-    parts = [hourly_activity(batch) for batch in batches(posts_of(spark, sf))]
+    parts = [hourly_activity(batch) for batch in batches(posts_of(spark, sf), EPOCHS)]
     return table_epochs(spark, "user_activity", "increment", parts)
 
 
