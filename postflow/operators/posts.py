@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from postflow.functions.text import hashtag_count, hashtags, iso_text
 from postflow.schemas import (
-    HASHTAG_WINDOWS_TOPIC, HASHTAGS_TOPIC, TWEETS_TOPIC, USER_ACTIVITY_TOPIC, USER_WINDOWS_TOPIC)
+    HASHTAG_WINDOWS_TOPIC, HASHTAGS_TOPIC, TWEETS_TOPIC, USER_ACTIVITY_TOPIC, USER_WINDOWS_TOPIC,
+    table_of)
 
 
 def hashtag_rows(posts: DataFrame) -> DataFrame:
@@ -62,7 +63,7 @@ def message_rows(posts: DataFrame, at: Column | None = None) -> DataFrame:
 
 def window_messages(windows: DataFrame) -> DataFrame:
     """Windowed counts or windowed activity as (topic, value) messages."""
-    if "hashtag" in windows.columns:
+    if table_of(windows.columns) == "hashtag_counts":
         topic, fields = HASHTAG_WINDOWS_TOPIC, ("hashtag", "count")
     else:
         topic, fields = USER_WINDOWS_TOPIC, (

@@ -246,6 +246,7 @@ ORACLE = {
  CAST(json_object('username', username, 'tweet_count', tweet_count, 'total_likes', total_likes,
    'total_retweets', total_retweets, 'window_end', {ISO.format('window_end')},
    'timestamp', {ISO.format('timestamp')}) AS VARCHAR) AS value FROM uw"""),
+    "stream_fanout": _with(MESSAGES, "SELECT topic, value FROM messages"),
     "stream_analysis": _with(BOTH_WINDOWS, f"""
  SELECT 'tweets' AS table_name, count(*) AS n_rows, CAST(sum(likes) AS BIGINT) AS total FROM posts
  UNION ALL SELECT 'hashtag_counts', {_HASHTAG_SIZE}

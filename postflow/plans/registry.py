@@ -461,6 +461,20 @@ def stream_republish(spark, sf):
     return spark.read.schema("value string, topic string").parquet(out).select("topic", "value")
 
 
+def event_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The event table itself as a stream; the pattern names a folder's one file."""
+    schema = test_table(spark, sf, "events").schema
+    return spark.readStream.schema(schema).parquet(f"{sf.rstrip('/')}/event[s].parquet")
+
+
+def stream_fanout(spark, sf):
+    out = new_folder(spark, "messages")
+    jobs.finish([jobs.start_fanout(
+        event_posts(event_stream(spark, sf)), jobs.message_writer("parquet", path=out),
+        new_folder(spark, "checkpoint"), NOW, F.col("timestamp"))])
+    return spark.read.schema("value string, topic string").parquet(out).select("topic", "value")
+
+
 def sizes(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     """Rows and summed measure of each table."""
     parts = [frame.agg(F.count(F.lit(1)).alias("n_rows"), F.sum(measure).alias("total"))
@@ -536,7 +550,7 @@ QUERIES = {query.__name__: query for query in (
     stream_append_raw, stream_complete_hashtags, stream_complete_users,
     stream_complete_hashtags_direct, stream_complete_users_direct,
     stream_update_merge_hashtags, stream_update_merge_users,
-    stream_increment_hashtags, stream_increment_users, stream_republish,
+    stream_increment_hashtags, stream_increment_users, stream_republish, stream_fanout,
     stream_analysis, stream_loads, stream_shared_hashtags, stream_shared_users,
     stream_batch_parity,
 )}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postflow.functions.text import ratio, two_digits
+from postflow.functions.text import now_second, ratio, two_digits
 
 # Fixed value: rows per report.
 TOP = 10
@@ -70,6 +70,18 @@ def top_ratio_rows(activity: DataFrame, n: int = TOP) -> DataFrame:
                         F.asc_nulls_last("window_end")).limit(n)
 
 
+def processed_hashtags(counts: DataFrame) -> DataFrame:
+    """Totals in the shape of the tables that set batch results beside streaming results."""
+    return counts.groupBy("hashtag").agg(F.sum("count").alias("count")).withColumn(
+        "processed_at", now_second())
+
+
+def processed_users(activity: DataFrame) -> DataFrame:
+    names = ("tweet_count", "total_likes", "total_retweets")
+    return activity.groupBy("username").agg(
+        *[F.sum(name).alias(name) for name in names]).withColumn("processed_at", now_second())
+
+
 def hashtag_lines(report: DataFrame) -> DataFrame:
     return report.select(F.format_string("#%s: %d", "hashtag", "total_count").alias("line"))
 

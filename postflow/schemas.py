@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
@@ -121,6 +122,18 @@ SINK_NAMES = {
 }
 
 
+def table_of(columns: Iterable[str]) -> str:
+    """The table that rows with these columns belong to."""
+    names = set(columns)
+    if "hashtag" in names:
+        return "hashtag_counts"
+    if {"username", "tweet_count"} <= names:
+        return "user_activity"
+    if "tweet_id" in names:
+        return "tweets"
+    raise ValueError(f"no table takes rows with columns {sorted(names)}")
+
+
 def create_tables(spark: SparkSession, location: str) -> None:
     """Declare every table in the session catalog, stored as Parquet under ``location``."""
     for name, schema in TABLES.items():

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from postflow.operators.posts import hashtag_rows, window_messages
+from postflow.operators.posts import hashtag_rows, message_rows, window_messages
 from postflow.operators.windows import windowed_activity, windowed_hashtags, windowed_posts
 from postflow.schemas import HASHTAGS_TOPIC, TRIGGER, TWEETS_TOPIC, USER_ACTIVITY_TOPIC
 from postflow.sources.messages import accepted, parse, rejected
@@ -202,6 +202,20 @@ def start_loads(spark: SparkSession, root: str, source: Source,
     return queries
 
 
+def start_fanout(posts: DataFrame, send: Callable[[DataFrame], None], checkpoint: str,
+                 trigger: dict | None = None, at: Column | None = None) -> StreamingQuery:
+    """A stream of posts out to the three topics; a replayed batch is sent again."""
+
+    def save(batch: DataFrame, epoch: int) -> None:
+        batch = batch.persist()
+        try:
+            send(message_rows(batch, at))
+        finally:
+            batch.unpersist()
+
+    return start(posts, save, checkpoint, trigger=trigger, name="fanout")
+
+
 def finish(queries: Iterable[StreamingQuery]) -> None:
     """Wait until bounded queries end; the first failure stops them all."""
     queries = list(queries)
@@ -212,11 +226,16 @@ def finish(queries: Iterable[StreamingQuery]) -> None:
         stop(queries)
 
 
-def run_until_stopped(spark: SparkSession, queries: Iterable[StreamingQuery]) -> None:
-    """Wait until any query ends or the user interrupts, then stop all in order."""
+def run_until_stopped(spark: SparkSession, queries: Iterable[StreamingQuery],
+                      every: Callable[[], None] = lambda: None, seconds: int = 5) -> None:
+    """Wait until any query ends or the user interrupts, then stop all in order.
+
+    ``every`` is called about every ``seconds`` meanwhile, to show progress.
+    """
     queries = list(queries)
     try:
-        spark.streams.awaitAnyTermination()
+        while not spark.streams.awaitAnyTermination(seconds):
+            every()
     except KeyboardInterrupt:
         pass
     finally:

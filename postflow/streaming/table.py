@@ -14,6 +14,8 @@ without new rows are read as they are, without a shuffle.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import replace
 from datetime import date
 
@@ -25,11 +27,28 @@ from postflow.operators import merge
 from postflow.schemas import MERGES, SINK_NAMES, TABLES, MergeSpec
 
 DAY = "day"
+ADAPTIVE = "spark.sql.adaptive.enabled"
 
 # Batches up to this many rows have their keys broadcast.
 BROADCAST_ROWS = 1_000_000
 
 
+@contextmanager
+def adaptive(spark: SparkSession) -> Iterator[None]:
+    """Adaptive execution for one write.
+
+    The session of a stateful stream has it off, as its own plan must keep its
+    partitions. That plan is fixed when the sink gets the rows, so what the sink
+    does with them may adapt.
+    """
+    had = spark.conf.get(ADAPTIVE)
+    spark.conf.set(ADAPTIVE, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(ADAPTIVE, had)
+
+
 class EpochTable:
     """One keyed table with one writing query, whose checkpoint lies beside the data.
 
@@ -171,17 +190,18 @@ class EpochTable:
     def _store(self, rows: DataFrame, part: str, epoch: int) -> int:
         """Write one epoch; the number of rows, counted on the way."""
         seen = Observation()
-        rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
-        if self.spec.day_of is not None:
-            # Tasks of even size that hold few days each: few files, and a day
-            # with most of the rows is still split. Spark turns adaptive execution,
-            # and the hint with it, off for stateful micro-batches: there the
-            # tasks of the aggregate write, and ``compact`` tidies up later.
-            rows = rows.withColumn(DAY, F.to_date(self.spec.day_of)).hint("rebalance", DAY)
-        writer = rows.write.mode("overwrite")
-        if self.spec.day_of is not None:
-            writer = writer.partitionBy(DAY)
-        writer.parquet(f"{self.path}/{part}/epoch={epoch}")
+        count = F.count(F.lit(1)).alias("rows")
+        folder = f"{self.path}/{part}/epoch={epoch}"
+        with adaptive(rows.sparkSession):
+            if self.spec.day_of is None:
+                rows.observe(seen, count).write.mode("overwrite").parquet(folder)
+            else:
+                # Tasks of even size that hold few days each: few files, and a day
+                # with most of the rows is still split. Rows are counted after the
+                # shuffle: below it an empty batch would drop the count with the plan.
+                days = rows.withColumn(DAY, F.to_date(self.spec.day_of)).hint("rebalance", DAY)
+                (days.observe(seen, count).write.mode("overwrite").partitionBy(DAY)
+                 .parquet(folder))
         return seen.get["rows"]
 
     def _shaped(self, rows: DataFrame) -> DataFrame:
