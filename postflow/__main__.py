@@ -26,6 +26,8 @@ def parser() -> argparse.ArgumentParser:
     top.add_argument("--topics", help="folder of topic files, in place of Kafka")
     top.add_argument("--csv", help="post file or folder (produce)")
     top.add_argument("--record-sep", help="separator of CSV records, to split large files")
+    top.add_argument("--split", action="store_true",
+                     help="split large CSV files by counting quotes")
     top.add_argument("--limit", type=int, help="records to send (produce)")
     top.add_argument("--mode", choices=("complete", "update"), default="complete",
                      help="output mode of the windowed jobs; also how their tables are read")
@@ -53,7 +55,8 @@ def table_of(spark: SparkSession, args, name: str) -> EpochTable:
 
 def produce(spark: SparkSession, args) -> None:
     separator = args.record_sep and args.record_sep.encode().decode("unicode_escape")
-    posts, cut = split_rows(csv_posts(spark, args.csv, separator, limit=args.limit))
+    posts, cut = split_rows(csv_posts(
+        spark, args.csv, separator, args.split, limit=args.limit))
     if args.topics:
         send = jobs.message_writer("parquet", path=args.topics)
         messages = message_rows(posts)

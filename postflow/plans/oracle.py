@@ -160,6 +160,7 @@ ORACLE = {
     "user_activity_rows": _with(POSTS, """SELECT username, 1 AS tweet_count, 2 AS hashtag_count,
  retweets, likes, timestamp FROM posts"""),
     "csv_scan": _DOCUMENT_POSTS,
+    "csv_split_scan": _DOCUMENT_POSTS,
     "post_sample": _with(POSTS, "SELECT * FROM posts ORDER BY tweet_id LIMIT 200"),
     "json_roundtrip": _with(POSTS, """SELECT CAST(tweet_id AS INTEGER) AS tweet_id, username,
  text, retweets, likes, timestamp FROM posts"""),

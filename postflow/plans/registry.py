@@ -146,6 +146,10 @@ def csv_scan(spark, sf):
     return without_zone(csv_posts(spark, document_csv(spark, sf)))
 
 
+def csv_split_scan(spark, sf):
+    return without_zone(csv_posts(spark, document_csv(spark, sf), split=True))
+
+
 def post_sample(spark, sf):
     """The source's row cap: 200 whole records in id order."""
     return posts_of(spark, sf).orderBy("tweet_id").limit(200)
@@ -539,7 +543,7 @@ def stream_batch_parity(spark, sf):
 QUERIES = {query.__name__: query for query in (
     hashtag_extract, hashtag_explode, hashtag_count_per_post, url_fragments, page_hashtags,
     document_hashtag_counts, escape_quotes, iso_times, post_project_cast, user_activity_rows,
-    csv_scan, post_sample, json_roundtrip, json_rejects, json_accepted, message_fanout,
+    csv_scan, csv_split_scan, post_sample, json_roundtrip, json_rejects, json_accepted, message_fanout,
     window_republish,
     hashtag_windows, hashtag_windows_direct, user_windows, user_windows_direct,
     top_hashtags, top_users, avg_likes_per_user, top_hashtags_exact, top_users_exact,

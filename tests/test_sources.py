@@ -1,22 +1,26 @@
 from __future__ import annotations
 
+import csv
+from contextlib import contextmanager
 from types import SimpleNamespace
 
 import pytest
 from conftest import CSV, rows_of
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from postflow import session
 from postflow.operators import windows
-from postflow.schemas import HASHTAGS_TOPIC, TABLES, TWEETS_TOPIC, create_tables
+from postflow.schemas import CSV_COLUMNS, HASHTAGS_TOPIC, TABLES, TWEETS_TOPIC, create_tables
 from postflow.sources.messages import accepted, parse, rejected, split_rows, topic_batch
-from postflow.sources.posts import csv_posts
+from postflow.sources.posts import csv_posts, csv_records
 from postflow.sources.tables import read_table
 
 
-@pytest.mark.parametrize("separator", [None, "\r\n"])
-def test_csv_has_one_cut_record(spark, separator):
-    posts = csv_posts(spark, CSV, separator)
+@pytest.mark.parametrize("how", [{}, {"record_sep": "\r\n"}, {"split": True}])
+def test_csv_has_one_cut_record(spark, how):
+    posts = csv_posts(spark, CSV, **how)
     good, bad = split_rows(posts)
     assert (posts.count(), good.count(), bad.count()) == (81, 80, 1)
     totals = good.agg(F.sum("retweets"), F.sum("likes"), F.countDistinct("username"),
@@ -26,20 +30,55 @@ def test_csv_has_one_cut_record(spark, separator):
     assert bad.first()["tweet_id"] == 81
 
 
-def test_both_csv_readers_agree_on_texts(spark):
-    whole, split = (split_rows(csv_posts(spark, CSV, sep))[0] for sep in (None, "\r\n"))
-    assert rows_of(whole) == rows_of(split)
+@contextmanager
+def split_size(spark, size):
+    had = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", had)
+
+
+@pytest.mark.parametrize("size", [100, 1000, 4096, 1 << 27])
+@pytest.mark.parametrize("how", [{"record_sep": "\r\n"}, {"split": True}])
+def test_split_readers_agree_with_the_whole_file(spark, how, size):
+    want = rows_of(csv_posts(spark, CSV).filter("tweet_id < 81"))
+    with split_size(spark, size):
+        assert rows_of(csv_posts(spark, CSV, **how).filter("tweet_id < 81")) == want
+        assert csv_posts(spark, CSV, **how).count() == 81
 
 
 def test_split_reader_uses_many_tasks(spark):
-    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
-    try:
-        posts = csv_posts(spark, CSV, "\r\n")
-        assert posts.rdd.getNumPartitions() > 3
-        assert posts.count() == 81
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    with split_size(spark, 4096):
+        assert csv_posts(spark, CSV, "\r\n").rdd.getNumPartitions() > 3
+        places = spark.read.text(CSV).select("_metadata.file_block_start").distinct()
+        assert places.count() > 3
+
+
+FIELD = st.text(st.sampled_from('ab,"\n\r é#'), max_size=30)
+
+
+@settings(max_examples=6, deadline=None,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(FIELD, FIELD), min_size=1, max_size=25), st.integers(8, 200))
+def test_split_reader_equals_python_csv(spark, tmp_path_factory, texts, size):
+    folder = tmp_path_factory.mktemp("csv")
+    rows = [(i, user, text, i, 2 * i, "2024-01-01 00:00:00") for i, (user, text) in enumerate(texts)]
+    for number, part in enumerate((rows[::2], rows[1::2])):
+        with open(folder / f"{number}.csv", "w", encoding="utf-8", newline="") as file:
+            writer = csv.writer(file, quoting=csv.QUOTE_ALL)
+            file.write(",".join(CSV_COLUMNS) + "\r\n")
+            writer.writerows(part)
+    want = []
+    for number in range(2):
+        with open(folder / f"{number}.csv", encoding="utf-8") as file:
+            want += [(int(row["Tweet_ID"]), row["Username"], row["Text"])
+                     for row in csv.DictReader(file)]
+    with split_size(spark, size):
+        got = csv_records(spark, str(folder), split=True)
+        got = [(int(row["Tweet_ID"]), row["Username"] or "", row["Text"] or "") for row in got.collect()]
+    assert sorted(got) == sorted(want)
 
 
 def test_row_cap_counts_records(spark):
