@@ -30,7 +30,7 @@ def parser() -> argparse.ArgumentParser:
                      help="split large CSV files by counting quotes")
     top.add_argument("--limit", type=int, help="records to send (produce)")
     top.add_argument("--mode", choices=("complete", "update"), default="complete",
-                     help="output mode of the windowed jobs; also how their tables are read")
+                     help="output mode of the windowed jobs (stream)")
     top.add_argument("--rate", type=int, help="offsets or files per micro-batch")
     top.add_argument("--once", action="store_true", help="stop at the end of the present data")
     top.add_argument("--expire", action="store_true", help="delete what is folded (compact)")
@@ -48,11 +48,6 @@ def source_of(spark: SparkSession, args) -> jobs.Source:
     return lambda topic: topic_stream(spark, topic, **options)
 
 
-def table_of(spark: SparkSession, args, name: str) -> EpochTable:
-    return EpochTable.named(spark, args.root, name,
-                            complete=args.mode == "complete" and name != "tweets")
-
-
 def produce(spark: SparkSession, args) -> None:
     separator = args.record_sep and args.record_sep.encode().decode("unicode_escape")
     posts, cut = split_rows(csv_posts(
@@ -98,10 +93,10 @@ def load(spark: SparkSession, args) -> None:
 
 def report(spark: SparkSession, args) -> None:
     """Each report is run and timed once; its ten rows are kept for printing."""
-    tables = {name: table_of(spark, args, name).current()
-              for name in ("hashtag_counts", "user_activity")}
+    counts, activity = [EpochTable.stored(spark, args.root, name).current()
+                        for name in ("hashtag_counts", "user_activity")]
     runs = []
-    for name, frame in reports.batch_reports(*tables.values()).items():
+    for name, frame in reports.batch_reports(counts, activity).items():
         kept = []
         runs.append(metrics.timed(name, frame, lambda rows, kept=kept: kept.extend(rows.collect())))
         lines = reports.REPORT_LINES[name](spark.createDataFrame(kept, frame.schema))
@@ -123,7 +118,7 @@ def compare(spark: SparkSession, args) -> None:
 
 def compact(spark: SparkSession, args) -> None:
     for name in MERGES:
-        table = table_of(spark, args, name)
+        table = EpochTable.stored(spark, args.root, name)
         table.compact()
         if args.expire:
             table.expire()

@@ -1,7 +1,10 @@
 """A keyed table on plain Parquet that streaming epochs can be replayed into.
 
-``log/epoch=<i>``   what micro-batch i brought, written with mode overwrite
-``base/epoch=<n>``  the log up to n, folded by key
+``<kind>/log/epoch=<i>``   what micro-batch i brought, written with mode overwrite
+``<kind>/base/epoch=<n>``  the log up to n, folded by key
+``_checkpoint``            the checkpoint of the query that writes
+
+The kind says how epochs fold, so that no reader takes increments for overwrites.
 
 An epoch counts once its folder has Spark's ``_SUCCESS`` file, so a batch that
 dies half-way is invisible and a batch that runs again replaces itself. What
@@ -29,6 +32,9 @@ from postflow.schemas import MERGES, SINK_NAMES, TABLES, MergeSpec
 DAY = "day"
 ADAPTIVE = "spark.sql.adaptive.enabled"
 
+# How a table can be written: its own policy, or that of another job.
+KINDS = ({}, {"policy": "increment"}, {"policy": "increment", "latest": True}, {"complete": True})
+
 # Batches up to this many rows have their keys broadcast.
 BROADCAST_ROWS = 1_000_000
 
@@ -64,8 +70,15 @@ class EpochTable:
         self.schema = schema
         self.spec = spec
         self.names = names or {}
+        self.data = f"{self.path}/{self.kind}"
         self.checkpoint = f"{self.path}/_checkpoint"
 
+    @property
+    def kind(self) -> str:
+        if self.complete:
+            return "complete"
+        return f"{self.spec.policy}-latest" if self.spec.latest else self.spec.policy
+
     @classmethod
     def named(cls, spark: SparkSession, root: str, name: str,
               policy: str | None = None, folder: str | None = None,
@@ -77,6 +90,17 @@ class EpochTable:
         return cls(spark, f"{root.rstrip('/')}/{folder or name}", TABLES[name], spec,
                    SINK_NAMES[name], complete)
 
+    @classmethod
+    def stored(cls, spark: SparkSession, root: str, name: str,
+               folder: str | None = None) -> EpochTable:
+        """The table ``name`` as it was written, for readers that did not write it."""
+        tables = [cls.named(spark, root, name, folder=folder, **how) for how in KINDS]
+        found = [table for table in tables if table._exists(table.data)]
+        if len(found) != 1:
+            kinds = [table.kind for table in found] or "nothing"
+            raise ValueError(f"{tables[0].path} holds {kinds}, expected one kind of table")
+        return found[0]
+
     # Folders -----------------------------------------------------------------
 
     def _files(self, path: str):
@@ -84,11 +108,15 @@ class EpochTable:
         target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return target, target.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
+    def _exists(self, path: str) -> bool:
+        target, files = self._files(path)
+        return files.exists(target)
+
     def _folders(self, path: str, prefix: str) -> dict[str, str]:
         """Sub-folders ``<prefix>=<value>`` by value."""
-        target, files = self._files(path)
-        if not files.exists(target):
+        if not self._exists(path):
             return {}
+        target, files = self._files(path)
         names = [status.getPath().getName() for status in files.listStatus(target)]
         return {name.split("=", 1)[1]: f"{path}/{name}"
                 for name in names if name.startswith(f"{prefix}=")}
@@ -96,11 +124,9 @@ class EpochTable:
     def _epochs(self, part: str, after: int = -1) -> dict[int, str]:
         """Finished epochs of ``log`` or ``base`` beyond ``after``, oldest first."""
         found = {}
-        for value, folder in self._folders(f"{self.path}/{part}", "epoch").items():
-            if int(value) > after:
-                mark, files = self._files(f"{folder}/_SUCCESS")
-                if files.exists(mark):
-                    found[int(value)] = folder
+        for value, folder in self._folders(f"{self.data}/{part}", "epoch").items():
+            if int(value) > after and self._exists(f"{folder}/_SUCCESS"):
+                found[int(value)] = folder
         return dict(sorted(found.items()))
 
     def _days(self, folders: list[str], first: date | None = None,
@@ -127,7 +153,7 @@ class EpochTable:
             schema = schema.add(DAY, T.DateType())
         if not paths:
             return self.spark.createDataFrame([], schema)
-        return (self.spark.read.schema(schema).option("basePath", f"{self.path}/{part}")
+        return (self.spark.read.schema(schema).option("basePath", f"{self.data}/{part}")
                 .parquet(*paths))
 
     def _fold(self, log: DataFrame) -> DataFrame:
@@ -191,7 +217,7 @@ class EpochTable:
         """Write one epoch; the number of rows, counted on the way."""
         seen = Observation()
         count = F.count(F.lit(1)).alias("rows")
-        folder = f"{self.path}/{part}/epoch={epoch}"
+        folder = f"{self.data}/{part}/epoch={epoch}"
         with adaptive(rows.sparkSession):
             if self.spec.day_of is None:
                 rows.observe(seen, count).write.mode("overwrite").parquet(folder)
@@ -266,7 +292,7 @@ class EpochTable:
         """
         bases = self._epochs("base")
         newest = max(bases, default=-1)
-        gone = [folder for value, folder in self._folders(f"{self.path}/log", "epoch").items()
+        gone = [folder for value, folder in self._folders(f"{self.data}/log", "epoch").items()
                 if int(value) <= newest]
         if self.complete:
             gone += [folder for epoch, folder in bases.items() if epoch < newest]

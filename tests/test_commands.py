@@ -25,8 +25,8 @@ def test_produce_stream_report_compare(spark, root, capsys):
     assert "left out: 1" in capsys.readouterr().out
     send_seeds(spark, topics)
     for mode in ("complete", "update"):
-        where = ["--root", f"{tables}-{mode}", "--topics", topics, "--mode", mode]
-        main(["stream", "--once", *where])
+        where = ["--root", f"{tables}-{mode}"]
+        main(["stream", "--once", "--topics", topics, "--mode", mode, *where])
         main(["report", *where])
         out = capsys.readouterr().out
         assert "#technology: 6" in out and "user1: 6 tweets" in out
@@ -41,7 +41,7 @@ def test_load(spark, root):
     main(["produce", "--csv", CSV, "--topics", f"{root}/topics", "--limit", "20"])
     send_seeds(spark, f"{root}/topics")
     main(["load", "--once", "--root", f"{root}/tables", "--topics", f"{root}/topics"])
-    users = EpochTable.named(spark, f"{root}/tables", "user_activity", "increment").current()
+    users = EpochTable.stored(spark, f"{root}/tables", "user_activity").current()
     assert users.select("username").distinct().count() == 23
 
 

@@ -116,7 +116,7 @@ def test_unfinished_epoch_is_not_read(spark, root):
     table.write(counts(spark, [("a", 1, at(5), at(1))]), 0)
     (counts(spark, [("a", 9, at(5), at(1))]).withColumn("day", F.to_date("window_end"))
      .write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
-     .partitionBy("day").parquet(f"{table.path}/log/epoch=1"))
+     .partitionBy("day").parquet(f"{table.data}/log/epoch=1"))
     assert rows_of(table.current(), "hashtag", "count") == [("a", 1)]
 
 
@@ -128,7 +128,7 @@ def test_days_without_news_are_read_without_a_shuffle(spark, root):
     assert "Exchange" not in plan
     table.write(counts(spark, [("a", 2, at(5, day=3), at(1))]), 1)
     table.compact()
-    stored = table._folders(f"{table.path}/base/epoch=1", "day")
+    stored = table._folders(f"{table.data}/base/epoch=1", "day")
     assert list(stored) == ["2024-01-03"]
     assert [r["count"] for r in table.current().orderBy("window_end").collect()] == [1, 1, 2, 1, 1]
 
@@ -197,6 +197,25 @@ def test_latest_stamp_ignores_the_order_of_arrival(spark, root):
     assert (row["count"], row["last_updated"].minute) == (3, 9)
 
 
+def test_a_table_is_opened_as_it_was_written(spark, root):
+    row = counts(spark, [("a", 2, at(5), at(1))])
+    writers = {"plain": {}, "sums": {"policy": "increment"}, "whole": {"complete": True},
+               "latest": {"policy": "increment", "latest": True}}
+    for folder, how in writers.items():
+        table = EpochTable.named(spark, root, "hashtag_counts", folder=folder, **how)
+        for epoch in range(2):
+            table.replace(row, epoch) if table.complete else table.write(row, epoch)
+        opened = EpochTable.stored(spark, root, "hashtag_counts", folder)
+        assert opened.kind == table.kind
+        want = 4 if "policy" in how else 2
+        assert rows_of(opened.current(), "hashtag", "count") == [("a", want)]
+    with pytest.raises(ValueError, match="nothing"):
+        EpochTable.stored(spark, root, "hashtag_counts", "none")
+    EpochTable.named(spark, root, "hashtag_counts", folder="sums").write(row, 2)
+    with pytest.raises(ValueError, match="one kind"):
+        EpochTable.stored(spark, root, "hashtag_counts", "sums")
+
+
 def test_empty_table(spark, root):
     for name in MERGES:
         table = EpochTable.named(spark, root, name)
