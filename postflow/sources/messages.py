@@ -39,8 +39,12 @@ def topic_batch(spark: SparkSession, topic: str, fmt: str = "kafka", path: str |
             .load(f"{path}/topic={topic}"))
 
 
+def _complete(columns) -> Column:
+    return reduce(and_, [F.col(name).isNotNull() for name in columns])
+
+
 def parse(rows: DataFrame, topic: str) -> DataFrame:
-    """Payload fields as flat columns beside the ``raw`` text.
+    """Payload fields as flat columns, and ``raw``, the text of a row that lacks a required field.
 
     Text that is not JSON, or a field of the wrong type, gives nulls;
     ``accepted`` and ``rejected`` then part the rows. The struct is opened with
@@ -50,11 +54,8 @@ def parse(rows: DataFrame, topic: str) -> DataFrame:
     payload = F.from_json("raw", MESSAGES[topic])
     return (rows.select(F.col("value").cast("string").alias("raw"))
             .select("raw", F.inline(F.array(payload)))
-            .withColumn("timestamp", event_time("timestamp")))
-
-
-def _complete(columns) -> Column:
-    return reduce(and_, [F.col(name).isNotNull() for name in columns])
+            .withColumn("timestamp", event_time("timestamp"))
+            .withColumn("raw", F.when(~_complete(REQUIRED[topic]), F.col("raw"))))
 
 
 def accepted(parsed: DataFrame, topic: str) -> DataFrame:

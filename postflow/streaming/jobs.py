@@ -89,8 +89,8 @@ def shared_sink(spark: SparkSession, root: str) -> Save:
             bad.write.mode("overwrite").parquet(f"{rejects}/epoch={epoch}")
             posts = accepted(parsed, TWEETS_TOPIC)
             tweets.write(posts, epoch, ("timestamp",))
-            counts.write(windowed_hashtags(hashtag_rows(posts)), epoch)
-            users.write(windowed_posts(posts), epoch)
+            counts.write(windowed_hashtags(hashtag_rows(posts)), epoch, unique=True)
+            users.write(windowed_posts(posts), epoch, unique=True)
         finally:
             parsed.unpersist()
 

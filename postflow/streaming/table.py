@@ -255,17 +255,20 @@ class EpochTable:
                                  list(self.spec.keys), "left_semi")
         return merge.unseen(stored, fresh, self.spec)
 
-    def write(self, rows: DataFrame, epoch: int, order: tuple[str, ...] = ()) -> int:
+    def write(self, rows: DataFrame, epoch: int, order: tuple[str, ...] = (),
+              unique: bool = False) -> int:
         """Merge one batch as epoch ``epoch``; the number of rows it left in the log.
 
         ``overwrite`` takes rows that are unique by key unless ``order`` says
-        which of the repeats is the last.
+        which of the repeats is the last. ``increment`` sums repeats, unless the
+        rows are known to be ``unique``, as a window aggregate's are.
         """
         rows = self._shaped(rows)
         if self.spec.policy == "ignore":
             return self._store(self._new_rows(rows, epoch, order), "log", epoch)
         if self.spec.policy == "increment":
-            rows = merge.deltas(rows, self.spec)
+            if not unique:
+                rows = merge.deltas(rows, self.spec)
         elif order:
             rows = merge.last_per_key(rows, self.spec.keys, order)
         return self._store(rows, "log", epoch)

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from postflow import session
 from postflow.operators import windows
 from postflow.schemas import CSV_COLUMNS, HASHTAGS_TOPIC, TABLES, TWEETS_TOPIC, create_tables
-from postflow.sources.messages import accepted, parse, rejected, split_rows, topic_batch
+from postflow.sources.messages import (
+    accepted, parse, rejected, split_rows, topic_batch, topic_stream)
 from postflow.sources.posts import csv_posts, csv_records
 from postflow.sources.tables import read_table
 
@@ -175,3 +176,32 @@ def test_a_cluster_without_a_shared_dir_is_an_error():
 
 def test_local_shared_dir_is_kept(spark):
     assert session.shared_dir(spark) == session.shared_dir(spark)
+
+
+class Recorder:
+    """Stands for a reader and keeps the calls made to it."""
+
+    def __init__(self):
+        self.calls = {}
+
+    def format(self, name):
+        self.calls["format"] = name
+        return self
+
+    def options(self, **options):
+        self.calls.update(options)
+        return self
+
+    def load(self):
+        return self.calls
+
+
+def test_kafka_options():
+    stub_session = SimpleNamespace(readStream=Recorder(), read=Recorder())
+    options = {"kafka.bootstrap.servers": "h:9092"}
+    assert topic_stream(stub_session, TWEETS_TOPIC, maxOffsetsPerTrigger="9", **options) == {
+        "format": "kafka", "subscribe": "tweets_topic", "startingOffsets": "earliest",
+        "maxOffsetsPerTrigger": "9", "kafka.bootstrap.servers": "h:9092"}
+    assert topic_batch(stub_session, TWEETS_TOPIC, **options) == {
+        "format": "kafka", "subscribe": "tweets_topic", "startingOffsets": "earliest",
+        "endingOffsets": "latest", "kafka.bootstrap.servers": "h:9092"}
