@@ -1,4 +1,4 @@
-"""Command line: ``python -m postflow <produce|stream|load|report|compare|compact> ...``."""
+"""Command line: ``python -m postflow <produce|stream|load|report|compare|sql|compact> ...``."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ from pyspark.sql import SparkSession
 
 from postflow.operators.posts import message_rows
 from postflow.plans import metrics, reports
+from postflow.plans.views import register_views
 from postflow.schemas import MERGES
 from postflow.session import build_session
 from postflow.sources.messages import split_rows, topic_stream
@@ -20,7 +21,7 @@ from postflow.streaming.table import EpochTable
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="postflow", description=__doc__)
     top.add_argument("command",
-                     choices=("produce", "stream", "load", "report", "compare", "compact"))
+                     choices=("produce", "stream", "load", "report", "compare", "sql", "compact"))
     top.add_argument("--root", help="folder of the stored tables")
     top.add_argument("--brokers", help="Kafka bootstrap servers")
     top.add_argument("--topics", help="folder of topic files, in place of Kafka")
@@ -33,6 +34,7 @@ def parser() -> argparse.ArgumentParser:
                      help="output mode of the windowed jobs (stream)")
     top.add_argument("--rate", type=int, help="offsets or files per micro-batch")
     top.add_argument("--once", action="store_true", help="stop at the end of the present data")
+    top.add_argument("--query", help="SQL text over the stored tables (sql)")
     top.add_argument("--expire", action="store_true", help="delete what is folded (compact)")
     top.add_argument("--master", help="Spark master, if not set elsewhere")
     return top
@@ -116,6 +118,11 @@ def compare(spark: SparkSession, args) -> None:
     metrics.compare_families(log).show(100, False)
 
 
+def sql(spark: SparkSession, args) -> None:
+    register_views(spark, args.root)
+    spark.sql(args.query).show(100, False)
+
+
 def compact(spark: SparkSession, args) -> None:
     for name in MERGES:
         table = EpochTable.stored(spark, args.root, name)
@@ -125,7 +132,7 @@ def compact(spark: SparkSession, args) -> None:
 
 
 COMMANDS = {"produce": produce, "stream": stream, "load": load, "report": report,
-            "compare": compare, "compact": compact}
+            "compare": compare, "sql": sql, "compact": compact}
 
 
 def main(argv: list[str] | None = None) -> None:

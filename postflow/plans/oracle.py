@@ -192,13 +192,16 @@ ORACLE = {
  GROUP BY hashtag ORDER BY total_count DESC, hashtag LIMIT 10"""),
     "top_users_exact": _with(POSTS, """SELECT username, count(*) AS total_tweets FROM posts
  GROUP BY username ORDER BY total_tweets DESC, username LIMIT 10"""),
-    "top_hashtag_rows": _with(HASHTAG_WINDOWS, """SELECT hashtag, count, window_end FROM hw
+    "top_hashtag_rows": _with(HASHTAG_WINDOWS, """SELECT hashtag, count FROM hw
  ORDER BY count DESC NULLS FIRST, hashtag, window_end LIMIT 10"""),
-    "top_user_rows": _with(USER_WINDOWS, """SELECT username, tweet_count, window_end FROM uw
+    "top_user_rows": _with(USER_WINDOWS, """SELECT username, tweet_count FROM uw
+ ORDER BY tweet_count DESC NULLS FIRST, username, window_end LIMIT 10"""),
+    "avg_likes_rows": _with(USER_WINDOWS, f"""SELECT username, total_likes, tweet_count, {RATIO}
+ FROM uw ORDER BY avg_likes_per_tweet DESC NULLS FIRST, username, window_end LIMIT 10"""),
+    "stored_hashtag_rows": _with(HASHTAG_WINDOWS, """SELECT * FROM hw
+ ORDER BY count DESC NULLS FIRST, hashtag, window_end LIMIT 10"""),
+    "stored_user_rows": _with(USER_WINDOWS, """SELECT * FROM uw
  ORDER BY tweet_count DESC NULLS FIRST, username, window_end LIMIT 10"""),
-    "avg_likes_rows": _with(USER_WINDOWS, f"""SELECT username, total_likes, tweet_count,
- window_end, {RATIO} FROM uw
- ORDER BY avg_likes_per_tweet DESC NULLS FIRST, username, window_end LIMIT 10"""),
     "row_ratios": _with(USER_WINDOWS, f"SELECT username, total_likes, tweet_count, {RATIO} FROM uw"),
     "report_lines": _with(BOTH_WINDOWS, f"""
  SELECT 'batch_top_hashtags' AS report, printf('#%s: %d', hashtag, total_count) AS line
@@ -209,6 +212,9 @@ ORACLE = {
    printf('%s: %.2f avg likes (%d total likes over %d tweets)',
           username, avg_likes_per_tweet, sum_likes, sum_tweets)
  FROM ({TOP_AVERAGES})"""),
+    "sql_reports": _with(BOTH_WINDOWS, f"""
+ SELECT hashtag AS name, total_count AS total FROM ({TOP_HASHTAGS})
+ UNION ALL SELECT username, total_tweets FROM ({TOP_USERS})"""),
     "merge_insert_ignore": _with(POSTS, INSERT_IGNORE.format(text="text", id="BIGINT", n=2)),
     "merge_overwrite": _with(POSTS, OVERWRITE.format(n=2)),
     "merge_increment_hashtags": _with(TAGS, INCREMENT_HASHTAGS.format(n=2)),

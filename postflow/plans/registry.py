@@ -14,6 +14,7 @@ from postflow.operators import compare as matching
 from postflow.operators import merge, windows
 from postflow.operators.posts import activity_rows, hashtag_rows, message_rows, window_messages
 from postflow.plans import metrics, reports
+from postflow.plans.views import register_views
 from postflow.schemas import (
     CSV_COLUMNS, HASHTAGS_TOPIC, MERGES, TWEETS_TOPIC, USER_ACTIVITY_TOPIC, MergeSpec)
 from postflow.session import new_folder
@@ -244,6 +245,14 @@ def avg_likes_rows(spark, sf):
     return reports.top_ratio_rows(user_windows_of(spark, sf))
 
 
+def stored_hashtag_rows(spark, sf):
+    return reports.top_rows(hashtag_windows_of(spark, sf), "count", "hashtag")
+
+
+def stored_user_rows(spark, sf):
+    return reports.top_rows(user_windows_of(spark, sf), "tweet_count", "username")
+
+
 def row_ratios(spark, sf):
     return reports.row_ratios(user_windows_of(spark, sf))
 
@@ -253,6 +262,21 @@ def report_lines(spark, sf):
         hashtag_windows_of(spark, sf), user_windows_of(spark, sf)))
 
 
+def sql_reports(spark, sf):
+    """The first two reports as SQL text over views of stored tables."""
+    root = new_folder(spark, "tables")
+    for name, rows in (("hashtag_counts", hashtag_windows_of(spark, sf)),
+                       ("user_activity", user_windows_of(spark, sf))):
+        EpochTable.named(spark, root, name).write(rows, 0)
+    names = register_views(spark, root, "sql_reports_")
+    return spark.sql(f"""
+        (SELECT hashtag AS name, SUM(count) AS total FROM {names['hashtag_counts']}
+         GROUP BY hashtag ORDER BY total DESC NULLS FIRST, name LIMIT 10)
+        UNION ALL
+        (SELECT username AS name, SUM(tweet_count) AS total FROM {names['user_activity']}
+         GROUP BY username ORDER BY total DESC NULLS FIRST, name LIMIT 10)""")
+
+
 # Merges ----------------------------------------------------------------------
 
 def batches(posts: DataFrame, n: int = BATCHES) -> list[DataFrame]:
@@ -547,7 +571,8 @@ QUERIES = {query.__name__: query for query in (
     window_republish,
     hashtag_windows, hashtag_windows_direct, user_windows, user_windows_direct,
     top_hashtags, top_users, avg_likes_per_user, top_hashtags_exact, top_users_exact,
-    top_hashtag_rows, top_user_rows, avg_likes_rows, row_ratios, report_lines,
+    top_hashtag_rows, top_user_rows, avg_likes_rows, stored_hashtag_rows, stored_user_rows,
+    row_ratios, report_lines, sql_reports,
     merge_insert_ignore, merge_overwrite, merge_increment_hashtags, merge_increment_users,
     table_insert_ignore, table_overwrite, table_increment,
     metrics_summary, metrics_total, metrics_compare, metrics_compare_lines, user_name_matches,

@@ -50,24 +50,24 @@ def top_average_likes(activity: DataFrame, n: int = TOP) -> DataFrame:
     return _top(user_ratios(activity), "avg_likes_per_tweet", "username", n)
 
 
+def top_rows(table: DataFrame, measure: str, key: str, n: int = TOP) -> DataFrame:
+    """The largest stored rows whole; the key and the window settle ties."""
+    return table.orderBy(F.desc_nulls_first(measure), F.asc_nulls_last(key),
+                         F.asc_nulls_last("window_end")).limit(n)
+
+
 def top_hashtag_rows(counts: DataFrame, n: int = TOP) -> DataFrame:
-    """The largest stored rows; ``window_end`` settles what the tag leaves open."""
-    return (counts.orderBy(F.desc_nulls_first("count"), F.asc_nulls_last("hashtag"),
-                           F.asc_nulls_last("window_end"))
-            .limit(n).select("hashtag", "count", "window_end"))
+    return top_rows(counts, "count", "hashtag", n).select("hashtag", "count")
 
 
 def top_user_rows(activity: DataFrame, n: int = TOP) -> DataFrame:
-    return (activity.orderBy(F.desc_nulls_first("tweet_count"), F.asc_nulls_last("username"),
-                             F.asc_nulls_last("window_end"))
-            .limit(n).select("username", "tweet_count", "window_end"))
+    return top_rows(activity, "tweet_count", "username", n).select("username", "tweet_count")
 
 
 def top_ratio_rows(activity: DataFrame, n: int = TOP) -> DataFrame:
-    rows = activity.select("username", "total_likes", "tweet_count", "window_end").withColumn(
-        "avg_likes_per_tweet", ratio("total_likes", "tweet_count"))
-    return rows.orderBy(F.desc_nulls_first("avg_likes_per_tweet"), F.asc_nulls_last("username"),
-                        F.asc_nulls_last("window_end")).limit(n)
+    rows = activity.withColumn("avg_likes_per_tweet", ratio("total_likes", "tweet_count"))
+    return top_rows(rows, "avg_likes_per_tweet", "username", n).select(
+        "username", "total_likes", "tweet_count", "avg_likes_per_tweet")
 
 
 def processed_hashtags(counts: DataFrame) -> DataFrame:

@@ -28,6 +28,7 @@ from pyspark.sql import types as T
 
 from postflow.operators import merge
 from postflow.schemas import MERGES, SINK_NAMES, TABLES, MergeSpec
+from postflow.session import hadoop_path, path_exists
 
 DAY = "day"
 ADAPTIVE = "spark.sql.adaptive.enabled"
@@ -95,7 +96,7 @@ class EpochTable:
                folder: str | None = None) -> EpochTable:
         """The table ``name`` as it was written, for readers that did not write it."""
         tables = [cls.named(spark, root, name, folder=folder, **how) for how in KINDS]
-        found = [table for table in tables if table._exists(table.data)]
+        found = [table for table in tables if path_exists(spark, table.data)]
         if len(found) != 1:
             kinds = [table.kind for table in found] or "nothing"
             raise ValueError(f"{tables[0].path} holds {kinds}, expected one kind of table")
@@ -103,20 +104,11 @@ class EpochTable:
 
     # Folders -----------------------------------------------------------------
 
-    def _files(self, path: str):
-        """A path and its file system, as Hadoop objects."""
-        target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return target, target.getFileSystem(self.spark._jsc.hadoopConfiguration())
-
-    def _exists(self, path: str) -> bool:
-        target, files = self._files(path)
-        return files.exists(target)
-
     def _folders(self, path: str, prefix: str) -> dict[str, str]:
         """Sub-folders ``<prefix>=<value>`` by value."""
-        if not self._exists(path):
+        if not path_exists(self.spark, path):
             return {}
-        target, files = self._files(path)
+        target, files = hadoop_path(self.spark, path)
         names = [status.getPath().getName() for status in files.listStatus(target)]
         return {name.split("=", 1)[1]: f"{path}/{name}"
                 for name in names if name.startswith(f"{prefix}=")}
@@ -125,7 +117,7 @@ class EpochTable:
         """Finished epochs of ``log`` or ``base`` beyond ``after``, oldest first."""
         found = {}
         for value, folder in self._folders(f"{self.data}/{part}", "epoch").items():
-            if int(value) > after and self._exists(f"{folder}/_SUCCESS"):
+            if int(value) > after and path_exists(self.spark, f"{folder}/_SUCCESS"):
                 found[int(value)] = folder
         return dict(sorted(found.items()))
 
@@ -303,5 +295,5 @@ class EpochTable:
             stored = self._days(list(bases.values()))
             gone += [path for paths in stored.values() for path in paths[:-1]]
         for folder in gone:
-            target, files = self._files(folder)
+            target, files = hadoop_path(self.spark, folder)
             files.delete(target, True)

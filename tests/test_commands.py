@@ -30,6 +30,12 @@ def test_produce_stream_report_compare(spark, root, capsys):
         main(["report", *where])
         out = capsys.readouterr().out
         assert "#technology: 6" in out and "user1: 6 tweets" in out
+        main(["sql", "--query", "SELECT username, SUM(total_likes)::double / SUM(tweet_count) AS a "
+              "FROM user_activity WHERE username = 'user3' GROUP BY username", *where])
+        assert "|user3   |25.0|" in capsys.readouterr().out
+        main(["sql", "--query", "SELECT count(*) AS runs FROM performance_metrics "
+              "WHERE execution_mode = 'batch'", *where])
+        assert "|3   |" in capsys.readouterr().out
         main(["compact", "--expire", *where])
         main(["compare", *where])
         assert "batch_top_hashtags" in capsys.readouterr().out
