@@ -46,11 +46,6 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def new_folder(spark: SparkSession, name: str) -> str:
-    """A folder name under ``shared_dir`` that no earlier run has used."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def hadoop_path(spark: SparkSession, path: str):
     """A path and its file system, as Hadoop objects."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -60,3 +55,12 @@ def hadoop_path(spark: SparkSession, path: str):
 def path_exists(spark: SparkSession, path: str) -> bool:
     target, files = hadoop_path(spark, path)
     return files.exists(target)
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A path under ``shared_dir`` that no earlier run has used, deleted when the session ends."""
+    folder = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    target, files = hadoop_path(spark, folder)
+    files.mkdirs(target)
+    files.deleteOnExit(target)
+    return f"{folder}/data"

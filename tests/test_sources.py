@@ -166,7 +166,6 @@ def stub(master, setting=None):
 def test_shared_dir_is_the_one_the_cluster_names():
     named = stub("spark://host:7077", "hdfs://shared/folder")
     assert session.shared_dir(named) == "hdfs://shared/folder"
-    assert session.new_folder(named, "x").startswith("hdfs://shared/folder/x-")
 
 
 def test_a_cluster_without_a_shared_dir_is_an_error():
@@ -176,6 +175,8 @@ def test_a_cluster_without_a_shared_dir_is_an_error():
 
 def test_local_shared_dir_is_kept(spark):
     assert session.shared_dir(spark) == session.shared_dir(spark)
+    first, second = (session.new_folder(spark, "x") for _ in range(2))
+    assert first != second and first.startswith(session.shared_dir(spark))
 
 
 class Recorder:
