@@ -22,7 +22,7 @@ def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="postflow", description=__doc__)
     top.add_argument("command",
                      choices=("produce", "stream", "load", "report", "compare", "sql", "compact"))
-    top.add_argument("--root", help="folder of the stored tables")
+    top.add_argument("--root", help="folder of the stored tables and of rejects")
     top.add_argument("--brokers", help="Kafka bootstrap servers")
     top.add_argument("--topics", help="folder of topic files, in place of Kafka")
     top.add_argument("--csv", help="post file or folder (produce)")
@@ -60,7 +60,8 @@ def produce(spark: SparkSession, args) -> None:
         send(messages.withColumn("value", messages["value"].cast("binary")))
     else:
         jobs.message_writer(**{"kafka.bootstrap.servers": args.brokers})(message_rows(posts))
-    print(f"Cut records left out: {cut.count()}")
+    if args.root:
+        cut.write.mode("append").parquet(jobs.rejects_folder(args.root, "csv"))
 
 
 def watch(spark: SparkSession, args, start) -> None:

@@ -12,7 +12,7 @@ TOP = 10
 
 
 def _top(rows: DataFrame, measure: str, key: str, n: int) -> DataFrame:
-    """Highest first with nulls ahead, as the reference's database sorts; the key settles ties."""
+    """Highest first with nulls ahead; the key settles ties."""
     return rows.orderBy(F.desc_nulls_first(measure), F.asc_nulls_last(key)).limit(n)
 
 

@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import CSV, rows_of
+from conftest import rows_of
 
 from postflow.__main__ import main
 from postflow.operators.posts import message_rows
@@ -19,10 +19,11 @@ def send_seeds(spark, topics):
         messages.withColumn("value", messages["value"].cast("binary")))
 
 
-def test_produce_stream_report_compare(spark, root, capsys):
+def test_produce_stream_report_compare(spark, post_csv, root, capsys):
     topics, tables = f"{root}/topics", f"{root}/tables"
-    main(["produce", "--csv", CSV, "--record-sep", "\\r\\n", "--topics", topics])
-    assert "left out: 1" in capsys.readouterr().out
+    main(["produce", "--csv", post_csv, "--record-sep", "\\r\\n", "--topics", topics,
+          "--root", tables])
+    assert rows_of(spark.read.parquet(f"{tables}/rejects/topic=csv"), "tweet_id") == [(81,)]
     send_seeds(spark, topics)
     for mode in ("complete", "update"):
         where = ["--root", f"{tables}-{mode}"]
@@ -43,8 +44,8 @@ def test_produce_stream_report_compare(spark, root, capsys):
         assert stored.count() == 85
 
 
-def test_load(spark, root):
-    main(["produce", "--csv", CSV, "--topics", f"{root}/topics", "--limit", "20"])
+def test_load(spark, post_csv, root):
+    main(["produce", "--csv", post_csv, "--topics", f"{root}/topics", "--limit", "20"])
     send_seeds(spark, f"{root}/topics")
     main(["load", "--once", "--root", f"{root}/tables", "--topics", f"{root}/topics"])
     users = EpochTable.stored(spark, f"{root}/tables", "user_activity").current()

@@ -235,3 +235,21 @@ def test_hot_key_is_combined_before_the_shuffle(spark):
     plan = folded._jdf.queryExecution().executedPlan().toString()
     assert "partial_sum" in plan and "SortAggregate" not in plan
     assert folded.filter("hashtag = 'hot'").first()["count"] == 3000
+
+
+def test_a_day_with_most_rows_is_written_by_several_tasks(spark, root):
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "20k")
+    try:
+        table = EpochTable.named(spark, root, "hashtag_counts", "overwrite")
+        rows = spark.range(0, 20000, 1, 8).selectExpr(
+            "concat('t', id) AS hashtag", "1L AS count",
+            "timestamp '2024-01-01 10:00:00' AS window_end",
+            "timestamp '2024-01-01 10:00:00' AS last_updated")
+        few = counts(spark, [(f"t{day}", 1, at(5, day=day), at(1)) for day in range(2, 9)])
+        assert table.write(rows.unionByName(few), 0) == 20007
+        files = [name for name in table.current().inputFiles()]
+        assert sum("day=2024-01-01" in name for name in files) > 2
+        assert sum("day=2024-01-05" in name for name in files) == 1
+        assert table.current().count() == 20007
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
