@@ -153,7 +153,8 @@ def compare_families(metrics: DataFrame) -> DataFrame:
 def comparison_lines(compared: DataFrame) -> DataFrame:
     """Fixed-width lines of the comparison table."""
     return compared.select(F.concat(
-        F.rpad("query_type", F.greatest(F.lit(25), F.char_length("query_type")), F.lit(" ")), F.lit(" "),
+        F.rpad("query_type", F.greatest(F.lit(25), F.char_length("query_type")), F.lit(" ")),
+        F.lit(" "),
         F.rpad(two_digits("stream_avg"), 20, " "), F.lit(" "),
         F.rpad(two_digits("batch_avg"), 20, " "), F.lit(" "),
         F.rpad(two_digits("difference"), 15, " "), F.lit(" "),

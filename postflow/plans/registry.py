@@ -567,8 +567,8 @@ def stream_batch_parity(spark, sf):
 QUERIES = {query.__name__: query for query in (
     hashtag_extract, hashtag_explode, hashtag_count_per_post, url_fragments, page_hashtags,
     document_hashtag_counts, escape_quotes, iso_times, post_project_cast, user_activity_rows,
-    csv_scan, csv_split_scan, post_sample, json_roundtrip, json_rejects, json_accepted, message_fanout,
-    window_republish,
+    csv_scan, csv_split_scan, post_sample, json_roundtrip, json_rejects, json_accepted,
+    message_fanout, window_republish,
     hashtag_windows, hashtag_windows_direct, user_windows, user_windows_direct,
     top_hashtags, top_users, avg_likes_per_user, top_hashtags_exact, top_users_exact,
     top_hashtag_rows, top_user_rows, avg_likes_rows, stored_hashtag_rows, stored_user_rows,

@@ -22,7 +22,8 @@ def register_views(spark: SparkSession, root: str, prefix: str = "") -> dict[str
             frames[name] = EpochTable.stored(spark, root, name).current()
     log = f"{root}/performance_metrics"
     if path_exists(spark, log):
-        frames["performance_metrics"] = read_table(spark, "performance_metrics", "parquet", path=log)
+        frames["performance_metrics"] = read_table(
+            spark, "performance_metrics", "parquet", path=log)
     for name, frame in frames.items():
         frame.createOrReplaceTempView(prefix + name)
     return {name: prefix + name for name in frames}

@@ -270,15 +270,16 @@ class EpochTable:
         return self._store(self._shaped(rows), "base", epoch)
 
     def compact(self) -> None:
-        """Fold the finished log into the base, for the days it touches."""
-        _, warm, log = self._plan()
+        """Fold the finished log into the base, for the days it touches.
+
+        Epochs that finish meanwhile stay in the log.
+        """
+        epoch = max(self._epochs("log"), default=-1)
+        _, warm, log = self._plan(before=epoch + 1)
         if not log:
             return
-        epoch = max(self._epochs("log"))
-        if self.spec.policy == "ignore":
-            self._store(self._read("log", log).select(*self.schema.names), "base", epoch)
-        else:
-            self._store(self._merged(warm, log).select(*self.schema.names), "base", epoch)
+        folded = self._read("log", log) if self.spec.policy == "ignore" else self._merged(warm, log)
+        self._store(folded.select(*self.schema.names), "base", epoch)
 
     def expire(self) -> None:
         """Delete epochs that no reader of the newest base needs.

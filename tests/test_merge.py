@@ -120,6 +120,22 @@ def test_unfinished_epoch_is_not_read(spark, root):
     assert rows_of(table.current(), "hashtag", "count") == [("a", 1)]
 
 
+def test_compaction_leaves_out_what_finishes_meanwhile(spark, root):
+    class Busy(EpochTable):
+        def _merged(self, warm, log):
+            merged = super()._merged(warm, log)
+            self.write(counts(spark, [("a", 5, at(5), at(3))]), 2)
+            return merged
+
+    busy = Busy.named(spark, root, "hashtag_counts", "increment")
+    for epoch in range(2):
+        busy.write(counts(spark, [("a", 1, at(5), at(1))]), epoch)
+    busy.compact()
+    table = EpochTable.stored(spark, root, "hashtag_counts")
+    assert list(table._epochs("base")) == [1]
+    assert rows_of(table.current(), "hashtag", "count") == [("a", 7)]
+
+
 def test_days_without_news_are_read_without_a_shuffle(spark, root):
     table = EpochTable.named(spark, root, "hashtag_counts", "overwrite")
     table.write(counts(spark, [("a", 1, at(5, day=day), at(1)) for day in range(1, 6)]), 0)
