@@ -46,14 +46,18 @@ def _complete(columns) -> Column:
 def parse(rows: DataFrame, topic: str) -> DataFrame:
     """Payload fields as flat columns, and ``raw``, the text of a row that lacks a required field.
 
+    Where the rows have a partition and an offset, these stay, as they tell the
+    order of arrival.
+
     Text that is not JSON, or a field of the wrong type, gives nulls;
     ``accepted`` and ``rejected`` then part the rows. The struct is opened with
     ``inline``: a filter does not move below it, where each tested field would
     parse the text once more.
     """
     payload = F.from_json("raw", MESSAGES[topic])
-    return (rows.select(F.col("value").cast("string").alias("raw"))
-            .select("raw", F.inline(F.array(payload)))
+    place = [name for name in ("partition", "offset") if name in rows.columns]
+    return (rows.select(*place, F.col("value").cast("string").alias("raw"))
+            .select(*place, "raw", F.inline(F.array(payload)))
             .withColumn("timestamp", event_time("timestamp"))
             .withColumn("raw", F.when(~_complete(REQUIRED[topic]), F.col("raw"))))
 

@@ -17,6 +17,10 @@ Save = Callable[[DataFrame, int], None]
 Source = Callable[[str], DataFrame]
 
 
+# The first of several posts with one id: by offset, or by time where there is none.
+ARRIVAL = ("offset", "timestamp")
+
+
 # Sinks -----------------------------------------------------------------------
 
 def table_sink(table: EpochTable, order: tuple[str, ...] = (),
@@ -88,7 +92,7 @@ def shared_sink(spark: SparkSession, root: str) -> Save:
             bad = rejected(parsed, TWEETS_TOPIC)
             bad.write.mode("overwrite").parquet(f"{rejects}/epoch={epoch}")
             posts = accepted(parsed, TWEETS_TOPIC)
-            tweets.write(posts, epoch, ("timestamp",))
+            tweets.write(posts, epoch, ARRIVAL)
             counts.write(windowed_hashtags(hashtag_rows(posts)), epoch, unique=True)
             users.write(windowed_posts(posts), epoch, unique=True)
         finally:
@@ -167,7 +171,7 @@ def start_analysis(spark: SparkSession, root: str, source: Source, mode: str = "
     }
     tweets = EpochTable.named(spark, root, "tweets")
     sink = load_sink(tweets, TWEETS_TOPIC, rejects_folder(root, TWEETS_TOPIC),
-                     lambda rows: rows, ("timestamp",))
+                     lambda rows: rows, ARRIVAL)
     queries = {"tweets": start(parse(source(TWEETS_TOPIC), TWEETS_TOPIC), sink,
                                tweets.checkpoint, trigger=raw_trigger, name="tweets")}
     for folder, (name, result) in results.items():
@@ -184,7 +188,7 @@ def start_shared(spark: SparkSession, root: str, source: Source,
 
 
 LOADS = {
-    TWEETS_TOPIC: ("tweets", "ignore", lambda rows: rows, ("timestamp",)),
+    TWEETS_TOPIC: ("tweets", "ignore", lambda rows: rows, ARRIVAL),
     HASHTAGS_TOPIC: ("hashtag_counts", "increment", tag_shape, ()),
     USER_ACTIVITY_TOPIC: ("user_activity", "increment", activity_shape, ()),
 }

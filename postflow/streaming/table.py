@@ -222,11 +222,15 @@ class EpochTable:
                  .parquet(folder))
         return seen.get["rows"]
 
-    def _shaped(self, rows: DataFrame) -> DataFrame:
-        """Columns by the table's names and types; rows without a key have no place."""
+    def _shaped(self, rows: DataFrame, order: tuple[str, ...] = ()) -> DataFrame:
+        """Columns by the table's names and types, and those that ``order`` needs besides.
+
+        Rows without a key have no place in a table.
+        """
         rows = rows.withColumnsRenamed(self.names)
+        besides = [name for name in order if name not in self.schema.names]
         return rows.dropna(subset=list(self.spec.keys)).select(
-            *[F.col(field.name).cast(field.dataType) for field in self.schema.fields])
+            *[F.col(field.name).cast(field.dataType) for field in self.schema.fields], *besides)
 
     def _new_rows(self, rows: DataFrame, epoch: int, order: tuple[str, ...]) -> DataFrame:
         """First rows of the keys that earlier epochs lack.
@@ -255,15 +259,15 @@ class EpochTable:
         which of the repeats is the last. ``increment`` sums repeats, unless the
         rows are known to be ``unique``, as a window aggregate's are.
         """
-        rows = self._shaped(rows)
+        rows = self._shaped(rows, order)
         if self.spec.policy == "ignore":
-            return self._store(self._new_rows(rows, epoch, order), "log", epoch)
-        if self.spec.policy == "increment":
+            rows = self._new_rows(rows, epoch, order)
+        elif self.spec.policy == "increment":
             if not unique:
                 rows = merge.deltas(rows, self.spec)
         elif order:
             rows = merge.last_per_key(rows, self.spec.keys, order)
-        return self._store(rows, "log", epoch)
+        return self._store(rows.select(*self.schema.names), "log", epoch)
 
     def replace(self, rows: DataFrame, epoch: int) -> int:
         """Store the whole content of a ``complete`` table as epoch ``epoch``."""

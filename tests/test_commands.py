@@ -37,6 +37,8 @@ def test_produce_stream_report_compare(spark, post_csv, root, capsys):
         main(["sql", "--query", "SELECT count(*) AS runs FROM performance_metrics "
               "WHERE execution_mode = 'batch'", *where])
         assert "|3   |" in capsys.readouterr().out
+        for name in TABLES:
+            spark.catalog.dropTempView(name)
         main(["compact", "--expire", *where])
         main(["compare", *where])
         assert "batch_top_hashtags" in capsys.readouterr().out

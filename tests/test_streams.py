@@ -201,6 +201,19 @@ def test_loads_keep_rejects(spark, root):
     assert rows_of(bad, "raw") == [("oops",), ("{}",)]
 
 
+def test_the_first_offset_wins(spark, root):
+    lines = [json.dumps({"tweet_id": 1, "username": "u", "text": text, "retweets": 0, "likes": 0,
+                         "timestamp": f"2024-01-01 11:0{minute}:00"}).encode()
+             for text, minute in (("second", 1), ("first", 9), ("third", 0))]
+    spark.createDataFrame(
+        [(lines[n], offset, 0, TWEETS_TOPIC) for n, offset in ((0, 8), (1, 7), (2, 9))],
+        "value binary, offset long, partition int, topic string").coalesce(1).write.partitionBy(
+        "topic").parquet(f"{root}/in")
+    jobs.finish([jobs.start_shared(spark, f"{root}/out", source(spark, f"{root}/in"), NOW)])
+    tweets = EpochTable.stored(spark, f"{root}/out", "tweets").current()
+    assert rows_of(tweets, "tweet_text") == [("first",)]
+
+
 def test_republished_windows_follow_the_table(spark, posts, slices, tmp_path):
     arrange(slices, tmp_path / "in", ORDERED)
     tags = hashtag_rows(jobs.good(source(spark, tmp_path / "in"), TWEETS_TOPIC))
