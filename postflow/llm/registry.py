@@ -2,14 +2,27 @@
 
 from __future__ import annotations
 
-from postflow.llm import chat, exact_dedup, quality_rules, url_rules
+import public_tokenizers
+
+from postflow.llm import bpe, chat, exact_dedup, packing, quality_rules, shards, url_rules
 from postflow.llm.common import table
+from postflow.session import new_folder
+
+
+def op2_best_two_fit(spark, sf):
+    return packing.pack(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def op3_exact_dedup(spark, sf):
     return exact_dedup.exact_duplicates(table(spark, sf, "documents"))
 
 
+def op4_bpe(spark, sf):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoded = bpe.encode_texts(table(spark, sf, "documents"), path)
+    return bpe.digests(bpe.decode_ids(encoded, path))
+
+
 def op5_url_rules(spark, sf):
     return url_rules.url_filter(table(spark, sf, "pages"), table(spark, sf, "labels"))
 
@@ -25,8 +38,15 @@ def op8_quality_rules(spark, sf):
         "base_failed", "kept")
 
 
+def op10_shards(spark, sf):
+    return shards.materialise(
+        table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+        new_folder(spark, "shards"), stored=True)
+
+
 QUERIES = {f.__name__: f for f in (
-    op3_exact_dedup, op5_url_rules, op7_chat, op8_quality_rules)}
+    op2_best_two_fit, op3_exact_dedup, op4_bpe, op5_url_rules, op7_chat, op8_quality_rules,
+    op10_shards)}
 
 ORACLE = {
     "op3_exact_dedup": exact_dedup.QUERY_SQL,
