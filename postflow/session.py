@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -52,6 +54,14 @@ def hadoop_path(spark: SparkSession, path: str):
     return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def share_package(spark: SparkSession) -> None:
+    """Lets Python workers find this package where the session runs from another folder."""
+    own = str(Path(__file__).resolve().parents[1])
+    known = spark.sparkContext.environment
+    if own not in known.get("PYTHONPATH", "").split(os.pathsep):
+        known["PYTHONPATH"] = os.pathsep.join(filter(None, [own, known.get("PYTHONPATH")]))
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     target, files = hadoop_path(spark, path)
     return files.exists(target)
