@@ -4,11 +4,17 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from postflow.llm import bpe, chat, exact_dedup, packing, quality_rules, shards, url_rules
+from postflow.llm import (
+    bpe, chat, exact_dedup, html_text, packing, quality_model, quality_rules, shards, simhash,
+    url_rules)
 from postflow.llm.common import table
 from postflow.session import new_folder
 
 
+def op1_simhash(spark, sf):
+    return simhash.near_duplicates(table(spark, sf, "documents"))
+
+
 def op2_best_two_fit(spark, sf):
     return packing.pack(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -27,6 +33,12 @@ def op5_url_rules(spark, sf):
     return url_rules.url_filter(table(spark, sf, "pages"), table(spark, sf, "labels"))
 
 
+def op6_quality_model(spark, sf):
+    docs = table(spark, sf, "documents")
+    return quality_model.quality_scores(
+        docs, quality_model.trained(docs, table(spark, sf, "labels")))
+
+
 def op7_chat(spark, sf):
     rows = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
     return chat.read_back(chat.format_chats(rows.unionByName(chat.probe_turns(rows))))
@@ -38,6 +50,12 @@ def op8_quality_rules(spark, sf):
         "base_failed", "kept")
 
 
+def op9_html_text(spark, sf):
+    pages = table(spark, sf, "pages")
+    model = html_text.fitted(html_text.sample(pages, table(spark, sf, "documents")))
+    return html_text.extracted(pages, model)
+
+
 def op10_shards(spark, sf):
     return shards.materialise(
         table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
@@ -45,8 +63,8 @@ def op10_shards(spark, sf):
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_best_two_fit, op3_exact_dedup, op4_bpe, op5_url_rules, op7_chat, op8_quality_rules,
-    op10_shards)}
+    op1_simhash, op2_best_two_fit, op3_exact_dedup, op4_bpe, op5_url_rules, op6_quality_model,
+    op7_chat, op8_quality_rules, op9_html_text, op10_shards)}
 
 ORACLE = {
     "op3_exact_dedup": exact_dedup.QUERY_SQL,
