@@ -21,6 +21,11 @@ def filled(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
+def whole_row(docs: DataFrame) -> Column:
+    """All columns of a row as one, so that none clashes with an operator's own."""
+    return F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("whole_row")
+
+
 def saved(frame: DataFrame, name: str) -> DataFrame:
     """The frame written to the cluster's shared folder and read again: a lost executor costs
     nothing that was computed before."""

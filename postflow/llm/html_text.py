@@ -50,6 +50,7 @@ PRIOR = 40.0  # log odds of such a tag or word
 GENERIC, SHAPE = 0.5, 1.0  # bounds of the learned log odds of other tags, and of text shapes
 TRAINED = 7.0  # bound of the learned log odds of the tags and words above
 COUPLING = 5.0  # bound of the learned log odds between a parent and its child
+TIE = -1e-6  # nothing known, up to rounding: taken as content
 # The model is fitted on a bounded sample of labelled pages of at most so many characters.
 SAMPLE_PAGES, SAMPLE_CHARS = 400, 60_000
 
@@ -244,7 +245,7 @@ def main_text(model: Model, html: str) -> str:
     nodes = tree_of(html)
     odds = marginals(model, nodes)
     return "\n".join(text for node, value in zip(nodes, odds)
-                     if node.tag == "#run" and value >= 0 and (text := text_of(node)))
+                     if node.tag == "#run" and value > TIE and (text := text_of(node)))
 
 
 def states(nodes: list[Node], source: str) -> list[bool] | None:

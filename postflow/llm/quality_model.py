@@ -16,7 +16,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postflow.llm.common import filled
+from postflow.llm.common import filled, whole_row
 
 # The model is fitted on a bounded sample: at most so many labelled documents of each class for the
 # dictionaries and as many for the calibration, and so many characters of each.
@@ -173,6 +173,5 @@ def quality_scores(docs: DataFrame, model: Model, key: str = "doc_id",
 
 def keep_good(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """The rows of ``docs`` that are predicted good, with all their columns."""
-    whole = F.struct(*[F.col(f"`{x}`") for x in docs.columns]).alias("whole_row")
-    rows = docs.select(whole, score(model, text).alias("score"))
+    rows = docs.select(whole_row(docs), score(model, text).alias("score"))
     return rows.filter(F.col("score") >= THRESHOLD).select("whole_row.*")

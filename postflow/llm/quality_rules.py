@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postflow.llm.common import WHITE, filled
+from postflow.llm.common import WHITE, filled, whole_row
 
 # Frequent words of the four languages of the corpus.
 STOP_WORDS = (
@@ -103,10 +103,9 @@ def quality_rules(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
 
 def keep_good(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows of ``docs`` that pass, with all their columns."""
-    whole = F.struct(*[F.col(f"`{x}`") for x in docs.columns]).alias("whole_row")
     # A filter on a column that isn't deterministic stays above the figures; else the optimizer
     # would put their expressions into the filter, once for each place that reads them.
-    rows = measured(docs, text, [whole]).withColumn("task", F.spark_partition_id())
+    rows = measured(docs, text, [whole_row(docs)]).withColumn("task", F.spark_partition_id())
     kept = ~base_failed() & within() & (F.col("task") >= 0)
     return rows.filter(kept).select("whole_row.*")
 

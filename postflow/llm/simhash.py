@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postflow.llm.batches import slices, texts_of
-from postflow.llm.common import saved
+from postflow.llm.common import saved, whole_row
 
 SHINGLE, MOST_BITS = 3, 3
 SEGMENTS, WIDTH = 4, 16
@@ -158,5 +158,7 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     """The rows of ``docs`` whose id names its component, with all their columns."""
     first = near_duplicates(docs, key, text).filter(
         F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("__id")).distinct()
-    return docs.join(first, F.col(key).eqNullSafe(F.col("__id")), "left_semi")
+        F.col("doc_id").alias("first_id")).distinct()
+    rows = docs.select(whole_row(docs), F.col(key).alias("doc_id"))
+    return rows.join(first, F.col("doc_id").eqNullSafe(F.col("first_id")), "left_semi").select(
+        "whole_row.*")

@@ -1,0 +1,102 @@
+from __future__ import annotations
+
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from cases import TEXTS, documents, words
+from tokenizers import Tokenizer
+
+from postflow.llm.packing import best_two, pack, planned
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_plan_holds_every_piece_once(seed):
+    draw = random.Random(seed)
+    size = draw.choice([1, 7, 64, 1024])
+    held = Counter(min(size, 1 + int(draw.expovariate(4 / size))) for _ in range(seed * 90))
+    plan = planned(held, size)
+    packed = Counter()
+    for lengths, times in plan:
+        assert sum(lengths) <= size and times > 0
+        for length in lengths:
+            packed[length] += times
+    assert packed == held
+
+
+def sequential(held, size):
+    """The same rule, one bin at a time."""
+    left, bins = Counter(held), 0
+    while +left:
+        bins += 1
+        gap, chosen = size, []
+        while fit := [x for x in left if left[x] and x <= gap]:
+            chosen.append(max(fit))
+            left[chosen[-1]] -= 1
+            gap -= chosen[-1]
+        if gap:
+            wide = gap + chosen[-1]
+            pairs = [(a + b, a, b) for a in left for b in left if b <= a and a + b <= wide
+                     and left[a] and left[b] and (a != b or left[a] > 1)]
+            total, a, b = max(pairs, default=(0, 0, 0))
+            if total > chosen[-1]:
+                left[chosen[-1]] += 1
+                left.subtract([a, b])
+    return bins
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_bins_alike_are_planned_as_if_one_by_one(seed):
+    draw = random.Random(seed)
+    held = Counter(draw.randint(3, 40) for _ in range(400))
+    assert sum(t for _, t in planned(held, 64)) == sequential(held, 64)
+
+
+def test_best_two_uses_unpacked_pieces_only():
+    free = np.zeros(11, dtype=np.int64)
+    free[[3, 5]] = 1
+    assert best_two(free, 10) == (5, 3)
+    assert best_two(free, 7) == (0, 0)
+
+
+def first_fit(lengths):
+    """Bins of the common greedy rule, longest piece first."""
+    gaps = []
+    for length in sorted(lengths, reverse=True):
+        at = next((i for i, gap in enumerate(gaps) if gap >= length), len(gaps))
+        gaps += [1024] * (at == len(gaps))
+        gaps[at] -= length
+    return len(gaps)
+
+
+def test_pieces_of_every_kind_of_text(spark):
+    library = Tokenizer.from_file(PATH)
+    docs = documents(spark, TEXTS + [words(i, 700) for i in range(40)])
+    texts = Counter((r.doc_id, r.text or "") for r in docs.collect())
+    rows = pack(docs, PATH).collect()
+    ids = {key: library.encode(text, add_special_tokens=False).ids + [2] for key, text in texts}
+    pieces = defaultdict(list)
+    for r in rows:
+        part = np.array(ids[r.doc_id][r.start:r.start + r.length], dtype="<u4")
+        assert len(part) == r.length and r.ids_crc32 == zlib.crc32(part.tobytes())
+        pieces[r.doc_id].append((r.piece, r.start, r.length))
+    for (key, _), times in texts.items():
+        own = sorted(set(pieces[key]))
+        assert len(pieces[key]) == times * len(own)
+        assert [p for p, *_ in own] == list(range(len(own)))
+        assert sum(n for *_, n in own) == len(ids[key])
+        assert all(n == 1024 for *_, n in own[1:])
+    bins = defaultdict(list)
+    for r in rows:
+        bins[r.sequence_id].append((r.offset, r.length))
+    for held in bins.values():
+        held.sort()
+        assert held[0][0] == 0 and sum(held[-1]) <= 1024
+        assert all(a + n == b for (a, n), (b, _) in zip(held, held[1:]))
+    assert len(bins) <= first_fit([r.length for r in rows])
+    assert pack(documents(spark, []), PATH).count() == 0

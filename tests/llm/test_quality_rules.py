@@ -1,0 +1,47 @@
+from __future__ import annotations
+
+import re
+from collections import Counter
+
+from cases import TEXTS, documents, words
+
+from postflow.llm.quality_rules import keep_good, quality_rules
+
+
+def figures(text):
+    text = text or ""
+    split = re.findall(r"[^\x20\x09-\x0D]+", text)
+    grams = [tuple(split[i:i + 3]) for i in range(len(split) - 2)]
+    counts = Counter(grams)
+    repeated = {j for i, g in enumerate(grams) if counts[g] > 1 for j in (i, i + 1, i + 2)}
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    failed = len(split) < 50 or 100 * len(repeated) > 50 * len(split)
+    return (len(split), sum(map(len, split)), len(re.findall(r"[#*$%&|<>]", text)),
+            len(lines) - len(set(lines)), len(repeated), failed)
+
+
+PROSE = " ".join(f"the {words(i, 4)} of {words(i + 500, 3)} and" for i in range(30))
+MORE = [PROSE, PROSE + "\n" + PROSE, PROSE.upper(), PROSE.replace(" ", " ## "), "go " * 400,
+        "\n".join([PROSE[:200]] * 9), words(1, 400), PROSE + " a | b" * 3]
+
+
+def test_figures_and_base_rule(spark):
+    docs = documents(spark, TEXTS + MORE)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    for r in quality_rules(docs).collect():
+        got = (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed)
+        assert got == figures(texts[r.doc_id])
+        assert not (r.kept and r.base_failed)
+
+
+def test_verdicts(spark):
+    kept = {r.doc_id: r.kept for r in quality_rules(documents(spark, MORE)).collect()}
+    assert [kept[i] for i in range(8)] == [True, False, False, False, False, False, False, True]
+
+
+def test_kept_rows_keep_their_columns(spark):
+    docs = documents(spark, MORE)
+    good = keep_good(docs)
+    assert good.columns == docs.columns
+    assert sorted(r.doc_id for r in good.collect()) == [0, 7, 7]
+    assert keep_good(documents(spark, [])).count() == 0

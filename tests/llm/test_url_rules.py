@@ -1,0 +1,56 @@
+from __future__ import annotations
+
+import re
+
+from postflow.llm.url_rules import RULES, url_filter
+
+URLS = ["http://a.org/x", "https://EXAMPLE.org/es/1", "http://www.example.org/en/17?x=1",
+        "http://b.com/fr/2", "http://b.com/de/2#t", "http://com/de/", "http://xcom/de/", "no scheme",
+        "", None, "http://example.org", "http://example.org?/es/", "ftp://É.org/a://b", "http://c.net/es/9",
+        "http://a.org\n/x", "x://y://z.org/q", "http:///p"]
+
+
+def parts(url):
+    if url is None or "://" not in url:
+        return "", ""
+    rest = url.split("://", 1)[1]
+    host = re.match(r"[^/?#]*", rest)[0]
+    path = re.match(r"[^?#]*", rest[len(host):])[0]
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in host), path
+
+
+def ruled(host, path):
+    fits = [(h + p, v) for h, p, v in RULES
+            if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    return max(fits, key=lambda f: len(f[0]), default=(None, None))
+
+
+def pages(spark, urls):
+    rows = [(i, u, "h", "clash", i) for i, u in enumerate(urls)]
+    return spark.createDataFrame(
+        rows, "page_id long, url string, html string, tokens string, rule long")
+
+
+def labels(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
+
+
+def test_parts_and_fixed_rules(spark):
+    urls = URLS + URLS[:3]
+    for r in url_filter(pages(spark, urls), labels(spark, [])).collect():
+        host, path = parts(urls[r.page_id])
+        rule, verdict = ruled(host, path)
+        assert (r.host, r.path, r.rule) == (host, path, rule)
+        assert r.verdict == (verdict or "allow")
+
+
+def test_mined_rules_block_what_labels_call_bad(spark):
+    urls = [f"http://{'spam' if i % 5 == 0 else 'news'}.example.net/en/{i}" for i in range(300)]
+    marks = [(i, 0 if i % 5 == 0 else 1, 0) for i in range(0, 300, 2)] + [(None, 0, None)]
+    got = {r.page_id: r.verdict for r in url_filter(
+        pages(spark, urls), labels(spark, marks)).collect()}
+    assert all((got[i] == "block") == (i % 5 == 0) for i in range(300))
+
+
+def test_empty_tables(spark):
+    assert url_filter(pages(spark, []), labels(spark, [])).count() == 0
