@@ -4,12 +4,11 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from postflow.operators.posts import message_rows
 from postflow.plans import metrics, reports
-from postflow.plans.views import register_views
-from postflow.schemas import MERGES
+from postflow.plans.views import register_views, stored_tables
 from postflow.session import build_session
 from postflow.sources.messages import split_rows, topic_stream
 from postflow.sources.posts import csv_posts
@@ -27,14 +26,17 @@ def parser() -> argparse.ArgumentParser:
     top.add_argument("--topics", help="folder of topic files, in place of Kafka")
     top.add_argument("--csv", help="post file or folder (produce)")
     top.add_argument("--record-sep", help="separator of CSV records, to split large files")
-    top.add_argument("--split", action="store_true",
-                     help="split large CSV files by counting quotes")
     top.add_argument("--limit", type=int, help="records to send (produce)")
-    top.add_argument("--mode", choices=("complete", "update"), default="complete",
-                     help="output mode of the windowed jobs (stream)")
+    top.add_argument("--mode", choices=("shared", "update", "complete"), default="shared",
+                     help="stream: one query that reads posts once and holds no state (shared), "
+                     "windows behind a watermark (update), or all windows each time, for parity "
+                     "with batches only (complete)")
+    top.add_argument("--republish", action="store_true",
+                     help="send changed windows on as messages (stream; not with shared)")
     top.add_argument("--rate", type=int, help="offsets or files per micro-batch")
     top.add_argument("--once", action="store_true", help="stop at the end of the present data")
     top.add_argument("--query", help="SQL text over the stored tables (sql)")
+    top.add_argument("--out", help="folder for the result, as Parquet (sql, compare)")
     top.add_argument("--expire", action="store_true", help="delete what is folded (compact)")
     top.add_argument("--master", help="Spark master, if not set elsewhere")
     return top
@@ -52,16 +54,22 @@ def source_of(spark: SparkSession, args) -> jobs.Source:
 
 def produce(spark: SparkSession, args) -> None:
     separator = args.record_sep and args.record_sep.encode().decode("unicode_escape")
-    posts, cut = split_rows(csv_posts(
-        spark, args.csv, separator, args.split, limit=args.limit))
-    if args.topics:
-        send = jobs.message_writer("parquet", path=args.topics)
-        messages = message_rows(posts)
-        send(messages.withColumn("value", messages["value"].cast("binary")))
-    else:
-        jobs.message_writer(**{"kafka.bootstrap.servers": args.brokers})(message_rows(posts))
+    # Read and cut to the limit once, so that all topics tell of the same records.
+    records = csv_posts(spark, args.csv, separator, limit=args.limit).persist()
+    posts, cut = split_rows(records)
+    sender(args)(message_rows(posts))
     if args.root:
         cut.write.mode("append").parquet(jobs.rejects_folder(args.root, "csv"))
+    records.unpersist()
+
+
+def sender(args):
+    """Messages to Kafka, or to the folder of topic files."""
+    if not args.topics:
+        return jobs.message_writer(**{"kafka.bootstrap.servers": args.brokers})
+    write = jobs.message_writer("parquet", path=args.topics)
+    return lambda messages: write(
+        messages.withColumn("value", messages["value"].cast("binary")))
 
 
 def watch(spark: SparkSession, args, start) -> None:
@@ -79,14 +87,22 @@ def watch(spark: SparkSession, args, start) -> None:
         jobs.finish(queries)
     else:
         jobs.run_until_stopped(spark, queries, every)
+    progress.settle(spark)
     every()
     spark.streams.removeListener(progress)
 
 
 def stream(spark: SparkSession, args) -> None:
     now = {"availableNow": True} if args.once else None
-    watch(spark, args, lambda: jobs.start_analysis(
-        spark, args.root, source_of(spark, args), args.mode, now, now))
+    source = source_of(spark, args)
+    if args.mode == "shared":
+        if args.republish:
+            raise SystemExit("--republish needs windows that are whole: --mode update")
+        watch(spark, args, lambda: {"shared": jobs.start_shared(spark, args.root, source, now)})
+    else:
+        send = sender(args) if args.republish else None
+        watch(spark, args, lambda: jobs.start_analysis(
+            spark, args.root, source, args.mode, now, now, send))
 
 
 def load(spark: SparkSession, args) -> None:
@@ -113,20 +129,30 @@ def report(spark: SparkSession, args) -> None:
 def compare(spark: SparkSession, args) -> None:
     log = read_table(spark, "performance_metrics", "parquet",
                      path=f"{args.root}/performance_metrics")
-    metrics.sorted_summary(log).show(100, False)
     by_name = metrics.compare(log)
-    metrics.comparison_lines(by_name).show(100, False)
-    metrics.compare_families(log).show(100, False)
+    for name, frame in (("summary", metrics.sorted_summary(log)),
+                        ("by_name", metrics.comparison_lines(by_name)),
+                        ("by_family", metrics.compare_families(log))):
+        give(frame, args.out and f"{args.out.rstrip('/')}/{name}")
+
+
+def give(frame: DataFrame, folder: str | None) -> None:
+    """A whole result: to a folder, written by all tasks, or row by row to the console."""
+    if folder:
+        frame.write.mode("error").parquet(folder)
+        return
+    print("|" + "|".join(frame.columns) + "|")
+    for row in frame.toLocalIterator(prefetchPartitions=True):
+        print("|" + "|".join("NULL" if value is None else str(value) for value in row) + "|")
 
 
 def sql(spark: SparkSession, args) -> None:
     register_views(spark, args.root)
-    spark.sql(args.query).show(100, False)
+    give(spark.sql(args.query), args.out)
 
 
 def compact(spark: SparkSession, args) -> None:
-    for name in MERGES:
-        table = EpochTable.stored(spark, args.root, name)
+    for table in stored_tables(spark, args.root).values():
         table.compact()
         if args.expire:
             table.expire()

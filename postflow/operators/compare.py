@@ -6,16 +6,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def substrings(text: str) -> Column:
-    """Every distinct substring of a short text, the empty one included."""
+def substrings(text: str, least: int = 0, most: int | None = None) -> Column:
+    """Every distinct substring of a short text with ``least`` to ``most`` characters."""
     length = F.char_length(text)
+    longest = length if most is None else F.least(length, F.lit(most))
+    sizes = F.when(longest >= max(least, 1), F.sequence(F.lit(max(least, 1)), longest))
     parts = F.flatten(F.transform(
-        F.sequence(F.lit(1), length),
-        lambda start: F.transform(
-            F.sequence(F.lit(1), length - start + F.lit(1)),
-            lambda size: F.substring(F.col(text), start, size))))
-    return F.when(length == 0, F.array(F.lit(""))).otherwise(
-        F.array_distinct(F.concat(F.array(F.lit("")), parts)))
+        F.coalesce(sizes, F.array().cast("array<int>")),
+        lambda size: F.transform(
+            F.sequence(F.lit(1), length - size + F.lit(1)),
+            lambda start: F.substring(F.col(text), start, size))))
+    empty = F.array(F.lit("")) if least == 0 else F.array().cast("array<string>")
+    return F.array_distinct(F.concat(empty, parts))
 
 
 def contains_join(outer: DataFrame, inner: DataFrame, part: str, whole: str) -> DataFrame:
@@ -24,10 +26,16 @@ def contains_join(outer: DataFrame, inner: DataFrame, part: str, whole: str) ->
     A text contains a part exactly when the part is among its substrings, so
     the test becomes an equality and the join a sort-merge join;
     only true pairs come out. Meant for identifiers: a text of n characters
-    gives at most n(n+1)/2 + 1 substrings. Their number is not in Spark's size
-    estimate, so the spread side must not be broadcast on its strength.
+    gives at most n(n+1)/2 + 1 substrings. Only those as long as some part are
+    made (two numbers of the parts are read for that), as short ones are common
+    to all texts and match nothing. Their number is not in Spark's size estimate,
+    so the spread side must not be broadcast on its strength.
     """
-    spread = inner.withColumn("_part", F.explode(substrings(whole))).hint("merge")
+    length = F.char_length(part)
+    least, most = outer.agg(F.min(length), F.max(length)).first()
+    # Without any part there is nothing to find: no substring is as long as this.
+    bounds = (least, most) if least is not None else (1, 0)
+    spread = inner.withColumn("_part", F.explode(substrings(whole, *bounds))).hint("merge")
     return outer.join(spread, outer[part] == spread["_part"]).drop("_part")
 
 

@@ -7,7 +7,7 @@ from collections import Counter
 from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
@@ -56,11 +56,13 @@ def run_reports(spark: SparkSession, reports: dict[str, DataFrame], path: str |
 
 
 class ProgressLog(StreamingQueryListener):
-    """Keeps a metrics row per micro-batch and a running input count per query name."""
+    """Keeps a metrics row per micro-batch, and by query name how many rows came in and how many
+    of them came too late for their windows (an aggregate's rows, after map-side combination)."""
 
     def __init__(self, window: str = WINDOW) -> None:
         self.window = window
         self.counts: Counter[str] = Counter()
+        self.late: Counter[str] = Counter()
         self._rows: list[tuple] = []
 
     def onQueryStarted(self, event) -> None:
@@ -68,9 +70,10 @@ class ProgressLog(StreamingQueryListener):
 
     def onQueryProgress(self, event) -> None:
         progress = event.progress
+        name = progress.name or str(progress.id)
+        self.late[name] += sum(x.numRowsDroppedByWatermark for x in progress.stateOperators)
         if progress.numInputRows == 0:
             return
-        name = progress.name or str(progress.id)
         self.counts[name] += progress.numInputRows
         self._rows.append(metric_row(
             f"spark_streaming_{name}", "streaming", progress.durationMs["triggerExecution"],
@@ -87,8 +90,14 @@ class ProgressLog(StreamingQueryListener):
         rows, self._rows = self._rows, []
         return rows
 
+    def settle(self, spark: SparkSession, millis: int = 20_000) -> None:
+        """Wait for the events that are under way: Spark delivers them on a thread of its own."""
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(millis)
+
     def line(self) -> str:
-        return "Progress: " + ", ".join(f"{n} {name}" for name, n in sorted(self.counts.items()))
+        parts = [f"{n} {name}" for name, n in sorted(self.counts.items())]
+        parts += [f"{n} late in {name}" for name, n in sorted(self.late.items()) if n]
+        return "Progress: " + ", ".join(parts)
 
 
 def total_time(metrics: DataFrame) -> DataFrame:
@@ -106,12 +115,19 @@ def sorted_summary(metrics: DataFrame) -> DataFrame:
     return summary(metrics).orderBy("query_id", "execution_mode")
 
 
-def _side(groups: DataFrame, streaming: bool, name: str) -> DataFrame:
-    """One row per query id; of several modes on a side the last in sort order counts."""
-    test = F.col("execution_mode").startswith("streaming")
-    return (groups.filter(test if streaming else ~test).groupBy("query_id")
-            .agg(F.max_by("avg_time", "execution_mode").alias(f"{name}_avg"))
-            .withColumnRenamed("query_id", f"{name}_id"))
+def _sides(metrics: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Mean times of the batch and of the streaming runs of each query id, from one aggregation
+    that both sides share; of several modes on a side the last in sort order counts."""
+    streaming = F.col("execution_mode").startswith("streaming")
+
+    def last(test: Column, name: str) -> Column:
+        return F.max_by(F.when(test, F.col("avg_time")),
+                        F.when(test, F.col("execution_mode"))).alias(name)
+
+    both = summary(metrics).groupBy("query_id").agg(
+        last(~streaming, "batch_avg"), last(streaming, "stream_avg"))
+    return tuple(both.filter(F.col(f"{name}_avg").isNotNull()).select(
+        F.col("query_id").alias(f"{name}_id"), f"{name}_avg") for name in ("batch", "stream"))
 
 
 def _verdict(pairs: DataFrame) -> DataFrame:
@@ -124,10 +140,9 @@ def _verdict(pairs: DataFrame) -> DataFrame:
 
 def compare(metrics: DataFrame) -> DataFrame:
     """Batch runs against streaming runs whose id contains the batch query's type."""
-    groups = summary(metrics)
-    batch = _side(groups, False, "batch").withColumn(
-        "query_type", F.replace("batch_id", F.lit("batch_"), F.lit("")))
-    pairs = contains_join(batch, _side(groups, True, "stream"), "query_type", "stream_id")
+    batch, stream = _sides(metrics)
+    batch = batch.withColumn("query_type", F.replace("batch_id", F.lit("batch_"), F.lit("")))
+    pairs = contains_join(batch, stream, "query_type", "stream_id")
     return _verdict(pairs).select("query_type", "stream_id", "stream_avg", "batch_avg",
                                   "difference", "faster", "factor")
 
@@ -142,20 +157,24 @@ def query_family(query_id: str):
 
 def compare_families(metrics: DataFrame) -> DataFrame:
     """As ``compare``, with runs matched by what they work on and not by their names."""
-    groups = summary(metrics)
-    batch = _side(groups, False, "batch").withColumn("query_family", query_family("batch_id"))
-    stream = _side(groups, True, "stream").withColumn("query_family", query_family("stream_id"))
+    batch, stream = _sides(metrics)
+    batch = batch.withColumn("query_family", query_family("batch_id"))
+    stream = stream.withColumn("query_family", query_family("stream_id"))
     return _verdict(batch.join(stream, "query_family")).select(
         "query_family", "batch_id", "stream_id", "stream_avg", "batch_avg",
         "difference", "faster", "factor")
 
 
+def _padded(text: Column, width: int) -> Column:
+    """A text filled up to a width, never cut."""
+    return F.rpad(text, F.greatest(F.lit(width), F.char_length(text)), F.lit(" "))
+
+
 def comparison_lines(compared: DataFrame) -> DataFrame:
-    """Fixed-width lines of the comparison table."""
+    """Fixed-width lines of the comparison table; longer numbers widen theirs."""
     return compared.select(F.concat(
-        F.rpad("query_type", F.greatest(F.lit(25), F.char_length("query_type")), F.lit(" ")),
-        F.lit(" "),
-        F.rpad(two_digits("stream_avg"), 20, " "), F.lit(" "),
-        F.rpad(two_digits("batch_avg"), 20, " "), F.lit(" "),
-        F.rpad(two_digits("difference"), 15, " "), F.lit(" "),
+        _padded(F.col("query_type"), 25), F.lit(" "),
+        _padded(two_digits("stream_avg"), 20), F.lit(" "),
+        _padded(two_digits("batch_avg"), 20), F.lit(" "),
+        _padded(two_digits("difference"), 15), F.lit(" "),
         F.format_string("%s is %.2fx faster", "faster", "factor")).alias("line"))

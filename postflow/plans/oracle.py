@@ -51,7 +51,8 @@ BROKEN = POSTS + f""", sent AS (SELECT *, {TWEET_JSON} AS raw, tweet_id % 10 AS
 
 AS_STORED = "timestamp AS last_updated"
 
-_DOCUMENT_POSTS = r"""SELECT CAST(doc_id AS INTEGER) AS tweet_id, source AS username,
+_DOCUMENT_POSTS = r"""SELECT CAST(doc_id AS BIGINT) AS tweet_id,
+ source || CASE WHEN doc_id % 3 = 0 THEN ' 5"' ELSE '' END AS username,
  regexp_replace(text, '\r\n?', chr(10), 'g') AS text,
  CAST(n_chars % 100 AS INTEGER) AS retweets,
  CASE WHEN lang = 'en' THEN CAST(n_chars AS INTEGER) END AS likes,
@@ -146,24 +147,28 @@ ORACLE = {
     "url_fragments": r"""SELECT page_id,
  unnest(regexp_extract_all(url, '#([\p{L}\p{N}_]+)', 1)) AS fragment FROM pages""",
     "page_hashtags": r"""SELECT hashtag, count(*) AS count FROM (
- SELECT unnest(regexp_extract_all(html, '#([\p{L}\p{N}_]+)', 1)) AS hashtag FROM pages)
+ SELECT unnest(regexp_extract_all(replace(html, '<p>', '<p>#'), '#([\p{L}\p{N}_]+)', 1)) AS hashtag
+ FROM pages)
  GROUP BY hashtag""",
     "document_hashtag_counts": r"""SELECT doc_id,
- CAST(coalesce(len(regexp_extract_all(text, '#([\p{L}\p{N}_]+)', 1)), 0) AS INTEGER)
+ CAST(coalesce(len(regexp_extract_all(replace(text, '. ', '. #'), '#([\p{L}\p{N}_]+)', 1)), 0) AS INTEGER)
  AS hashtag_count FROM documents""",
-    "escape_quotes": "SELECT doc_id, replace(text, '''', '''''') AS text FROM documents",
+    "escape_quotes": """SELECT doc_id,
+ replace(replace(text, 'e', ''''), '''', '''''') AS text FROM documents""",
     "iso_times": _with(POSTS, f"""SELECT tweet_id, {ISO.format('timestamp')} AS iso,
  {ISO.format("date_trunc('minute', timestamp)")} AS iso_minute FROM posts"""),
-    "post_project_cast": _with(POSTS, """SELECT CAST(tweet_id AS INTEGER) AS tweet_id, username,
+    "post_project_cast": _with(POSTS, """SELECT CAST(tweet_id AS BIGINT) AS tweet_id, username,
  text, CASE WHEN NOT contains(text, '#error') THEN retweets END AS retweets, likes, timestamp
  FROM posts"""),
     "user_activity_rows": _with(POSTS, """SELECT username, 1 AS tweet_count, 2 AS hashtag_count,
  retweets, likes, timestamp FROM posts"""),
     "csv_scan": _DOCUMENT_POSTS,
-    "csv_split_scan": _DOCUMENT_POSTS,
+    "csv_record_sep_scan": _DOCUMENT_POSTS,
     "post_sample": _with(POSTS, "SELECT * FROM posts ORDER BY tweet_id LIMIT 200"),
-    "json_roundtrip": _with(POSTS, """SELECT CAST(tweet_id AS INTEGER) AS tweet_id, username,
+    "json_roundtrip": _with(POSTS, """SELECT CAST(tweet_id AS BIGINT) AS tweet_id, username,
  text, retweets, likes, timestamp FROM posts"""),
+    "json_wide_ids": _with(POSTS, """SELECT tweet_id + 3000000000 AS tweet_id, username,
+ text AS tweet_text, retweets, likes, timestamp FROM posts"""),
     "json_rejects": _with(BROKEN, """SELECT 'tweets_topic' AS topic,
  CASE kind WHEN 1 THEN raw[:len(raw) - 9]
    WHEN 3 THEN replace(raw, '"likes":' || likes, '"likes":99999999999')
@@ -171,7 +176,7 @@ ORACLE = {
    ELSE replace(raw, '"timestamp":"2024', '"timestamp":"x') END AS raw,
  CASE kind WHEN 1 THEN 'tweet_id,username,text,retweets,likes,timestamp' WHEN 7 THEN 'timestamp' ELSE 'likes' END AS missing
  FROM sent WHERE kind IN (1, 3, 5, 7)"""),
-    "json_accepted": _with(BROKEN, """SELECT CAST(tweet_id AS INTEGER) AS tweet_id, username,
+    "json_accepted": _with(BROKEN, """SELECT CAST(tweet_id AS BIGINT) AS tweet_id, username,
  text, retweets, likes, timestamp FROM sent WHERE kind NOT IN (1, 3, 5, 7)"""),
     "message_fanout": _with(MESSAGES, "SELECT topic, value FROM messages"),
     "window_republish": _with(BOTH_WINDOWS, f"""SELECT 'hashtag_windows_topic' AS topic,
@@ -220,7 +225,7 @@ ORACLE = {
     "merge_increment_hashtags": _with(TAGS, INCREMENT_HASHTAGS.format(n=2)),
     "merge_increment_users": _with(POSTS, INCREMENT_USERS.format(n=2)),
     "table_insert_ignore": _with(
-        POSTS, INSERT_IGNORE.format(text="text AS tweet_text", id="INTEGER", n=3)),
+        POSTS, INSERT_IGNORE.format(text="text AS tweet_text", id="BIGINT", n=3)),
     "table_overwrite": _with(POSTS, OVERWRITE.format(n=3)),
     "table_increment": _with(POSTS, INCREMENT_USERS.format(n=3)),
     "metrics_summary": _with(METRICS, """SELECT query_id, execution_mode,
@@ -236,7 +241,7 @@ ORACLE = {
     "user_name_matches": _with(POSTS + ", names AS (SELECT DISTINCT username FROM posts)", """
  SELECT a.username AS part, b.username AS whole
  FROM names a JOIN names b ON contains(b.username, a.username)"""),
-    "stream_append_raw": _with(POSTS, """SELECT CAST(tweet_id AS INTEGER) AS tweet_id, username,
+    "stream_append_raw": _with(POSTS, """SELECT CAST(tweet_id AS BIGINT) AS tweet_id, username,
  text AS tweet_text, retweets, likes, timestamp FROM posts"""),
     "stream_complete_hashtags": _with(HASHTAG_WINDOWS, STORED_HASHTAGS),
     "stream_complete_users": _with(USER_WINDOWS, STORED_USERS),
@@ -249,6 +254,39 @@ ORACLE = {
     "stream_increment_users": _with(POSTS, """SELECT username, count(*) AS tweet_count,
  CAST(sum(likes) AS BIGINT) AS total_likes, CAST(sum(retweets) AS BIGINT) AS total_retweets,
  timestamp AS window_end, timestamp AS last_updated FROM posts GROUP BY username, timestamp"""),
+    "stream_rejects": _with(MESSAGES, """SELECT topic, value[:len(value) - 9] AS raw,
+ count(*) AS n FROM messages
+ WHERE CASE WHEN topic = 'hashtags_topic' THEN contains(value, '"hashtag":"k1')
+       ELSE CAST(json_extract_string(value, '$.likes') AS INTEGER) % 10 = 3 END
+ GROUP BY ALL"""),
+    "metrics_logged": _with(BOTH_WINDOWS, """
+ SELECT 'batch_top_hashtags' AS query_id, 'batch' AS execution_mode, 'all' AS window_size,
+        least(10, count(DISTINCT hashtag)) AS records_processed FROM hw
+ UNION ALL SELECT name, 'batch', 'all', least(10, count(DISTINCT username))
+ FROM uw, (VALUES ('batch_top_users'), ('batch_avg_likes')) v(name) GROUP BY name"""),
+    "stream_metrics_logged": _with(MESSAGES, """
+ SELECT CASE topic WHEN 'tweets_topic' THEN 'spark_streaming_load_tweets'
+             WHEN 'hashtags_topic' THEN 'spark_streaming_load_hashtag_counts'
+             ELSE 'spark_streaming_load_user_activity' END AS query_id,
+        'streaming' AS execution_mode, '15 minutes' AS window_size, count(*) AS records
+ FROM messages GROUP BY topic"""),
+    "metrics_compare_families": """WITH runs AS (
+  SELECT CASE event_type WHEN 'click' THEN 'hashtag' WHEN 'view' THEN 'user' ELSE 'tweets' END AS kind,
+         event_id % 2 = 0 AS batch, avg(value) AS mean
+  FROM events WHERE event_type IN ('click', 'view', 'purchase') GROUP BY ALL)
+SELECT rtrim(b.kind, 's') || 's' AS query_family, 'batch_of_' || b.kind AS batch_id,
+       'streaming_of_' || s.kind AS stream_id, round(s.mean, 4) AS stream_avg,
+       round(b.mean, 4) AS batch_avg, round(abs(s.mean - b.mean), 4) AS difference,
+       CASE WHEN s.mean < b.mean THEN 'Streaming' ELSE 'Batch' END AS faster,
+       round(greatest(s.mean, b.mean) / least(s.mean, b.mean), 4) AS factor
+FROM runs b JOIN runs s ON b.kind = s.kind AND b.batch AND NOT s.batch
+WHERE b.mean > 0 AND s.mean > 0""",
+    "processed_results": _with(BOTH_WINDOWS, """
+ SELECT 'hashtags' AS result, hashtag AS name, CAST(sum(count) AS BIGINT) AS count,
+        CAST(NULL AS BIGINT) AS likes, CAST(NULL AS BIGINT) AS retweets FROM hw GROUP BY hashtag
+ UNION ALL SELECT 'users', username, CAST(sum(tweet_count) AS BIGINT),
+        CAST(sum(total_likes) AS BIGINT), CAST(sum(total_retweets) AS BIGINT)
+ FROM uw GROUP BY username"""),
     "stream_republish": _with(USER_WINDOWS, f"""SELECT 'user_windows_topic' AS topic,
  CAST(json_object('username', username, 'tweet_count', tweet_count, 'total_likes', total_likes,
    'total_retweets', total_retweets, 'window_end', {ISO.format('window_end')},

@@ -16,11 +16,11 @@ from postflow.operators.posts import activity_rows, hashtag_rows, message_rows,
 from postflow.plans import metrics, reports
 from postflow.plans.views import register_views
 from postflow.schemas import (
-    CSV_COLUMNS, HASHTAGS_TOPIC, MERGES, TWEETS_TOPIC, USER_ACTIVITY_TOPIC, MergeSpec)
+    HASHTAGS_TOPIC, MERGES, TWEETS_TOPIC, USER_ACTIVITY_TOPIC, MergeSpec)
 from postflow.session import new_folder
 from postflow.sources.messages import accepted, parse, rejected, topic_stream
-from postflow.sources.posts import CSV_OPTIONS, csv_posts, event_posts, typed_posts
-from postflow.sources.tables import test_table
+from postflow.sources.posts import csv_posts, event_posts, typed_posts
+from postflow.sources.tables import read_table, test_table
 from postflow.streaming import jobs
 from postflow.streaming.table import EpochTable
 
@@ -29,6 +29,8 @@ NOW = {"availableNow": True}
 BATCHES, EPOCHS = 2, 3
 # Files per topic that the streams read; two of them make a micro-batch.
 FILES = 4
+# Slices of the time span, for streams in time order.
+SLICES = 4
 
 
 # Inputs ----------------------------------------------------------------------
@@ -86,17 +88,23 @@ def url_fragments(spark, sf):
 
 
 def page_hashtags(spark, sf):
-    tags = test_table(spark, sf, "pages").select(F.explode(hashtags("html")).alias("hashtag"))
+    """Tags in whole pages: the first word of each paragraph is made one."""
+    tagged = F.replace("html", F.lit("<p>"), F.lit("<p>#"))
+    tags = test_table(spark, sf, "pages").select(F.explode(hashtags(tagged)).alias("hashtag"))
     return tags.groupBy("hashtag").agg(F.count(F.lit(1)).alias("count"))
 
 
 def document_hashtag_counts(spark, sf):
+    """Tags in texts of four languages: the first word of each sentence is made one."""
+    tagged = F.replace("text", F.lit(". "), F.lit(". #"))
     return test_table(spark, sf, "documents").select(
-        "doc_id", hashtag_count("text").alias("hashtag_count"))
+        "doc_id", hashtag_count(tagged).alias("hashtag_count"))
 
 
 def escape_quotes(spark, sf):
-    return test_table(spark, sf, "documents").select("doc_id", double_quotes("text").alias("text"))
+    """Texts with apostrophes, which these get in place of a letter."""
+    quoted = F.replace("text", F.lit("e"), F.lit("'"))
+    return test_table(spark, sf, "documents").select("doc_id", double_quotes(quoted).alias("text"))
 
 
 def iso_times(spark, sf):
@@ -123,23 +131,29 @@ def user_activity_rows(spark, sf):
     return activity_rows(posts_of(spark, sf), F.col("timestamp"))
 
 
-def document_csv(spark: SparkSession, sf: str) -> str:
-    """Documents written as a post CSV: long texts with newlines, quotes and commas."""
+# Columns of the files, in another order than posts have them.
+FILE_COLUMNS = ("Timestamp", "Likes", "Text", "Username", "Tweet_ID", "Retweets")
+
+
+def document_csv(spark: SparkSession, sf: str, record_sep: str = "\n") -> str:
+    """Documents written as post CSV files: long texts with newlines, quotes and commas, and names
+    with a quote that is not quoted. Spark's CSV writer would put its separator into the texts."""
     folder = new_folder(spark, "csv")
     second = F.make_dt_interval(secs=F.col("doc_id"))
-    (test_table(spark, sf, "documents").select(
-        F.col("doc_id").cast("string").alias("Tweet_ID"),
-        F.col("source").alias("Username"),
-        F.col("text").alias("Text"),
-        (F.col("n_chars") % 100).cast("string").alias("Retweets"),
-        F.when(F.col("lang") == "en", F.col("n_chars").cast("string"))
-        .otherwise(F.lit("n/a")).alias("Likes"),
-        (F.lit("2023-01-01 00:00:00").cast("timestamp_ntz") + second).cast("string")
-        .alias("Timestamp"))
-     .select(*CSV_COLUMNS).write.options(header=True, quoteAll=True, emptyValue="",
-                                         ignoreLeadingWhiteSpace=False,
-                                         ignoreTrailingWhiteSpace=False, **CSV_OPTIONS)
-     .csv(folder))
+    fields = {
+        "Tweet_ID": F.col("doc_id").cast("string"),
+        "Username": F.concat("source", F.when(F.col("doc_id") % 3 == 0, ' 5"').otherwise("")),
+        "Text": F.concat(F.lit('"'), F.replace("text", F.lit('"'), F.lit('""')), F.lit('"')),
+        "Retweets": (F.col("n_chars") % 100).cast("string"),
+        "Likes": F.when(F.col("lang") == "en", F.col("n_chars").cast("string")).otherwise("n/a"),
+        "Timestamp": (F.lit("2023-01-01 00:00:00").cast("timestamp_ntz") + second).cast("string"),
+    }
+    line = F.concat_ws(",", *[fields[name] for name in FILE_COLUMNS])
+    # A header stands before the first row of each task, which writes one file.
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    header = F.lit(",".join(FILE_COLUMNS) + record_sep)
+    (test_table(spark, sf, "documents").select(F.when(first, F.concat(header, line)).otherwise(line))
+     .write.option("lineSep", record_sep).text(folder))
     return folder
 
 
@@ -147,8 +161,10 @@ def csv_scan(spark, sf):
     return without_zone(csv_posts(spark, document_csv(spark, sf)))
 
 
-def csv_split_scan(spark, sf):
-    return without_zone(csv_posts(spark, document_csv(spark, sf), split=True))
+def csv_record_sep_scan(spark, sf):
+    """Records end in CR LF and texts hold only LF, so files are split over tasks."""
+    folder = document_csv(spark, sf, "\r\n")
+    return without_zone(csv_posts(spark, folder, record_sep="\r\n"))
 
 
 def post_sample(spark, sf):
@@ -160,6 +176,15 @@ def json_roundtrip(spark, sf):
     return without_zone(topic_of(spark, sf, TWEETS_TOPIC))
 
 
+def json_wide_ids(spark, sf):
+    """Ids beyond 32 bits through messages and a stored table."""
+    posts = posts_of(spark, sf).withColumn("tweet_id", F.col("tweet_id") + 3_000_000_000)
+    rows = message_rows(posts, F.col("timestamp")).filter(F.col("topic") == TWEETS_TOPIC)
+    table = EpochTable.named(spark, new_folder(spark, "tables"), "tweets")
+    table.write(accepted(parse(rows, TWEETS_TOPIC), TWEETS_TOPIC), 0, ("timestamp",))
+    return without_zone(table.current())
+
+
 def broken_messages(spark: SparkSession, sf: str) -> DataFrame:
     """Post messages of which some are cut, mistyped, out of range or without a field."""
     rows = messages_of(spark, sf).filter(F.col("topic") == TWEETS_TOPIC)
@@ -406,6 +431,54 @@ def user_name_matches(spark, sf):
     return pairs.select("part", "whole")
 
 
+def metrics_logged(spark, sf):
+    """The three reports run, timed, logged and read back, without the times themselves."""
+    log = new_folder(spark, "metrics")
+    metrics.run_reports(spark, reports.batch_reports(
+        hashtag_windows_of(spark, sf), user_windows_of(spark, sf)), log)
+    return read_table(spark, "performance_metrics", "parquet", path=log).select(
+        "query_id", "execution_mode", "window_size", "records_processed")
+
+
+def stream_metrics_logged(spark, sf):
+    """Records that the progress events of a streaming load tell, by query."""
+    log, progress = new_folder(spark, "metrics"), metrics.ProgressLog()
+    source = replay(spark, topic_files(spark, sf))
+    spark.streams.addListener(progress)
+    try:
+        jobs.finish(jobs.start_loads(spark, new_folder(spark, "tables"), source, NOW).values())
+        progress.settle(spark)
+    finally:
+        spark.streams.removeListener(progress)
+    metrics.append_metrics(spark, progress.drain(), log)
+    return read_table(spark, "performance_metrics", "parquet", path=log).groupBy(
+        "query_id", "execution_mode", "window_size").agg(
+        F.sum("records_processed").alias("records"))
+
+
+def metrics_compare_families(spark, sf):
+    """Events as runs whose names meet only by what they work on."""
+    kinds = F.create_map(*[F.lit(x) for pair in (
+        ("click", "hashtag"), ("view", "user"), ("purchase", "tweets")) for x in pair])
+    rows = metric_rows(spark, sf)
+    kind = F.regexp_extract("query_id", "(click|view|purchase)", 1)
+    named = rows.withColumn("query_id", F.concat(
+        F.col("execution_mode"), F.lit("_of_"), F.coalesce(kinds[kind], F.lit("others"))))
+    return rounded(metrics.compare_families(named))
+
+
+def processed_results(spark, sf):
+    """The tables that set results side by side, without the time of processing."""
+    tags = reports.processed_hashtags(hashtag_windows_of(spark, sf)).select(
+        F.lit("hashtags").alias("result"), F.col("hashtag").alias("name"), F.col("count"),
+        F.lit(None).cast("bigint").alias("likes"), F.lit(None).cast("bigint").alias("retweets"))
+    users = reports.processed_users(user_windows_of(spark, sf)).select(
+        F.lit("users").alias("result"), F.col("username").alias("name"),
+        F.col("tweet_count").alias("count"), F.col("total_likes").alias("likes"),
+        F.col("total_retweets").alias("retweets"))
+    return tags.unionByName(users)
+
+
 # Streams ---------------------------------------------------------------------
 
 def topic_files(spark: SparkSession, sf: str) -> str:
@@ -456,15 +529,31 @@ def stream_complete_users_direct(spark, sf):
     return run_merge(spark, "user_activity", windows.windowed_activity(activity), "complete")
 
 
+def timed_files(spark: SparkSession, sf: str) -> str:
+    """Topic files that arrive in the order of the posts' times: a slice of the time span after
+    the other, each in as many files as a micro-batch reads."""
+    folder = new_folder(spark, "topics")
+    posts = posts_of(spark, sf)
+    seconds = F.unix_seconds(F.col("timestamp").cast("timestamp"))
+    first, last = posts.agg(F.min(seconds), F.max(seconds)).first()
+    width = (last - first) // SLICES + 1
+    for number in range(SLICES):
+        part = posts.filter(F.floor((seconds - first) / width) == number)
+        (message_rows(part, F.col("timestamp"))
+         .select("topic", F.col("value").cast("binary").alias("value"))
+         .repartition(FILES // 2).write.mode("append").partitionBy("topic").parquet(folder))
+    return folder
+
+
 def stream_update_merge_hashtags(spark, sf):
-    """One micro-batch: the files are in no time order, and update drops late rows."""
-    posts = jobs.good(replay(spark, topic_files(spark, sf), None), TWEETS_TOPIC)
+    """A micro-batch per slice of time: windows at the slices' edges are overwritten."""
+    posts = jobs.good(replay(spark, timed_files(spark, sf)), TWEETS_TOPIC)
     return run_merge(spark, "hashtag_counts", windows.windowed_hashtags(hashtag_rows(posts)),
                      "update")
 
 
 def stream_update_merge_users(spark, sf):
-    posts = jobs.good(replay(spark, topic_files(spark, sf), None), TWEETS_TOPIC)
+    posts = jobs.good(replay(spark, timed_files(spark, sf)), TWEETS_TOPIC)
     return run_merge(spark, "user_activity", windows.windowed_posts(posts), "update")
 
 
@@ -479,14 +568,37 @@ def stream_increment_users(spark, sf):
 
 
 def stream_republish(spark, sf):
-    """Windows of each micro-batch sent on as messages; one micro-batch here."""
+    """Changed windows of each micro-batch sent on as messages; the last message of each key."""
     out = new_folder(spark, "messages")
-    source = replay(spark, topic_files(spark, sf), None)
-    table = EpochTable.named(spark, new_folder(spark, "tables"), "user_activity", complete=True)
+    source = replay(spark, timed_files(spark, sf))
+    table = EpochTable.named(spark, new_folder(spark, "tables"), "user_activity")
     jobs.finish([jobs.start_merge(
-        windows.windowed_posts(jobs.good(source, TWEETS_TOPIC)), table, "complete", NOW,
+        windows.windowed_posts(jobs.good(source, TWEETS_TOPIC)), table, "update", NOW,
         send=jobs.message_writer("parquet", path=out))])
-    return spark.read.schema("value string, topic string").parquet(out).select("topic", "value")
+    sent = spark.read.schema("value string, topic string").parquet(out)
+    field = {name: F.get_json_object("value", f"$.{name}")
+             for name in ("username", "window_end", "tweet_count")}
+    # A window's count only grows, so the greatest is the last.
+    return sent.groupBy("topic", field["username"].alias("u"), field["window_end"].alias("w")).agg(
+        F.max_by("value", field["tweet_count"].cast("long")).alias("value")).select(
+        "topic", "value")
+
+
+def stream_rejects(spark, sf):
+    """Rejected records of all three topics of the analysis job, of which some are cut."""
+    folder, root = new_folder(spark, "topics"), new_folder(spark, "tables")
+    number = F.get_json_object("value", "$.likes").cast("int")
+    cut = F.expr("substr(value, 1, char_length(value) - 9)")
+    rows = messages_of(spark, sf).withColumn("value", F.when(
+        (F.col("topic") == HASHTAGS_TOPIC) & F.contains("value", F.lit('"hashtag":"k1')), cut)
+        .when((F.col("topic") != HASHTAGS_TOPIC) & (F.pmod(number, F.lit(10)) == 3), cut)
+        .otherwise(F.col("value")))
+    (rows.select("topic", F.col("value").cast("binary").alias("value"))
+     .repartition(FILES).write.partitionBy("topic").parquet(folder))
+    jobs.finish(jobs.start_analysis(
+        spark, root, replay(spark, folder, None), "update", NOW, NOW).values())
+    return spark.read.parquet(f"{root}/rejects").groupBy("topic", "raw").agg(
+        F.count(F.lit(1)).alias("n"))
 
 
 def event_stream(spark: SparkSession, sf: str) -> DataFrame:
@@ -516,7 +628,7 @@ def stream_analysis(spark, sf):
     root = new_folder(spark, "tables")
     source = replay(spark, topic_files(spark, sf))
     jobs.finish(jobs.start_analysis(
-        spark, root, source, trigger=NOW, raw_trigger=NOW).values())
+        spark, root, source, "complete", trigger=NOW, raw_trigger=NOW).values())
 
     def table(name: str, folder: str) -> DataFrame:
         return EpochTable.named(spark, root, name, folder=folder,
@@ -567,7 +679,8 @@ def stream_batch_parity(spark, sf):
 QUERIES = {query.__name__: query for query in (
     hashtag_extract, hashtag_explode, hashtag_count_per_post, url_fragments, page_hashtags,
     document_hashtag_counts, escape_quotes, iso_times, post_project_cast, user_activity_rows,
-    csv_scan, csv_split_scan, post_sample, json_roundtrip, json_rejects, json_accepted,
+    csv_scan, csv_record_sep_scan, post_sample, json_roundtrip, json_wide_ids, json_rejects,
+    json_accepted,
     message_fanout, window_republish,
     hashtag_windows, hashtag_windows_direct, user_windows, user_windows_direct,
     top_hashtags, top_users, avg_likes_per_user, top_hashtags_exact, top_users_exact,
@@ -575,11 +688,13 @@ QUERIES = {query.__name__: query for query in (
     row_ratios, report_lines, sql_reports,
     merge_insert_ignore, merge_overwrite, merge_increment_hashtags, merge_increment_users,
     table_insert_ignore, table_overwrite, table_increment,
-    metrics_summary, metrics_total, metrics_compare, metrics_compare_lines, user_name_matches,
+    metrics_summary, metrics_total, metrics_compare, metrics_compare_lines,
+    metrics_compare_families, metrics_logged, stream_metrics_logged, processed_results,
+    user_name_matches,
     stream_append_raw, stream_complete_hashtags, stream_complete_users,
     stream_complete_hashtags_direct, stream_complete_users_direct,
     stream_update_merge_hashtags, stream_update_merge_users,
     stream_increment_hashtags, stream_increment_users, stream_republish, stream_fanout,
     stream_analysis, stream_loads, stream_shared_hashtags, stream_shared_users,
-    stream_batch_parity,
+    stream_batch_parity, stream_rejects,
 )}

@@ -10,16 +10,21 @@ from postflow.sources.tables import read_table
 from postflow.streaming.table import EpochTable
 
 
+def stored_tables(spark: SparkSession, root: str) -> dict[str, EpochTable]:
+    """What lies under ``root``, the tables of the hashtag and activity topics included."""
+    folders = {folder: name for name in MERGES for folder in (name, f"{name}_direct")}
+    return {folder: EpochTable.stored(spark, root, name, folder)
+            for folder, name in folders.items()
+            if path_exists(spark, f"{root.rstrip('/')}/{folder}")}
+
+
 def register_views(spark: SparkSession, root: str, prefix: str = "") -> dict[str, str]:
     """Temporary views of what is stored under ``root``; view names by table name.
 
     A view shows the epochs that were finished when it was made.
     """
     root = root.rstrip("/")
-    frames = {}
-    for name in MERGES:
-        if path_exists(spark, f"{root}/{name}"):
-            frames[name] = EpochTable.stored(spark, root, name).current()
+    frames = {name: table.current() for name, table in stored_tables(spark, root).items()}
     log = f"{root}/performance_metrics"
     if path_exists(spark, log):
         frames["performance_metrics"] = read_table(

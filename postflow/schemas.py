@@ -32,13 +32,14 @@ def _struct(**fields: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
 
 
+# Columns of files, fields of messages, columns of tables.
 CSV_COLUMNS = ("Tweet_ID", "Username", "Text", "Retweets", "Likes", "Timestamp")
 CSV_SCHEMA = _struct(**dict.fromkeys(CSV_COLUMNS, STRING))
 
 TWEET_MESSAGE = _struct(
-    tweet_id=INT, username=STRING, text=STRING, retweets=INT, likes=INT, timestamp=STRING)
+    tweet_id=LONG, username=STRING, text=STRING, retweets=INT, likes=INT, timestamp=STRING)
 HASHTAG_MESSAGE = _struct(
-    tweet_id=INT, hashtag=STRING, username=STRING, timestamp=STRING)
+    tweet_id=LONG, hashtag=STRING, username=STRING, timestamp=STRING)
 ACTIVITY_MESSAGE = _struct(
     username=STRING, tweet_count=INT, hashtag_count=INT, retweets=INT, likes=INT,
     timestamp=STRING)
@@ -62,7 +63,7 @@ TRANSPORT = _struct(
     timestampType=INT)
 
 _POSTS = _struct(
-    tweet_id=INT, username=STRING, tweet_text=STRING, retweets=INT, likes=INT, timestamp=TIME)
+    tweet_id=LONG, username=STRING, tweet_text=STRING, retweets=INT, likes=INT, timestamp=TIME)
 _HASHTAGS = _struct(hashtag=STRING, count=LONG, processed_at=TIME)
 _USERS = _struct(
     username=STRING, tweet_count=LONG, total_likes=LONG, total_retweets=LONG,
@@ -93,7 +94,8 @@ class MergeSpec:
     ``policy`` is ``ignore`` (first row stays), ``overwrite`` (last row stays)
     or ``increment`` (``measures`` add up; ``stamp`` is the last one, or with
     ``latest`` the greatest one whatever the order of arrival).
-    ``day_of`` names the key column whose date partitions the stored table.
+    ``day_of`` names the key column whose (UTC) date partitions the stored table,
+    ``span`` the width of the key ranges that do where the key is a number.
     """
 
     keys: tuple[str, ...]
@@ -102,11 +104,12 @@ class MergeSpec:
     stamp: str | None = None
     day_of: str | None = None
     latest: bool = False
+    span: int | None = None
 
 
 # One policy per table. Routing is by table name.
 MERGES = {
-    "tweets": MergeSpec(("tweet_id",), "ignore"),
+    "tweets": MergeSpec(("tweet_id",), "ignore", span=10_000_000),
     "hashtag_counts": MergeSpec(
         ("hashtag", "window_end"), "overwrite", ("count",), "last_updated", "window_end"),
     "user_activity": MergeSpec(

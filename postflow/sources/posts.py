@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postflow.functions.text import event_time, plain_newlines
@@ -14,88 +14,31 @@ CSV_OPTIONS = {"quote": '"', "escape": '"'}
 POST_COLUMNS = ("tweet_id", "username", "text", "retweets", "likes", "timestamp")
 
 
-def _from_lines(lines: DataFrame) -> DataFrame:
-    """CSV fields of whole records held in ``value``; header records are left out."""
-    plain = ",".join(CSV_COLUMNS)
-    quoted = ",".join(f'"{name}"' for name in CSV_COLUMNS)
-    fields = ", ".join(f"{name} string" for name in CSV_COLUMNS)
-    return (lines.filter(~F.col("value").isin(plain, quoted, ""))
-            .select(F.from_csv("value", fields, CSV_OPTIONS).alias("r")).select("r.*"))
-
-
-def _joined(parts: str) -> Column:
-    """Collected (place..., value) structs as one text, in order of place."""
-    return F.array_join(F.transform(F.array_sort(parts), lambda part: part["value"]), "\n")
-
-
-def whole_records(spark: SparkSession, path: str, **options: str) -> DataFrame:
-    """Records with multi-line quoted texts, from a file that is split over many tasks.
-
-    A line starts a record where the quotes before it are even in number. The
-    quotes before a block are known from the other blocks' totals, those before a
-    line inside its block from a running sum, so each block is put together on its
-    own. Only the pieces of records that cross a block's edge, at most two to a
-    block, are then joined over blocks. Quotes must be balanced as CSV writers
-    leave them; line ends inside a text become newlines.
-    """
-    place = ["file", "block"]
-    lines = spark.read.options(**options).text(path).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("line"), "value",
-        (F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))).alias("quotes"))
-
-    blocks = lines.groupBy(*place).agg(F.sum("quotes").alias("total"))
-    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(
-        Window.unboundedPreceding, -1)
-    blocks = blocks.select(*place, F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("base"))
-
-    in_block = Window.partitionBy(*place).orderBy("line")
-    above = in_block.rowsBetween(Window.unboundedPreceding, -1)
-    so_far = in_block.rowsBetween(Window.unboundedPreceding, 0)
-    starts = (F.col("base") + F.col("above")) % 2 == 0
-    numbered = (lines.withColumn("above", F.coalesce(F.sum("quotes").over(above), F.lit(0)))
-                .join(blocks, place)
-                .withColumn("number", F.sum(starts.cast("int")).over(so_far)))
-    pieces = (numbered.groupBy(*place, "number")
-              .agg(F.collect_list(F.struct("line", "value")).alias("parts"),
-                   F.sum("quotes").alias("quotes"))
-              .select(*place, "number", "quotes", _joined("parts").alias("value")))
-
-    closed = (F.col("number") > 0) & (F.col("quotes") % 2 == 0)
-    chain = Window.partitionBy("file").orderBy("block", "number").rowsBetween(
-        Window.unboundedPreceding, 0)
-    crossing = (pieces.filter(~closed)
-                .withColumn("record", F.sum((F.col("number") > 0).cast("int")).over(chain))
-                .groupBy("file", "record")
-                .agg(F.collect_list(F.struct("block", "number", "value")).alias("parts"))
-                .select(_joined("parts").alias("value")))
-    return pieces.filter(closed).select("value").unionByName(crossing)
-
-
 def csv_records(spark: SparkSession, path: str, record_sep: str | None = None,
-                split: bool = False, streaming: bool = False, **options: str) -> DataFrame:
-    """CSV rows as text columns.
-
-    A quoted text may span lines, so Spark cannot split such a file and one task
-    reads each file: right for many files of moderate size. Large files are split
-    over many tasks if records end in a ``record_sep`` that no text holds (such as
-    CR LF against LF), at no further cost, or with ``split`` in any other case, for
-    one shuffle.
+                streaming: bool = False, **options: str) -> DataFrame:
+    """CSV rows as text columns, taken by the names in the header, in any order.
+
+    The names come from the first file; a file whose header differs is an error, as its columns
+    could be mistaken for others. A stream takes its columns as ``CSV_COLUMNS`` has them, with the
+    same check. A quoted text may span lines, so Spark cannot split such a file and one task reads
+    each file: right for many files of moderate size. Large files are split over many tasks if
+    records end in a ``record_sep`` of one or two characters that no text holds, such as CR LF
+    against LF.
     """
-    if split:
-        return _from_lines(whole_records(spark, path, **options))
-    reader = spark.readStream if streaming else spark.read
-    if record_sep is not None:
-        return _from_lines(reader.option("lineSep", record_sep).options(**options).text(path))
-    return (reader.schema(CSV_SCHEMA).options(header=True, multiLine=True, **CSV_OPTIONS)
-            .options(**options).csv(path))
+    shape = {"multiLine": "true"} if record_sep is None else {"lineSep": record_sep}
+    options = {"header": "true", "enforceSchema": "false", **shape, **CSV_OPTIONS, **options}
+    if streaming:
+        return spark.readStream.schema(CSV_SCHEMA).options(**options).csv(path)
+    records = spark.read.options(**options).csv(path)
+    if lacking := set(CSV_COLUMNS) - set(records.columns):
+        raise ValueError(f"{path}: no column {sorted(lacking)} among {records.columns}")
+    return records.select(*CSV_COLUMNS)
 
 
 def typed_posts(records: DataFrame) -> DataFrame:
     """CSV columns renamed and typed; a value that does not convert gives null."""
     return records.select(
-        F.col("Tweet_ID").try_cast("int").alias("tweet_id"),
+        F.col("Tweet_ID").try_cast("long").alias("tweet_id"),
         F.col("Username").alias("username"),
         plain_newlines("Text").alias("text"),
         F.col("Retweets").try_cast("int").alias("retweets"),
@@ -105,10 +48,10 @@ def typed_posts(records: DataFrame) -> DataFrame:
 
 
 def csv_posts(spark: SparkSession, path: str, record_sep: str | None = None,
-              split: bool = False, streaming: bool = False, limit: int | None = None,
+              streaming: bool = False, limit: int | None = None,
               **options: str) -> DataFrame:
     """Typed posts of a CSV; ``limit`` caps whole records, never lines."""
-    records = csv_records(spark, path, record_sep, split, streaming, **options)
+    records = csv_records(spark, path, record_sep, streaming, **options)
     if limit is not None:
         records = records.limit(limit)
     return typed_posts(records)

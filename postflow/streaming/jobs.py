@@ -37,14 +37,12 @@ def table_sink(table: EpochTable, order: tuple[str, ...] = (),
         if twice:
             rows = rows.persist()
         try:
-            if twice and rows.isEmpty():
-                return
-            if table.complete:
-                table.replace(rows, epoch)
-            else:
-                table.write(rows, epoch, order)
-            if send is not None:
+            # An empty batch leaves no epoch: the table counts rows as it writes them.
+            stored = (table.replace(rows, epoch) if table.complete
+                      else table.write(rows, epoch, order))
+            if send is not None and stored:
                 send(window_messages(rows))
+            table.upkeep(epoch)
         finally:
             if twice:
                 rows.unpersist()
@@ -52,6 +50,20 @@ def table_sink(table: EpochTable, order: tuple[str, ...] = (),
     return save
 
 
+def reject_sink(rejects: str) -> Save:
+    """Keeps rejected records; batches without any leave nothing."""
+
+    def save(rows: DataFrame, epoch: int) -> None:
+        rows = rows.persist()
+        try:
+            if not rows.isEmpty():
+                rows.write.mode("overwrite").parquet(f"{rejects}/epoch={epoch}")
+        finally:
+            rows.unpersist()
+
+    return save
+
+
 def rejects_folder(root: str, topic: str) -> str:
     return f"{root.rstrip('/')}/rejects/topic={topic}"
 
@@ -67,6 +79,7 @@ def load_sink(table: EpochTable, topic: str, rejects: str, shape: Callable[[Data
                 return
             rejected(parsed, topic).write.mode("overwrite").parquet(f"{rejects}/epoch={epoch}")
             table.write(shape(accepted(parsed, topic)), epoch, order)
+            table.upkeep(epoch)
         finally:
             parsed.unpersist()
 
@@ -95,6 +108,8 @@ def shared_sink(spark: SparkSession, root: str) -> Save:
             tweets.write(posts, epoch, ARRIVAL)
             counts.write(windowed_hashtags(hashtag_rows(posts)), epoch, unique=True)
             users.write(windowed_posts(posts), epoch, unique=True)
+            for table in (tweets, counts, users):
+                table.upkeep(epoch)
         finally:
             parsed.unpersist()
 
@@ -146,14 +161,15 @@ def activity_shape(activity: DataFrame) -> DataFrame:
         "timestamp AS window_end", "timestamp")
 
 
-def start_analysis(spark: SparkSession, root: str, source: Source, mode: str = "complete",
+def start_analysis(spark: SparkSession, root: str, source: Source, mode: str = "update",
                    trigger: dict | None = None,
                    raw_trigger: dict | None = None,
                    send: Callable[[DataFrame], None] | None = None) -> dict[str, StreamingQuery]:
-    """Raw posts and four windowed aggregates, each a query with its own table.
+    """Raw posts and four windowed aggregates, each a query with its own table, and the rejects
+    of all three topics.
 
     ``complete`` emits every window each time and keeps late rows, with state
-    that only grows. ``update`` emits the windows that changed and drops state
+    that only grows: for comparing streams with batches, not for long runs. ``update`` emits the windows that changed and drops state
     behind the watermark; the merge into the table then gives the same rows as
     long as no row is later than the watermark allows. The aggregates of the
     hashtag and activity topics get tables of their own, so that no two queries
@@ -177,6 +193,12 @@ def start_analysis(spark: SparkSession, root: str, source: Source, mode: str = "
     for folder, (name, result) in results.items():
         table = EpochTable.named(spark, root, name, folder=folder, complete=mode == "complete")
         queries[folder] = start_merge(result, table, mode, trigger, folder, send=send)
+    # An aggregation has one output, so bad records of its topic take a query of their own.
+    for topic in (HASHTAGS_TOPIC, USER_ACTIVITY_TOPIC):
+        folder = rejects_folder(root, topic)
+        queries[f"rejects_{topic}"] = start(
+            rejected(parse(source(topic), topic), topic), reject_sink(folder),
+            f"{root.rstrip('/')}/_rejects/{topic}", trigger=raw_trigger, name=f"rejects_{topic}")
     return queries
 
 

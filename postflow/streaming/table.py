@@ -8,21 +8,26 @@ The kind says how epochs fold, so that no reader takes increments for overwrites
 
 An epoch counts once its folder has Spark's ``_SUCCESS`` file, so a batch that
 dies half-way is invisible and a batch that runs again replaces itself. What
-epoch i writes depends only on the source rows and on epochs before i. A batch
-costs as much as its own rows, not as much as the table: overwrites and
-increments are folded when the table is read, and ``compact`` rewrites only the
-days that changed. Keys hold ``day_of``, so the days never share a key and days
-without new rows are read as they are, without a shuffle.
+epoch i writes depends only on the source rows and on epochs before i.
+
+Rows are stored in parts that the key alone tells: the day of ``day_of``, or a
+range of ``span`` keys. Parts never share a key, so parts without new rows are
+read as they are, without a shuffle, and ``compact`` rewrites only the parts that
+changed. A batch of overwrites or increments costs as much as its own rows, as
+they are folded when the table is read; an insert-ignore batch reads the keys of
+the parts that it touches. ``upkeep`` folds and expires on the way, so that the
+number of epoch folders, which each read lists, stays bounded.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from dataclasses import replace
 from datetime import date
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,14 +35,16 @@ from postflow.operators import merge
 from postflow.schemas import MERGES, SINK_NAMES, TABLES, MergeSpec
 from postflow.session import hadoop_path, path_exists
 
-DAY = "day"
+# A test of part names; none takes all.
+Wanted = Callable[[str], bool] | None
+DAY, RANGE = "day", "key_range"
 ADAPTIVE = "spark.sql.adaptive.enabled"
 
 # How a table can be written: its own policy, or that of another job.
 KINDS = ({}, {"policy": "increment"}, {"policy": "increment", "latest": True}, {"complete": True})
 
-# Batches up to this many rows have their keys broadcast.
-BROADCAST_ROWS = 1_000_000
+# Epochs between two foldings by the writing job.
+UPKEEP_EPOCHS = 60
 
 
 @contextmanager
@@ -102,6 +109,18 @@ class EpochTable:
             raise ValueError(f"{tables[0].path} holds {kinds}, expected one kind of table")
         return found[0]
 
+    @property
+    def part(self) -> str | None:
+        """The column that parts the stored rows."""
+        return DAY if self.spec.day_of is not None else RANGE if self.spec.span else None
+
+    def _part_of(self) -> Column:
+        """The part of a row: its day in UTC, whatever the session's zone, or its key range."""
+        if self.spec.day_of is not None:
+            days = F.floor(F.unix_seconds(self.spec.day_of) / 86_400).cast("int")
+            return F.date_from_unix_date(days)
+        return F.expr(f"`{self.spec.keys[0]}` div {self.spec.span}")
+
     # Folders -----------------------------------------------------------------
 
     def _folders(self, path: str, prefix: str) -> dict[str, str]:
@@ -121,18 +140,16 @@ class EpochTable:
                 found[int(value)] = folder
         return dict(sorted(found.items()))
 
-    def _days(self, folders: list[str], first: date | None = None,
-              last: date | None = None) -> dict[str, list[str]]:
-        """Paths by day over several epochs; one nameless day where the table has none."""
-        if self.spec.day_of is None:
+    def _parts(self, folders: list[str], wanted: Wanted = None) -> dict[str, list[str]]:
+        """Paths by part over several epochs; one nameless part where the table has none."""
+        if self.part is None:
             return {"": folders} if folders else {}
-        low, high = str(first or date.min), str(last or date.max)
-        days: dict[str, list[str]] = {}
+        parts: dict[str, list[str]] = {}
         for folder in folders:
-            for day, path in self._folders(folder, DAY).items():
-                if low <= day <= high:
-                    days.setdefault(day, []).append(path)
-        return days
+            for value, path in self._folders(folder, self.part).items():
+                if wanted is None or wanted(value):
+                    parts.setdefault(value, []).append(path)
+        return parts
 
     def next_epoch(self) -> int:
         return max([*self._epochs("log"), *self._epochs("base")], default=-1) + 1
@@ -141,8 +158,8 @@ class EpochTable:
 
     def _read(self, part: str, paths: list[str]) -> DataFrame:
         schema = T.StructType(self.schema.fields + [T.StructField("epoch", T.LongType())])
-        if self.spec.day_of is not None:
-            schema = schema.add(DAY, T.DateType())
+        if self.part is not None:
+            schema = schema.add(self.part, T.DateType() if self.part == DAY else T.LongType())
         if not paths:
             return self.spark.createDataFrame([], schema)
         return (self.spark.read.schema(schema).option("basePath", f"{self.data}/{part}")
@@ -153,36 +170,39 @@ class EpochTable:
 
         An epoch holds a key once, so ``max_by`` over the epoch has no ties.
         """
-        keys, stamp = [*self.spec.keys, DAY], self.spec.stamp
+        keys, stamp = [*self.spec.keys, self.part], self.spec.stamp
         if self.spec.policy == "overwrite":
             folded = [F.max_by(name, "epoch").alias(name) for name in self.spec.measures]
         else:
             folded = [F.sum(name).alias(name) for name in self.spec.measures]
         last = F.max(stamp) if self.spec.latest else F.max_by(stamp, "epoch")
         folded.append(last.alias(stamp))
-        return log.groupBy(*keys).agg(*folded).select(*self.schema.names, DAY)
+        return log.groupBy(*keys).agg(*folded).select(*self.schema.names, self.part)
 
-    def _plan(self, before: int | None = None, first: date | None = None,
-              last: date | None = None):
+    def _plan(self, before: int | None = None, wanted: Wanted = None):
         """Paths to read: cold base, base that the log touches, and the log."""
         bases = {e: p for e, p in self._epochs("base").items() if before is None or e < before}
         newest = max(bases, default=-1)
         if self.complete:
             bases = {newest: bases[newest]} if bases else {}
         log = [p for e, p in self._epochs("log", newest).items() if before is None or e < before]
-        logged = self._days(log, first, last)
-        stored = self._days(list(bases.values()), first, last)
-        if self.spec.day_of is not None:
-            stored = {day: paths[-1:] for day, paths in stored.items()}
-        cold = [p for day, paths in stored.items() if day not in logged for p in paths]
-        warm = [p for day, paths in stored.items() if day in logged for p in paths]
+        logged = self._parts(log, wanted)
+        stored = self._parts(list(bases.values()), wanted)
+        if self.part is not None:
+            stored = {part: paths[-1:] for part, paths in stored.items()}
+        cold = [p for part, paths in stored.items() if part not in logged for p in paths]
+        warm = [p for part, paths in stored.items() if part in logged for p in paths]
         return cold, warm, [p for paths in logged.values() for p in paths]
 
     def _merged(self, warm: list[str], log: list[str]) -> DataFrame:
+        if self.spec.policy == "ignore":  # each key came in once
+            parts = [self._read(part, paths) for part, paths in (("base", warm), ("log", log))
+                     if paths]
+            return reduce(DataFrame.unionByName, parts)
         folded = self._fold(self._read("log", log))
         if not warm:
             return folded
-        spec = replace(self.spec, keys=(*self.spec.keys, DAY))
+        spec = replace(self.spec, keys=(*self.spec.keys, self.part))
         return merge.merge(self._read("base", warm).drop("epoch"), folded, spec)
 
     def current(self, before: int | None = None, first: date | None = None,
@@ -191,13 +211,13 @@ class EpochTable:
 
         ``first`` and ``last`` bound the days, so that no other day's folder is read.
         """
-        cold, warm, log = self._plan(before, first, last)
-        if self.spec.policy == "ignore":
-            parts = [self._read("base", cold + warm)] if cold + warm else []
-            parts += [self._read("log", log)] if log else []
-        else:
-            parts = [self._read("base", cold)] if cold else []
-            parts += [self._merged(warm, log)] if log else []
+        low, high = str(first or date.min), str(last or date.max)
+        return self._content(*self._plan(
+            before, (lambda day: low <= day <= high) if self.part == DAY else None))
+
+    def _content(self, cold: list[str], warm: list[str], log: list[str]) -> DataFrame:
+        parts = [self._read("base", cold)] if cold else []
+        parts += [self._merged(warm, log)] if log else []
         if not parts:
             parts = [self._read("log", [])]
         tables = [part.select(*self.schema.names) for part in parts]
@@ -211,16 +231,24 @@ class EpochTable:
         count = F.count(F.lit(1)).alias("rows")
         folder = f"{self.data}/{part}/epoch={epoch}"
         with adaptive(rows.sparkSession):
-            if self.spec.day_of is None:
+            if self.part is None:
                 rows.observe(seen, count).write.mode("overwrite").parquet(folder)
             else:
-                # Tasks of even size that hold few days each: few files, and a day
+                # Tasks of even size that hold few parts each: few files, and a part
                 # with most of the rows is still split. Rows are counted after the
                 # shuffle: below it an empty batch would drop the count with the plan.
-                days = rows.withColumn(DAY, F.to_date(self.spec.day_of)).hint("rebalance", DAY)
-                (days.observe(seen, count).write.mode("overwrite").partitionBy(DAY)
+                parted = rows.withColumn(self.part, self._part_of()).hint("rebalance", self.part)
+                (parted.observe(seen, count).write.mode("overwrite").partitionBy(self.part)
                  .parquet(folder))
-        return seen.get["rows"]
+        stored = seen.get["rows"]
+        if not stored:
+            self._delete([folder])
+        return stored
+
+    def _delete(self, folders: list[str]) -> None:
+        for folder in folders:
+            target, files = hadoop_path(self.spark, folder)
+            files.delete(target, True)
 
     def _shaped(self, rows: DataFrame, order: tuple[str, ...] = ()) -> DataFrame:
         """Columns by the table's names and types, and those that ``order`` needs besides.
@@ -235,21 +263,13 @@ class EpochTable:
     def _new_rows(self, rows: DataFrame, epoch: int, order: tuple[str, ...]) -> DataFrame:
         """First rows of the keys that earlier epochs lack.
 
-        Only stored keys between the batch's least and greatest key are read:
-        the bounds reach the Parquet scan, and keys mostly rise with time. A
-        batch of few rows sends its keys to the stored ones, so that only the
-        keys that meet are shuffled; a larger batch takes a shuffled join.
+        Only the key ranges that occur in the batch are read, and of them only
+        the keys. The driver learns the ranges, as many as the batch touches.
         """
-        key = self.spec.keys[0]
         fresh = merge.first_per_key(rows, self.spec.keys, order)
-        if not any(self._plan(before=epoch)):
-            return fresh
-        low, high, size = rows.agg(F.min(key), F.max(key), F.count(key)).first()
-        stored = self.current(before=epoch).filter(F.col(key).between(low, high))
-        if size <= BROADCAST_ROWS:
-            stored = stored.join(F.broadcast(rows.select(*self.spec.keys)),
-                                 list(self.spec.keys), "left_semi")
-        return merge.unseen(stored, fresh, self.spec)
+        touched = {str(row[0]) for row in rows.select(self._part_of()).distinct().collect()}
+        plan = self._plan(before=epoch, wanted=touched.__contains__)
+        return merge.unseen(self._content(*plan), fresh, self.spec) if any(plan) else fresh
 
     def write(self, rows: DataFrame, epoch: int, order: tuple[str, ...] = (),
               unique: bool = False) -> int:
@@ -282,23 +302,37 @@ class EpochTable:
         _, warm, log = self._plan(before=epoch + 1)
         if not log:
             return
-        folded = self._read("log", log) if self.spec.policy == "ignore" else self._merged(warm, log)
-        self._store(folded.select(*self.schema.names), "base", epoch)
+        self._store(self._merged(warm, log).select(*self.schema.names), "base", epoch)
 
-    def expire(self) -> None:
-        """Delete epochs that no reader of the newest base needs.
+    def upkeep(self, epoch: int, every: int = UPKEEP_EPOCHS) -> None:
+        """Fold after every so many epochs, and delete what the folding before made needless.
 
-        Readers that started before the last ``compact`` must have ended.
+        A reader thus has the time of ``every`` epochs; the folders number about twice that.
+        """
+        if (epoch + 1) % every:
+            return
+        older = [base for base in self._epochs("base") if base <= epoch + 1 - every]
+        if not self.complete:
+            self.compact()
+        if older:
+            self.expire(max(older))
+
+    def expire(self, newest: int | None = None) -> None:
+        """Delete epochs that no reader of the newest base, or of that one, needs.
+
+        Readers that started before that base was made must have ended.
         """
         bases = self._epochs("base")
-        newest = max(bases, default=-1)
+        newest = max(bases, default=-1) if newest is None else newest
+        bases = {epoch: path for epoch, path in bases.items() if epoch <= newest}
         gone = [folder for value, folder in self._folders(f"{self.data}/log", "epoch").items()
                 if int(value) <= newest]
         if self.complete:
             gone += [folder for epoch, folder in bases.items() if epoch < newest]
-        elif self.spec.day_of is not None:
-            stored = self._days(list(bases.values()))
+        elif self.part is not None:
+            stored = self._parts(list(bases.values()))
             gone += [path for paths in stored.values() for path in paths[:-1]]
-        for folder in gone:
-            target, files = hadoop_path(self.spark, folder)
-            files.delete(target, True)
+        self._delete(gone)
+        if self.part is not None and not self.complete:
+            self._delete([path for epoch, path in bases.items()
+                          if epoch < newest and not self._folders(path, self.part)])

@@ -1,12 +1,16 @@
 from __future__ import annotations
 
+import glob
+import os
+
 import pytest
 from conftest import rows_of
 
 from postflow.__main__ import main
 from postflow.operators.posts import message_rows
-from postflow.plans import reports
-from postflow.schemas import TABLES, table_of
+from postflow.plans import metrics, reports
+from postflow.schemas import (
+    HASHTAGS_TOPIC, TABLES, TWEETS_TOPIC, USER_ACTIVITY_TOPIC, table_of)
 from postflow.sources.tables import seed_tables
 from postflow.streaming import jobs
 from postflow.streaming.table import EpochTable
@@ -33,10 +37,10 @@ def test_produce_stream_report_compare(spark, post_csv, root, capsys):
         assert "#technology: 6" in out and "user1: 6 tweets" in out
         main(["sql", "--query", "SELECT username, SUM(total_likes)::double / SUM(tweet_count) AS a "
               "FROM user_activity WHERE username = 'user3' GROUP BY username", *where])
-        assert "|user3   |25.0|" in capsys.readouterr().out
+        assert "|user3|25.0|" in capsys.readouterr().out
         main(["sql", "--query", "SELECT count(*) AS runs FROM performance_metrics "
               "WHERE execution_mode = 'batch'", *where])
-        assert "|3   |" in capsys.readouterr().out
+        assert "|3|" in capsys.readouterr().out
         for name in TABLES:
             spark.catalog.dropTempView(name)
         main(["compact", "--expire", *where])
@@ -46,6 +50,46 @@ def test_produce_stream_report_compare(spark, post_csv, root, capsys):
         assert stored.count() == 85
 
 
+def bad_records(spark, topics):
+    for topic in (TWEETS_TOPIC, HASHTAGS_TOPIC, USER_ACTIVITY_TOPIC):
+        spark.createDataFrame([(b"oops",)], "value binary").write.mode("append").parquet(
+            f"{topics}/topic={topic}")
+
+
+@pytest.mark.parametrize("mode", [[], ["--mode", "update"], ["--mode", "update", "--republish"]])
+def test_nothing_is_lost(spark, post_csv, root, capsys, mode):
+    """Rejects of the topics that are read, and a logged record for each one sent."""
+    topics, tables = f"{root}/topics", f"{root}/tables"
+    main(["produce", "--csv", post_csv, "--topics", topics])
+    bad_records(spark, topics)
+    main(["stream", "--once", "--topics", topics, "--rate", "1", "--root", tables, *mode])
+    bad = spark.read.parquet(f"{tables}/rejects")
+    read = (TWEETS_TOPIC, HASHTAGS_TOPIC, USER_ACTIVITY_TOPIC) if mode else (TWEETS_TOPIC,)
+    assert rows_of(bad, "topic", "raw") == sorted((topic, "oops") for topic in read)
+    logged = spark.read.parquet(f"{tables}/performance_metrics").groupBy("query_id").sum(
+        "records_processed")
+    name = "tweets" if mode else "shared"
+    assert (f"spark_streaming_{name}", 81) in rows_of(logged)
+    assert f"81 {name}" in capsys.readouterr().out
+    sent = "hashtag_windows_topic", "user_windows_topic"
+    assert ("--republish" in mode) == os.path.isdir(f"{topics}/topic={sent[1]}")
+    main(["sql", "--root", tables, "--query", "SELECT username, window_end FROM user_activity"])
+    assert capsys.readouterr().out.count("|author") == 240
+    main(["sql", "--root", tables, "--query", "SELECT * FROM user_activity", "--out", f"{root}/o"])
+    assert spark.read.parquet(f"{root}/o").count() == 240
+    main(["compact", "--expire", "--root", tables])
+    assert not glob.glob(f"{tables}/*/*/log/epoch=*")
+
+
+def test_numbers_are_never_cut(spark):
+    rows = spark.createDataFrame(
+        [("q", "s", 1.7e12, 0.5, 1699999999999.5, "Batch", 3.4e12)], "query_type string, "
+        "stream_id string, stream_avg double, batch_avg double, difference double, faster string, "
+        "factor double")
+    line = metrics.comparison_lines(rows).first()["line"]
+    assert "1699999999999.50 Batch" in line and "1700000000000.00 " in line
+
+
 def test_load(spark, post_csv, root):
     main(["produce", "--csv", post_csv, "--topics", f"{root}/topics", "--limit", "20"])
     send_seeds(spark, f"{root}/topics")

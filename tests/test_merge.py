@@ -149,9 +149,49 @@ def test_days_without_news_are_read_without_a_shuffle(spark, root):
     assert [r["count"] for r in table.current().orderBy("window_end").collect()] == [1, 1, 2, 1, 1]
 
 
-@pytest.mark.parametrize("limit", [1_000_000, 0])
-def test_ignore_table_by_broadcast_and_by_shuffle(spark, root, monkeypatch, limit):
-    monkeypatch.setattr("postflow.streaming.table.BROADCAST_ROWS", limit)
+def test_a_batch_reads_only_the_key_ranges_it_touches(spark, root):
+    """Also with one very old id in it, and the same however large the table has grown."""
+    table = EpochTable.named(spark, root, "tweets")
+    read = []
+    for epoch in range(6):
+        fresh = [(epoch * 10**9 + n, "a", at(1)) for n in range(3)]
+        old = [(2, "again", at(0))] if epoch else []
+        plan = table._plan(epoch, {str(row[0] // 10_000_000) for row in fresh + old}.__contains__)
+        read.append(sum(map(len, plan)))
+        assert table.write(tweets(spark, fresh + old), epoch, FIRST) == 3
+    assert read == [0, 1, 1, 1, 1, 1]
+    assert table.current().count() == 18
+    table.compact()
+    assert table.current().count() == 18
+
+
+def test_upkeep_bounds_the_folders(spark, root):
+    for name, rows in (("tweets", lambda n: tweets(spark, [(n, "a", at(1))])),
+                       ("hashtag_counts", lambda n: counts(spark, [("a", n, at(5), at(1))]))):
+        table = EpochTable.named(spark, root, name, "increment" if name != "tweets" else None)
+        most = 0
+        for epoch in range(13):
+            table.write(rows(epoch + 1), epoch, *([FIRST] if name == "tweets" else []))
+            table.upkeep(epoch, every=3)
+            most = max(most, len(table._epochs("log")) + len(table._epochs("base")))
+        assert most <= 9
+        assert table.current().count() == (13 if name == "tweets" else 1)
+    assert table.current().first()["count"] == sum(range(1, 14))
+    whole = EpochTable.named(spark, root, "hashtag_counts", folder="whole", complete=True)
+    for epoch in range(9):
+        whole.replace(counts(spark, [("a", epoch, at(5), at(1))]), epoch)
+        whole.upkeep(epoch, every=3)
+    assert len(whole._epochs("base")) < 7 and whole.current().first()["count"] == 8
+
+
+def test_empty_batches_leave_no_epoch(spark, root):
+    table = EpochTable.named(spark, root, "hashtag_counts")
+    assert table.write(counts(spark, [("a", 1, at(5), at(1))]), 0) == 1
+    assert table.write(counts(spark, []), 1) == 0
+    assert list(table._epochs("log")) == [0]
+
+
+def test_ignore_table(spark, root):
     table = EpochTable.named(spark, root, "tweets")
     assert table.write(tweets(spark, [(1, "a", at(1)), (1, "b", at(0)), (2, "c", at(1))]), 0, FIRST) == 2
     assert table.write(tweets(spark, [(2, "x", at(0)), (3, "d", at(1)), (None, "n", at(1))]), 1, FIRST) == 1

@@ -19,7 +19,7 @@ from postflow.sources.posts import csv_posts, csv_records
 from postflow.sources.tables import read_table
 
 
-@pytest.mark.parametrize("how", [{}, {"record_sep": "\r\n"}, {"split": True}])
+@pytest.mark.parametrize("how", [{}, {"record_sep": "\r\n"}])
 def test_csv_has_one_cut_record(spark, post_csv, how):
     posts = csv_posts(spark, post_csv, **how)
     good, bad = split_rows(posts)
@@ -40,12 +40,35 @@ def split_size(spark, size):
 
 
 @pytest.mark.parametrize("size", [100, 1000, 4096, 1 << 27])
-@pytest.mark.parametrize("how", [{"record_sep": "\r\n"}, {"split": True}])
-def test_split_readers_agree_with_the_whole_file(spark, post_csv, how, size):
+def test_split_reader_agrees_with_the_whole_file(spark, post_csv, size):
     want = rows_of(csv_posts(spark, post_csv).filter("tweet_id < 81"))
     with split_size(spark, size):
-        assert rows_of(csv_posts(spark, post_csv, **how).filter("tweet_id < 81")) == want
-        assert csv_posts(spark, post_csv, **how).count() == 81
+        posts = csv_posts(spark, post_csv, "\r\n")
+        assert rows_of(posts.filter("tweet_id < 81")) == want
+        assert posts.count() == 81
+
+
+@pytest.mark.parametrize("how", [{}, {"record_sep": "\r\n"}])
+def test_columns_are_taken_by_name(spark, root, how):
+    header = "Timestamp,Likes,Extra,Retweets,Text,Tweet_ID,Username"
+    for name, number in (("a", 1), ("b", 3_000_000_000)):
+        with open(f"{root}/{name}.csv", "w", newline="") as file:
+            file.write(f'{header}\r\n2024-01-01 00:00:00,9,x,5,"5"" of, it",{number},size 5"\r\n')
+    assert rows_of(csv_posts(spark, root, **how), "tweet_id", "username", "text", "retweets",
+                   "likes") == [(n, 'size 5"', '5" of, it', 5, 9) for n in (1, 3_000_000_000)]
+
+
+def test_a_file_with_another_header_is_an_error(spark, root):
+    for name, header in (("a", "Tweet_ID,Username,Text,Retweets,Likes,Timestamp"),
+                         ("b", "Tweet_ID,Username,Text,Likes,Retweets,Timestamp")):
+        with open(f"{root}/{name}.csv", "w") as file:
+            file.write(f"{header}\n1,u,t,5,9,2024-01-01 00:00:00\n")
+    with pytest.raises(Exception, match="header"):
+        csv_posts(spark, root).collect()
+    with open(f"{root}/c.csv", "w") as file:
+        file.write("Tweet_ID,Username\n1,u\n")
+    with pytest.raises(ValueError, match="Likes"):
+        csv_posts(spark, f"{root}/c.csv")
 
 
 def test_split_reader_uses_many_tasks(spark, post_csv):
@@ -61,21 +84,17 @@ FIELD = st.text(st.sampled_from('ab,"\n\r é#'), max_size=30)
 @settings(max_examples=6, deadline=None,
           suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.tuples(FIELD, FIELD), min_size=1, max_size=25), st.integers(8, 200))
-def test_split_reader_equals_python_csv(spark, tmp_path_factory, texts, size):
+def test_split_reader_gives_back_what_was_written(spark, tmp_path_factory, texts, size):
     folder = tmp_path_factory.mktemp("csv")
     rows = [(i, user, text, i, 2 * i, "2024-01-01 00:00:00") for i, (user, text) in enumerate(texts)]
     for number, part in enumerate((rows[::2], rows[1::2])):
         with open(folder / f"{number}.csv", "w", encoding="utf-8", newline="") as file:
-            writer = csv.writer(file, quoting=csv.QUOTE_ALL)
-            file.write(",".join(CSV_COLUMNS) + "\r\n")
+            writer = csv.writer(file, quoting=csv.QUOTE_ALL, lineterminator="\x1e")
+            file.write(",".join(CSV_COLUMNS) + "\x1e")
             writer.writerows(part)
-    want = []
-    for number in range(2):
-        with open(folder / f"{number}.csv", encoding="utf-8") as file:
-            want += [(int(row["Tweet_ID"]), row["Username"], row["Text"])
-                     for row in csv.DictReader(file)]
+    want = [(i, user, text) for i, (user, text) in enumerate(texts)]
     with split_size(spark, size):
-        got = csv_records(spark, str(folder), split=True)
+        got = csv_records(spark, str(folder), "\x1e")
         got = [(int(row["Tweet_ID"]), row["Username"] or "", row["Text"] or "") for row in got.collect()]
     assert sorted(got) == sorted(want)
 
