@@ -72,6 +72,25 @@ def test_contains_join_is_the_substring_test(spark):
     assert got == sorted(((p, w) for p in parts for w in wholes if p in w), key=repr)
 
 
+def test_substrings_common_to_all_texts_are_not_made(spark):
+    """Parts of 6 to 8 characters: what all names share is shorter, so no key holds them all."""
+    names = spark.range(200).selectExpr("concat('user_', id) AS name")
+    made = names.select("name", F.explode(compare.substrings("name", 6, 8)).alias("part"))
+    assert made.groupBy("part").count().agg(F.max("count")).first()[0] <= 111
+    assert made.filter("length(part) < 6 OR length(part) > 8").count() == 0
+    plan = compare.contains_join(
+        names.withColumnRenamed("name", "part"), names, "part", "name")
+    assert plan.count() == sum(str(b).startswith(str(a)) for a in range(200) for b in range(200))
+
+
+def test_contains_join_without_parts(spark):
+    none = spark.createDataFrame([], "part string")
+    whole = spark.createDataFrame([("a",), ("",)], "whole string")
+    assert compare.contains_join(none, whole, "part", "whole").count() == 0
+    empty = spark.createDataFrame([("",)], "part string")
+    assert compare.contains_join(empty, whole, "part", "whole").count() == 2
+
+
 def test_contains_join_needs_no_nested_loop(spark):
     left = spark.createDataFrame([("a",)], "part string")
     right = spark.createDataFrame([("ab",)], "whole string")
