@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,6 +17,8 @@ from postflow.sources.tables import read_table
 from postflow.streaming import jobs
 from postflow.streaming.table import EpochTable
 
+LOG_SECONDS = 60
+
 
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="postflow", description=__doc__)
@@ -73,14 +76,21 @@ def sender(args):
 
 
 def watch(spark: SparkSession, args, start) -> None:
-    """Run queries until stopped, showing and logging their progress."""
+    """Run queries until stopped, showing their progress and logging it once a minute: each time
+    makes a file."""
     progress = metrics.ProgressLog()
     spark.streams.addListener(progress)
-    log = f"{args.root}/performance_metrics"
+    logged = time.monotonic()
+
+    def flush() -> None:
+        metrics.append_metrics(spark, progress.drain(), f"{args.root}/performance_metrics")
 
     def every() -> None:
+        nonlocal logged
         print(progress.line())
-        metrics.append_metrics(spark, progress.drain(), log)
+        if time.monotonic() - logged >= LOG_SECONDS:
+            flush()
+            logged = time.monotonic()
 
     queries = start().values()
     if args.once:
@@ -88,7 +98,8 @@ def watch(spark: SparkSession, args, start) -> None:
     else:
         jobs.run_until_stopped(spark, queries, every)
     progress.settle(spark)
-    every()
+    print(progress.line())
+    flush()
     spark.streams.removeListener(progress)
 
 
