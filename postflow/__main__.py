@@ -1,4 +1,4 @@
-"""Command line: ``python -m postflow <produce|stream|load|report|compare|sql|compact> ...``."""
+"""Command line: ``python -m postflow <produce|stream|load|report|compare|results|sql|compact> ...``."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from postflow.operators.posts import message_rows
 from postflow.plans import metrics, reports
+from postflow.plans.results import results_parity, store_results
 from postflow.plans.views import register_views, stored_tables
 from postflow.session import build_session
 from postflow.sources.messages import split_rows, topic_stream
@@ -23,7 +24,8 @@ LOG_SECONDS = 60
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="postflow", description=__doc__)
     top.add_argument("command",
-                     choices=("produce", "stream", "load", "report", "compare", "sql", "compact"))
+                     choices=("produce", "stream", "load", "report", "compare", "results", "sql",
+                              "compact"))
     top.add_argument("--root", help="folder of the stored tables and of rejects")
     top.add_argument("--brokers", help="Kafka bootstrap servers")
     top.add_argument("--topics", help="folder of topic files, in place of Kafka")
@@ -157,6 +159,14 @@ def give(frame: DataFrame, folder: str | None) -> None:
         print("|" + "|".join("NULL" if value is None else str(value) for value in row) + "|")
 
 
+def results(spark: SparkSession, args) -> None:
+    """Store batch and streaming results side by side and tell how they differ."""
+    store_results(spark, args.root)
+    for name, frame in results_parity(spark, args.root).items():
+        print(name)
+        give(frame, args.out and f"{args.out.rstrip('/')}/{name}")
+
+
 def sql(spark: SparkSession, args) -> None:
     register_views(spark, args.root)
     give(spark.sql(args.query), args.out)
@@ -170,7 +180,7 @@ def compact(spark: SparkSession, args) -> None:
 
 
 COMMANDS = {"produce": produce, "stream": stream, "load": load, "report": report,
-            "compare": compare, "sql": sql, "compact": compact}
+            "compare": compare, "results": results, "sql": sql, "compact": compact}
 
 
 def main(argv: list[str] | None = None) -> None:

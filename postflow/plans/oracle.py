@@ -287,6 +287,13 @@ WHERE b.mean > 0 AND s.mean > 0""",
  UNION ALL SELECT 'users', username, CAST(sum(tweet_count) AS BIGINT),
         CAST(sum(total_likes) AS BIGINT), CAST(sum(total_retweets) AS BIGINT)
  FROM uw GROUP BY username"""),
+    "stored_results": _with(BOTH_WINDOWS, """
+ SELECT side || '_hashtags' AS result, hashtag AS name, CAST(sum(count) AS BIGINT) AS count,
+        CAST(NULL AS BIGINT) AS total_likes, CAST(NULL AS BIGINT) AS total_retweets
+ FROM hw, (VALUES ('stream'), ('batch')) v(side) GROUP BY side, hashtag
+ UNION ALL SELECT side || '_users', username, CAST(sum(tweet_count) AS BIGINT),
+        CAST(sum(total_likes) AS BIGINT), CAST(sum(total_retweets) AS BIGINT)
+ FROM uw, (VALUES ('stream'), ('batch')) v(side) GROUP BY side, username"""),
     "stream_republish": _with(USER_WINDOWS, f"""SELECT 'user_windows_topic' AS topic,
  CAST(json_object('username', username, 'tweet_count', tweet_count, 'total_likes', total_likes,
    'total_retweets', total_retweets, 'window_end', {ISO.format('window_end')},

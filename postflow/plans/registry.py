@@ -13,7 +13,7 @@ from postflow.functions.text import (
 from postflow.operators import compare as matching
 from postflow.operators import merge, windows
 from postflow.operators.posts import activity_rows, hashtag_rows, message_rows, window_messages
-from postflow.plans import metrics, reports
+from postflow.plans import metrics, reports, results
 from postflow.plans.views import register_views
 from postflow.schemas import (
     HASHTAGS_TOPIC, MERGES, TWEETS_TOPIC, USER_ACTIVITY_TOPIC, MergeSpec)
@@ -671,6 +671,21 @@ def stream_shared_users(spark, sf):
     return without_zone(table.current())
 
 
+def stored_results(spark, sf):
+    """Streaming and batch totals as stored side by side, without the time of processing."""
+    root = run_shared(spark, sf)
+    results.store_results(spark, root)
+    parts = []
+    for name in results.RESULTS:
+        rows = results.stored_result(spark, root, name).drop("processed_at")
+        measures = [F.col(x) if x in rows.columns else F.lit(None).cast("bigint").alias(x)
+                    for x in ("total_likes", "total_retweets")]
+        parts.append(rows.select(
+            F.lit(name).alias("result"), F.col(rows.columns[0]).alias("name"),
+            F.col(rows.columns[1]).alias("count"), *measures))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def stream_batch_parity(spark, sf):
     """The same aggregate as a stream and as a batch, compared row by row."""
     return matching.parity(stream_complete_users(spark, sf), user_results(posts_of(spark, sf)))
@@ -696,5 +711,5 @@ QUERIES = {query.__name__: query for query in (
     stream_update_merge_hashtags, stream_update_merge_users,
     stream_increment_hashtags, stream_increment_users, stream_republish, stream_fanout,
     stream_analysis, stream_loads, stream_shared_hashtags, stream_shared_users,
-    stream_batch_parity, stream_rejects,
+    stream_batch_parity, stream_rejects, stored_results,
 )}

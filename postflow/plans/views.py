@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from postflow.schemas import MERGES
+from postflow.schemas import MERGES, TABLES
 from postflow.session import path_exists
 from postflow.sources.tables import read_table
 from postflow.streaming.table import EpochTable
@@ -25,10 +25,9 @@ def register_views(spark: SparkSession, root: str, prefix: str = "") -> dict[str
     """
     root = root.rstrip("/")
     frames = {name: table.current() for name, table in stored_tables(spark, root).items()}
-    log = f"{root}/performance_metrics"
-    if path_exists(spark, log):
-        frames["performance_metrics"] = read_table(
-            spark, "performance_metrics", "parquet", path=log)
+    for name in sorted(set(TABLES) - set(MERGES)):
+        if path_exists(spark, f"{root}/{name}"):
+            frames[name] = read_table(spark, name, "parquet", path=f"{root}/{name}")
     for name, frame in frames.items():
         frame.createOrReplaceTempView(prefix + name)
     return {name: prefix + name for name in frames}

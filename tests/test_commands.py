@@ -77,6 +77,11 @@ def test_nothing_is_lost(spark, post_csv, root, capsys, mode):
     assert capsys.readouterr().out.count("|author") == 240
     main(["sql", "--root", tables, "--query", "SELECT * FROM user_activity", "--out", f"{root}/o"])
     assert spark.read.parquet(f"{root}/o").count() == 240
+    main(["results", "--root", tables])
+    out = capsys.readouterr().out
+    assert "hashtags" in out and "|80|80|0|0|" in out
+    main(["sql", "--root", tables, "--query", "SELECT count(*) FROM raw_tweets"])
+    assert "|80|" in capsys.readouterr().out
     main(["compact", "--expire", "--root", tables])
     assert not glob.glob(f"{tables}/*/*/log/epoch=*")
 
