@@ -45,9 +45,9 @@ def token_ids(path: str, texts: list[str], end_id: int | None = END_ID) -> Itera
     """The ids of each text and the end id, as 32-bit numbers. Strings of special tokens become
     those tokens, as the tokenizers library has it."""
     bpe = encoding(path)
-    tail = [] if end_id is None else [end_id]
+    tail = np.array([] if end_id is None else [end_id], dtype=np.uint32)
     for text in texts:
-        yield np.array(bpe.encode(text, allowed_special="all") + tail, dtype="<u4")
+        yield np.append(bpe.encode_to_numpy(text, allowed_special="all"), tail).astype("<u4")
 
 
 def cuts(length: int, size: int) -> list[tuple[int, int]]:
