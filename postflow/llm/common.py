@@ -26,6 +26,12 @@ def whole_row(docs: DataFrame) -> Column:
     return F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("whole_row")
 
 
+def named(key: str) -> Column:
+    """An id as a text that is never null, so that plain equality joins and groups by it, and the
+    shuffle of a join serves a window over the same ids."""
+    return F.coalesce(F.concat(F.lit("="), F.col(key).cast("string")), F.lit(""))
+
+
 def saved(frame: DataFrame, name: str) -> DataFrame:
     """The frame written to the cluster's shared folder and read again: a lost executor costs
     nothing that was computed before."""

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from postflow.llm.common import WHITE, filled, whole_row
+from postflow.llm.common import WHITE, filled, named, whole_row
 
 SALTS = 8
 
@@ -66,13 +66,12 @@ def exact_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -
 def without_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns; of a repeated row one stays."""
     decided = exact_duplicates(docs, key, text).filter("kept").select(
-        F.col("doc_id").alias("kept_id"), F.col("text_sha256").alias("kept_sha")).distinct()
+        named("doc_id").alias("name"), F.col("text_sha256").alias("sha")).distinct()
     rows = docs.select(
-        whole_row(docs), F.col(key).alias("doc_id"), F.char_length(filled(text)).alias("points"),
+        whole_row(docs), named(key).alias("name"), F.char_length(filled(text)).alias("points"),
         F.sha2(F.regexp_replace(filled(text), WHITE, ""), 256).alias("sha"))
-    chosen = rows.join(decided, F.col("doc_id").eqNullSafe(F.col("kept_id"))
-                       & (F.col("sha") == F.col("kept_sha")), "left_semi")
-    order = Window.partitionBy("doc_id", "sha").orderBy(F.desc("points"))
+    chosen = rows.join(decided, ["name", "sha"], "left_semi")
+    order = Window.partitionBy("name", "sha").orderBy(F.desc("points"))
     return (chosen.withColumn("row", F.row_number().over(order)).filter("row = 1")
             .select("whole_row.*"))
 
