@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postflow.llm.batches import slices, texts_of
-from postflow.llm.common import saved, whole_row
+from postflow.llm.common import named, saved, whole_row
 
 SHINGLE, MOST_BITS = 3, 3
 SEGMENTS, WIDTH = 4, 16
@@ -97,7 +97,9 @@ def links(distinct: DataFrame, bits: int = MOST_BITS) -> DataFrame:
     for s in starts:
         chain = turned(differing, s).bitwiseAND(F.lit((1 << 3 * WIDTH) - 1))
         three = F.when(start == s, chain).otherwise(three)
-    met = asked.join(stored, "key").filter(
+    # Spark's size estimate does not know how many variants a fingerprint has: without the hint it
+    # would broadcast them where the fingerprints themselves are few.
+    met = asked.join(stored.hint("merge"), "key").filter(
         (F.col("a") < F.col("b")) & (F.bit_count(three) <= allowed[2])
         & (F.bit_count(differing) <= bits))
     return met.select("a", "b").distinct()
@@ -157,8 +159,6 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text",
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` whose id names its component, with all their columns."""
     first = near_duplicates(docs, key, text).filter(
-        F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("first_id")).distinct()
-    rows = docs.select(whole_row(docs), F.col(key).alias("doc_id"))
-    return rows.join(first, F.col("doc_id").eqNullSafe(F.col("first_id")), "left_semi").select(
-        "whole_row.*")
+        F.col("doc_id").eqNullSafe(F.col("component_id"))).select(named("doc_id").alias("name"))
+    rows = docs.select(whole_row(docs), named(key).alias("name"))
+    return rows.join(first.distinct(), "name", "left_semi").select("whole_row.*")
