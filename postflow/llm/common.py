@@ -32,6 +32,15 @@ def named(key: str) -> Column:
     return F.coalesce(F.concat(F.lit("="), F.col(key).cast("string")), F.lit(""))
 
 
+def drawn(rows: DataFrame, key: str, size: int, total: int) -> DataFrame:
+    """A sample of ``size`` rows by hash of their key, from about ``total``. Each task passes on
+    only what falls below a bound that about twice the sample does, so that what meets in the end
+    does not grow with the number of tasks."""
+    share = min(1.0, (2 * size + 100) / max(1, total))
+    draw = F.shiftrightunsigned(F.xxhash64(key), 11)  # 53 bits
+    return rows.filter(draw <= int(share * (1 << 53))).orderBy(draw, key).limit(size)
+
+
 def saved(frame: DataFrame, name: str) -> DataFrame:
     """The frame written to the cluster's shared folder and read again: a lost executor costs
     nothing that was computed before."""

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postflow.llm.batches import slices, texts_of
+from postflow.llm.common import drawn
 
 # What HTML says of its elements.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr param".split())
@@ -302,13 +303,12 @@ def sample(pages: DataFrame, docs: DataFrame, key: str = "page_id", url: str = "
     """The bounded sample of labelled pages: html, and the text of the document that the first
     number of the url's path names. Chosen by hash of the page's id."""
     number = F.regexp_extract(F.col(url), r"://[^/?#]*/[^?#]*?([0-9]{1,18})", 1)
-    chosen = (pages.select(F.col(key).alias("page"), F.col(html).alias("html"),
-                           F.when(number != "", number.cast("long")).alias("doc_id"))
-              .filter(F.col("doc_id").isNotNull() & (F.char_length("html") <= SAMPLE_CHARS))
-              .withColumn("order", F.xxhash64("page")).orderBy("order", "doc_id")
-              .limit(SAMPLE_PAGES))
+    known = pages.select(
+        F.col(key).alias("page"), F.col(html).alias("html"),
+        F.when(number != "", number.cast("long")).alias("doc_id")).filter(
+        F.col("doc_id").isNotNull() & (F.char_length("html") <= SAMPLE_CHARS))
     # Bounded: at most SAMPLE_PAGES rows of SAMPLE_CHARS characters.
-    rows = chosen.select("page", "html", "doc_id").collect()
+    rows = drawn(known, "page", SAMPLE_PAGES, pages.count()).collect()
     wanted = sorted({r["doc_id"] for r in rows})
     if not wanted:
         return []
