@@ -16,7 +16,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postflow.llm.common import filled, whole_row
+from postflow.llm.common import drawn, filled, whole_row
 
 # The model is fitted on a bounded sample: at most so many labelled documents of each class for the
 # dictionaries and as many for the calibration, and so many characters of each.
@@ -88,16 +88,14 @@ def sample(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
         & F.col("quality").isin(0, 1)).groupBy("id").agg(
         F.min("quality").alias("quality"), F.max("quality").alias("other")).filter(
         "quality = other").select("id", "quality")
-    chosen = []
-    for quality in (0, 1):
-        own = known.filter(F.col("quality") == quality)
-        chosen.append(own.orderBy(F.xxhash64("id"), "id").limit(2 * SAMPLE_DOCS))
+    shares = {r["quality"]: r["count"] for r in known.groupBy("quality").count().collect()}
+    chosen = [drawn(known.filter(F.col("quality") == quality), "id", 2 * SAMPLE_DOCS,
+                    shares.get(quality, 0)) for quality in (0, 1)]
     # Bounded: at most 4 * SAMPLE_DOCS rows of two numbers.
     ids = F.broadcast(chosen[0].unionByName(chosen[1]))
     body = F.substring(filled(text), 1, SAMPLE_CHARS).alias("body")
     rows = docs.select(F.col(key).alias("id"), body).join(ids, "id").select(
         F.pmod(F.xxhash64("id", F.lit("part")), F.lit(2)).alias("part"), "quality", "body")
-    shares = {r["quality"]: r["count"] for r in known.groupBy("quality").count().collect()}
     return sorted((r["part"], r["quality"], r["body"], shares[r["quality"]])
                   for r in rows.collect())
 
