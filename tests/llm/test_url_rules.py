@@ -1,8 +1,9 @@
 from __future__ import annotations
 
+import random
 import re
 
-from postflow.llm.url_rules import RULES, url_filter
+from postflow.llm.url_rules import RULES, held_out_precision, url_filter
 
 URLS = ["http://a.org/x", "https://EXAMPLE.org/es/1", "http://www.example.org/en/17?x=1",
         "http://b.com/fr/2", "http://b.com/de/2#t", "http://com/de/", "http://xcom/de/", "no scheme",
@@ -52,5 +53,40 @@ def test_mined_rules_block_what_labels_call_bad(spark):
     assert all((got[i] == "block") == (i % 5 == 0) for i in range(300))
 
 
+def test_labels_by_chance_make_no_rule(spark):
+    """A quarter of the pages is bad, whatever their host: nothing to learn."""
+    draw = random.Random(3)
+    urls = [f"http://{draw.choice('abcdefgh')}{draw.randrange(30)}.example.net/en/{i}"
+            for i in range(1000)]
+    marks = [(i, int(draw.random() >= 0.25), 0) for i in range(1000)]
+    rows = url_filter(pages(spark, urls), labels(spark, marks)).collect()
+    assert len(rows) == 1000 and {r.verdict for r in rows} == {"allow"}
+
+
+def test_copies_of_one_page_make_no_rule(spark):
+    urls = ["http://one.example.net/en/7"] * 40 + [
+        f"http://news.example.net/en/{i}" for i in range(100, 300)]
+    marks = [(7, 0, 0)] + [(i, 1, 0) for i in range(100, 300)]
+    rows = url_filter(pages(spark, urls), labels(spark, marks)).collect()
+    assert {r.verdict for r in rows} == {"allow"}
+
+
+def test_rare_bad_host_among_many_pages(spark):
+    """12 of 12,000 labelled pages, 0.1 %, all of them bad."""
+    urls = [f"http://{'rare' if i % 1000 == 0 else f'h{i % 7}'}.example.net/en/{i}"
+            for i in range(12_000)]
+    marks = [(i, int(i % 1000 != 0 and i % 10 != 3), 0) for i in range(12_000)]
+    rows = url_filter(pages(spark, urls), labels(spark, marks)).collect()
+    assert {r.page_id for r in rows if r.verdict == "block"} == set(range(0, 12_000, 1000))
+
+
+def test_precision_on_the_held_out_half(spark):
+    urls = [f"http://{'spam' if i % 5 == 0 else 'news'}.example.net/en/{i}" for i in range(300)]
+    marks = [(i, int(i % 5 != 0), 0) for i in range(300)]
+    found = held_out_precision(pages(spark, urls), labels(spark, marks)).first()
+    assert 0 < found.bad == found.hit == found.bad_hit < found.pages
+    assert found.rules == 2  # host and label
+
+
 def test_empty_tables(spark):
     assert url_filter(pages(spark, []), labels(spark, [])).count() == 0
