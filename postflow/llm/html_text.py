@@ -47,9 +47,15 @@ OUTSIDE_WORDS = frozenset(
     "login search breadcrumb breadcrumbs pagination pager widget toolbar disclaimer copyright "
     "form skip".split())
 INSIDE_WORDS = frozenset("article content post entry story main body text".split())
-PRIOR = 40.0  # log odds of such a tag or word
+PRIOR = 40.0  # log odds of such a tag or word, and the bound of what is learned of it
+# Elements that may wrap a whole page: where most text lies below one, its tag and class words tell
+# of the page's layout and not of a part.
+WRAPPERS = frozenset("html body form".split())
+# A prior weighs as much as so many labelled nodes; what more of them say outweighs it.
+PSEUDO = 4.0
+# Share of labels against a prior that are taken as errors: an advertisement may equal a line.
+WRONG = 0.05
 GENERIC, SHAPE = 0.5, 1.0  # bounds of the learned log odds of other tags, and of text shapes
-TRAINED = 7.0  # bound of the learned log odds of the tags and words above
 COUPLING = 5.0  # bound of the learned log odds between a parent and its child
 TIE = -1e-6  # nothing known, up to rounding: taken as content
 # The model is fitted on a bounded sample of labelled pages of at most so many characters.
@@ -174,31 +180,62 @@ def tree_of(html: str) -> list[Node]:
             node.features = (
                 f"links:{'all' if share > 0.9 else 'many' if share > 0.4 else 'few'}",
                 f"long:{min(4, int(math.log10(node.length + 1) * 1.5))}")
+    unwrap(tree.nodes)
     return tree.nodes
 
 
-def bound_of(feature: str) -> tuple[float, float]:
-    """Prior log odds of a feature, and the bound of what is learned."""
+def unwrap(nodes: list[Node]) -> None:
+    """Takes outside words from wrappers with most of the page's text below them, and reads a form
+    of this kind as a body."""
+    below = [node.length for node in nodes]
+    for at in range(len(nodes) - 1, 0, -1):
+        below[nodes[at].parent] += below[at]
+    for node, length in zip(nodes, below):
+        if node.tag in WRAPPERS and 2 * length > below[0]:
+            node.tag = "body" if node.tag == "form" else node.tag
+            node.features = (f"tag:{node.tag}", *(
+                f for f in node.features[1:] if f == "word:#hidden" or prior_of(f) > 0))
+
+
+def prior_of(feature: str) -> float:
+    """Prior log odds of a feature; 0 if it has none."""
     kind, _, name = feature.partition(":")
     if kind == "tag":
-        if name in OUTSIDE_TAGS or name in INSIDE_TAGS:
-            return (-PRIOR if name in OUTSIDE_TAGS else PRIOR / 2), TRAINED
-        return 0.0, GENERIC
+        return -PRIOR if name in OUTSIDE_TAGS else PRIOR / 2 if name in INSIDE_TAGS else 0.0
     if kind == "word":
-        outside = name in OUTSIDE_WORDS or name == "#hidden"
-        return (-PRIOR if outside else PRIOR / 8), TRAINED
-    return 0.0, SHAPE
+        return -PRIOR if name in OUTSIDE_WORDS or name == "#hidden" else PRIOR / 8
+    return 0.0
+
+
+def learned(feature: str, content: int, other: int, total: Counter) -> float:
+    """Log odds of a feature from the labelled nodes that have it, with its prior as pseudo-counts.
+    Without a prior it is bounded by what a parent says, so that no tag or shape stands against it."""
+    prior = prior_of(feature)
+    if prior:
+        share = math.exp(prior) / (1 + math.exp(prior))
+        rest = 1 / (1 + math.exp(prior))
+        errors = WRONG * (content + other)
+        if prior < 0:
+            content = max(0.0, content - errors)
+        else:
+            other = max(0.0, other - errors)
+        odds = (math.log((content + PSEUDO * share) / (total[True] + PSEUDO))
+                - math.log((other + PSEUDO * rest) / (total[False] + PSEUDO)))
+        return max(-PRIOR, min(PRIOR, odds))
+    odds = math.log((content + 1) / (total[True] + 2)) - math.log((other + 1) / (total[False] + 2))
+    bound = GENERIC if feature.startswith("tag:") else SHAPE
+    return max(-bound, min(bound, odds))
 
 
 @dataclass
 class Model:
-    odds: dict[str, float] = field(default_factory=dict)  # learned, by feature
+    odds: dict[str, float] = field(default_factory=dict)  # by feature, in place of its prior
     child: dict[str, tuple[float, float]] = field(default_factory=dict)  # by the parent's tag
     usual: tuple[float, float] = (-COUPLING, COUPLING)
 
     def node(self, node: Node) -> float:
         """Log odds of content by the node's own features."""
-        return sum(bound_of(f)[0] + self.odds.get(f, 0.0) for f in node.features)
+        return sum(self.odds[f] if f in self.odds else prior_of(f) for f in node.features)
 
     def edge(self, tag: str) -> tuple[float, float]:
         """Log odds that a child is content, if its parent isn't and if it is."""
@@ -286,10 +323,7 @@ def fitted(pages: list[tuple[str, str]]) -> Model:
                 pairs.setdefault(nodes[node.parent].tag, Counter())[labels[node.parent], label] += 1
     model = Model()
     for feature, counts in seen.items():
-        odds = math.log((counts[True] + 1) / (total[True] + 2)) - math.log(
-            (counts[False] + 1) / (total[False] + 2))
-        bound = bound_of(feature)[1]
-        model.odds[feature] = max(-bound, min(bound, odds))
+        model.odds[feature] = learned(feature, counts[True], counts[False], total)
     for tag, counts in pairs.items():
         model.child[tag] = tuple(
             max(-COUPLING, min(COUPLING, math.log(

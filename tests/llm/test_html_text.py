@@ -70,6 +70,48 @@ def test_parts_around_and_inside_an_article(spark):
     assert main_text(fitted([]), page) == "Hello link world, this is text.\none\ntwo"
 
 
+LINE = "This is a long line of the text that the page shows to its readers, in words. " * 4
+NAV = "<nav><ul><li><a href=x>one</a></li><li><a href=y>two</a></li></ul></nav>"
+
+
+@pytest.fixture(scope="module")
+def labelled(spark):
+    return sample(spark.read.parquet(str(DATA / "sf0.01/pages.parquet")),
+                  spark.read.parquet(str(DATA / "sf0.01/documents.parquet")))
+
+
+@pytest.mark.parametrize("begin, end", [
+    ('<html><body class="has-sidebar">', "</body></html>"), ("<body><form action=x>", "</form></body>"),
+    ('<body id="page-with-sidebar"><form class="search" action=x>', "</form></body>")])
+def test_wrappers_of_whole_pages(labelled, begin, end):
+    """A tag or class word of what wraps the page does not hide its text."""
+    lines = [f"{i} {LINE.strip()}" for i in range(4)]
+    text = "".join(f"<p>{x}</p>" for x in lines)
+    assert main_text(fitted([]), begin + text + end) == "\n".join(lines)
+    page = f"{begin}{NAV}{text}<footer>&copy; site</footer>{end}"
+    assert main_text(fitted(labelled), page) == "\n".join(lines)
+    small = f"<body><article>{text}</article><form><label>Name</label><p>{LINE}</p></form></body>"
+    assert main_text(fitted(labelled), small) == "\n".join(lines)
+
+
+def test_labelled_pages_overrule_the_word_lists(labelled):
+    """Pages whose text lies in an element with a listed word, and say so by their labels."""
+    pages = []
+    for i in range(40):
+        lines = [f"Paragraph {i} {j} {LINE.strip()}" for j in range(3)]
+        pages.append((f"<body>{NAV}<div class='comment-layout'>"
+                      + "".join(f"<p>{x}</p>" for x in lines)
+                      + f"</div><footer>foot {i}</footer></body>", "\n".join(lines)))
+    for known in (pages, labelled + pages):
+        model = fitted(known)
+        assert all(main_text(model, html) == text for html, text in pages)
+
+
+def test_a_few_wrong_labels_overrule_nothing(labelled):
+    page = f"<body><article><p>{LINE}</p><div class='ad'>Buy {LINE}</div></article></body>"
+    assert main_text(fitted(labelled), page) == LINE.strip()
+
+
 def test_every_kind_of_page(spark):
     rows = {r.page_id: r for r in extracted(table(spark, PAGES), fitted([])).collect()}
     assert [rows[i].text for i in range(5)] == ["", "", "plain text", "a\nb", "x <b> y"]
