@@ -335,14 +335,21 @@ def fitted(pages: list[tuple[str, str]]) -> Model:
 def sample(pages: DataFrame, docs: DataFrame, key: str = "page_id", url: str = "url",
            html: str = "html") -> list[tuple[str, str]]:
     """The bounded sample of labelled pages: html, and the text of the document that the first
-    number of the url's path names. Chosen by hash of the page's id."""
+    number of the url's path names. Chosen by hash of the page's id among the pages that have such
+    a document; of several rows of one id one is taken."""
     number = F.regexp_extract(F.col(url), r"://[^/?#]*/[^?#]*?([0-9]{1,18})", 1)
     known = pages.select(
         F.col(key).alias("page"), F.col(html).alias("html"),
         F.when(number != "", number.cast("long")).alias("doc_id")).filter(
         F.col("doc_id").isNotNull() & (F.char_length("html") <= SAMPLE_CHARS))
+    # Only pages whose document there is are labelled: the sample is drawn from these alone.
+    named = known.select("page", "doc_id").join(
+        docs.select("doc_id"), "doc_id", "left_semi").groupBy("page").agg(
+        F.min("doc_id").alias("doc_id"))
+    chosen = F.broadcast(drawn(named, "page", SAMPLE_PAGES, named.count()))
     # Bounded: at most SAMPLE_PAGES rows of SAMPLE_CHARS characters.
-    rows = drawn(known, "page", SAMPLE_PAGES, pages.count()).collect()
+    rows = known.join(chosen, ["page", "doc_id"]).groupBy("page", "doc_id").agg(
+        F.min("html").alias("html")).collect()
     wanted = sorted({r["doc_id"] for r in rows})
     if not wanted:
         return []

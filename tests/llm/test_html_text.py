@@ -112,6 +112,15 @@ def test_a_few_wrong_labels_overrule_nothing(labelled):
     assert main_text(fitted(labelled), page) == LINE.strip()
 
 
+def test_sample_of_few_labelled_pages_among_many(spark):
+    """Every labelled page is drawn, however many pages have none; repeated rows count once."""
+    rows = [(i, f"http://a.net/en/{i}", f"<p>{i}</p>") for i in [*range(20_000), *[1] * 900]]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(0, 50)], "doc_id long, text string")
+    found = sample(pages, docs)
+    assert sorted(found) == sorted((f"<p>{i}</p>", f"text {i}") for i in range(50))
+
+
 def test_every_kind_of_page(spark):
     rows = {r.page_id: r for r in extracted(table(spark, PAGES), fitted([])).collect()}
     assert [rows[i].text for i in range(5)] == ["", "", "plain text", "a\nb", "x <b> y"]
