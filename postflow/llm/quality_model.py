@@ -82,7 +82,8 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, f
 
 def sample(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> list:
     """Rows (part, quality, text, share of that label) of the bounded sample. Chosen by hash among
-    the labelled ids outside the held-out fold; ids with contradictory labels are left out."""
+    the labelled ids outside the held-out fold; ids with contradictory labels are left out. Of several
+    rows of one id one is taken, by hash of its text."""
     known = labels.select(F.col("doc_id").alias("id"), "quality").filter(
         (F.crc32(F.col("id").cast("string")) % FOLDS != HELD_OUT)
         & F.col("quality").isin(0, 1)).groupBy("id").agg(
@@ -94,7 +95,9 @@ def sample(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
     # Bounded: at most 4 * SAMPLE_DOCS rows of two numbers.
     ids = F.broadcast(chosen[0].unionByName(chosen[1]))
     body = F.substring(filled(text), 1, SAMPLE_CHARS).alias("body")
-    rows = docs.select(F.col(key).alias("id"), body).join(ids, "id").select(
+    # One text per id, however many rows it stands on, so that what is collected is bounded too.
+    rows = docs.select(F.col(key).alias("id"), body).join(ids, "id").groupBy("id", "quality").agg(
+        F.min_by("body", F.xxhash64("body")).alias("body")).select(
         F.pmod(F.xxhash64("id", F.lit("part")), F.lit(2)).alias("part"), "quality", "body")
     return sorted((r["part"], r["quality"], r["body"], shares[r["quality"]])
                   for r in rows.collect())

@@ -4,7 +4,7 @@ import zlib
 
 from cases import DATA, TEXTS, documents
 
-from postflow.llm.quality_model import fitted, keep_good, quality_scores, trained
+from postflow.llm.quality_model import fitted, keep_good, quality_scores, sample, trained
 
 
 def read(spark, name, size="sf0.1"):
@@ -42,3 +42,11 @@ def test_nothing_to_learn_from(spark):
     model = trained(documents(spark), labels.limit(0))
     assert {r.score for r in quality_scores(documents(spark), model).collect()} == {1.0}
     assert fitted([(0, 1, "a", 3), (1, 0, "b", 1)]).constant == 0.75
+
+
+def test_one_text_per_sampled_id(spark):
+    ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % 4 != 2]
+    labels = spark.createDataFrame([(i, i % 2) for i in ids], "doc_id long, quality int")
+    rows = [(i, f"text {i}") for i in ids] + [(ids[0], f"copy {n % 3}") for n in range(500)]
+    found = sample(spark.createDataFrame(rows, "doc_id long, text string"), labels)
+    assert len(found) == len(ids)
