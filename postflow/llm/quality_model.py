@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 from postflow.llm.common import drawn, filled, whole_row
 
 # The model is fitted on a bounded sample: at most so many labelled documents of each class for the
-# dictionaries and as many for the calibration, and so many characters of each.
-SAMPLE_DOCS, SAMPLE_CHARS = 1500, 8192
+# dictionaries and as many for the calibration, and so many blocks of each, from its whole length.
+SAMPLE_DOCS, SAMPLE_BLOCKS = 1500, 8
 BLOCK, DICTIONARY_BYTES, LEVEL = 1024, 112_640, 3
 # Weight, in bytes, of what is assumed of a text before it is read.
 PRIOR_BYTES = 200
@@ -38,10 +38,26 @@ class Model:
     constant: float | None = None  # the score of every text, if there was nothing to learn from
 
 
+def as_bytes(text: str | bytes) -> bytes:
+    return text.encode() if isinstance(text, str) else text
+
+
 def blocks(data: bytes) -> list[bytes]:
     return [data[i:i + BLOCK] for i in range(0, len(data), BLOCK)]
 
 
+def spread(key: Column, text: Column) -> Column:
+    """At most ``SAMPLE_BLOCKS`` blocks of a text's bytes, as scoring cuts them, in their order: all
+    of them, or as many chosen by hash over the whole text."""
+    data = F.encode(text, "utf-8")
+    count = F.ceil(F.octet_length(text) / BLOCK).cast("int")
+    at = F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
+    drawn_at = F.slice(F.array_sort(F.transform(at, lambda n: F.struct(
+        F.xxhash64(key, n).alias("draw"), n.alias("at")))), 1, SAMPLE_BLOCKS)
+    return F.transform(F.array_sort(F.transform(drawn_at, lambda x: x["at"])),
+                       lambda n: F.substring(data, n * BLOCK + 1, F.lit(BLOCK)))
+
+
 def compressors(model: Model) -> tuple[zstandard.ZstdCompressor, zstandard.ZstdCompressor]:
     made = []
     for data in (model.good, model.bad):
@@ -53,9 +69,9 @@ def compressors(model: Model) -> tuple[zstandard.ZstdCompressor, zstandard.ZstdC
     return made[0], made[1]
 
 
-def difference(pair, text: str) -> tuple[int, int]:
+def difference(pair, text: str | bytes) -> tuple[int, int]:
     """Compressed size with the good dictionary less that with the bad one, and bytes of text."""
-    data, total = text.encode(), 0
+    data, total = as_bytes(text), 0
     for block in blocks(data):
         total += len(pair[0].compress(block)) - len(pair[1].compress(block))
     return total, len(data)
@@ -81,7 +97,7 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, f
 
 
 def sample(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> list:
-    """Rows (part, quality, text, share of that label) of the bounded sample. Chosen by hash among
+    """Rows (part, quality, bytes of text, number of such labels) of the bounded sample. Chosen by hash among
     the labelled ids outside the held-out fold; ids with contradictory labels are left out. Of several
     rows of one id one is taken, by hash of its text."""
     known = labels.select(F.col("doc_id").alias("id"), "quality").filter(
@@ -94,12 +110,13 @@ def sample(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
                     shares.get(quality, 0)) for quality in (0, 1)]
     # Bounded: at most 4 * SAMPLE_DOCS rows of two numbers.
     ids = F.broadcast(chosen[0].unionByName(chosen[1]))
-    body = F.substring(filled(text), 1, SAMPLE_CHARS).alias("body")
     # One text per id, however many rows it stands on, so that what is collected is bounded too.
-    rows = docs.select(F.col(key).alias("id"), body).join(ids, "id").groupBy("id", "quality").agg(
-        F.min_by("body", F.xxhash64("body")).alias("body")).select(
+    rows = docs.select(F.col(key).alias("id"), filled(text).alias("body")).join(ids, "id").select(
+        "id", "quality", F.xxhash64("body").alias("draw"),
+        spread(F.col("id"), F.col("body")).alias("body")).groupBy("id", "quality").agg(
+        F.min_by("body", "draw").alias("body")).select(
         F.pmod(F.xxhash64("id", F.lit("part")), F.lit(2)).alias("part"), "quality", "body")
-    return sorted((r["part"], r["quality"], r["body"], shares[r["quality"]])
+    return sorted((r["part"], r["quality"], b"".join(map(bytes, r["body"])), shares[r["quality"]])
                   for r in rows.collect())
 
 
@@ -108,7 +125,7 @@ def fitted(rows: list) -> Model:
     split = {(part, quality): [r for r in rows if r[:2] == (part, quality)]
              for part in (0, 1) for quality in (0, 1)}
     counts = {r[1]: r[3] for r in rows}
-    pieces = {q: [b for r in split[0, q] for b in blocks(r[2].encode())] for q in (0, 1)}
+    pieces = {q: [b for r in split[0, q] for b in blocks(as_bytes(r[2]))] for q in (0, 1)}
     # zstandard cannot make a dictionary of next to nothing.
     if not all(split.values()) or min(len(p) for p in pieces.values()) < 20:
         return Model(b"", b"", 0, 0, 0, counts.get(1, 1) / max(1, sum(counts.values()) or 1)

@@ -50,3 +50,24 @@ def test_one_text_per_sampled_id(spark):
     rows = [(i, f"text {i}") for i in ids] + [(ids[0], f"copy {n % 3}") for n in range(500)]
     found = sample(spark.createDataFrame(rows, "doc_id long, text string"), labels)
     assert len(found) == len(ids)
+
+
+def test_sampled_blocks_come_from_the_whole_text(spark):
+    ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % 4 != 2]
+    labels = spark.createDataFrame([(i, i % 2) for i in ids], "doc_id long, quality int")
+    long = {i: "".join(f"{n:07d}é" for n in range(5000)) for i in ids}  # 45,000 bytes
+    short = {i: f"é{i} " * 1500 for i in ids[:5]}  # at most 7,500 bytes: whole
+    texts = {**long, **short}
+    found = sample(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), labels)
+    assert len(found) == len(ids)
+    whole = {t.encode() for t in short.values()}
+    assert whole <= {r[2] for r in found}
+    data = long[ids[-1]].encode()
+    cut = {data[i:i + 1024]: i for i in range(0, len(data), 1024)}
+    begins = []
+    for r in found:
+        if r[2] not in whole:
+            places = [i for b, i in cut.items() if b in r[2]]
+            assert len(places) == 8 and places == sorted(places)
+            begins += places
+    assert len(set(begins)) > 35 and max(begins) > 43_000
