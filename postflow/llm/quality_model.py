@@ -25,6 +25,8 @@ BLOCK, DICTIONARY_BYTES, LEVEL = 1024, 112_640, 3
 # Weight, in bytes, of what is assumed of a text before it is read.
 PRIOR_BYTES = 200
 THRESHOLD = 0.7
+# zstandard cannot train a dictionary on next to nothing.
+LEAST_BLOCKS = 20
 FOLDS, HELD_OUT = 4, 2
 
 
@@ -120,21 +122,39 @@ def sample(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
                   for r in rows.collect())
 
 
+def dealt(rows: list) -> dict[tuple[int, int], list]:
+    """The rows by part and label; those of a label that all fell into one part are dealt in turn."""
+    split = {}
+    for quality in (0, 1):
+        parts = [[r for r in rows if r[:2] == (part, quality)] for part in (0, 1)]
+        if not all(parts) and len(both := parts[0] + parts[1]) > 1:
+            parts = [both[::2], both[1::2]]
+        split[0, quality], split[1, quality] = parts
+    return split
+
+
+def dictionary(pieces: dict[int, list[bytes]]) -> dict[int, bytes]:
+    """A dictionary by label: trained, or the blocks themselves where there are too few to train on.
+    Both are of one kind, as their sizes are compared."""
+    if min(len(p) for p in pieces.values()) >= LEAST_BLOCKS:
+        try:
+            return {q: zstandard.train_dictionary(DICTIONARY_BYTES, p).as_bytes()
+                    for q, p in pieces.items()}
+        except zstandard.ZstdError:  # too little to learn from
+            pass
+    most = DICTIONARY_BYTES // BLOCK
+    return {q: b"".join(p[::max(1, -(-len(p) // most))]) for q, p in pieces.items()}
+
+
 def fitted(rows: list) -> Model:
     """A model of (part, quality, text, number of such labels); part 0 makes the dictionaries."""
-    split = {(part, quality): [r for r in rows if r[:2] == (part, quality)]
-             for part in (0, 1) for quality in (0, 1)}
+    split = dealt(rows)
     counts = {r[1]: r[3] for r in rows}
     pieces = {q: [b for r in split[0, q] for b in blocks(as_bytes(r[2]))] for q in (0, 1)}
-    # zstandard cannot make a dictionary of next to nothing.
-    if not all(split.values()) or min(len(p) for p in pieces.values()) < 20:
+    if not all(split.values()) or not all(pieces.values()):
         return Model(b"", b"", 0, 0, 0, counts.get(1, 1) / max(1, sum(counts.values()) or 1)
                      if counts else 1.0)
-    try:
-        trained = {q: zstandard.train_dictionary(DICTIONARY_BYTES, p).as_bytes()
-                   for q, p in pieces.items()}
-    except zstandard.ZstdError:  # too little to learn from
-        return Model(b"", b"", 0, 0, 0, counts[1] / sum(counts.values()))
+    trained = dictionary(pieces)
     draft = Model(trained[1], trained[0], 0, 0, 0)
     pair = compressors(draft)
     found = {q: [difference(pair, r[2]) for r in split[1, q]] for q in (0, 1)}
@@ -180,8 +200,10 @@ def quality_scores(docs: DataFrame, model: Model, key: str = "doc_id",
 
     Whole texts are scored, in blocks. An empty or null text gets the score that the calibration
     gives to a text of which nothing is known; repeated rows are scored alike; an empty table gives
-    an empty result; a null id is in no fold. Without labels of both classes every score is the
-    share of label 1 among the labels, or 1 without any. Other columns are not read.
+    an empty result; a null id is in no fold. With few blocks of a class the sampled texts
+    themselves are the dictionaries. With fewer than two sampled texts of a class, or only empty ones
+    for its dictionary, every score is the share of label 1 among the labels, or 1 without any.
+    Other columns are not read.
     """
     rows = docs.select(F.col(key).alias("doc_id"), score(model, text).alias("score"))
     fold = F.crc32(F.col("doc_id").cast("string")) % FOLDS

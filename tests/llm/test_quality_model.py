@@ -4,7 +4,7 @@ import zlib
 
 from cases import DATA, TEXTS, documents
 
-from postflow.llm.quality_model import fitted, keep_good, quality_scores, sample, trained
+from postflow.llm.quality_model import fitted, keep_good, quality_scores, sample, scores, trained
 
 
 def read(spark, name, size="sf0.1"):
@@ -71,3 +71,24 @@ def test_sampled_blocks_come_from_the_whole_text(spark):
             assert len(places) == 8 and places == sorted(places)
             begins += places
     assert len(set(begins)) > 35 and max(begins) > 43_000
+
+
+def test_few_labels_still_tell_texts_apart():
+    """Too few blocks to train on: the texts themselves are the dictionaries, also where the hash
+    put all texts of a class into one part."""
+    good = [f"The committee met on day {i} and agreed on the plan for the new library." for i in range(6)]
+    bad = [f"WIN CASH NOW!!! click {i} here for cheap pills and free bets $$$ casino" for i in range(6)]
+    for parts in ((0, 1), (0, 0), (1, 1)):
+        model = fitted([(parts[i % 2], q, t, 6) for q, texts in ((1, good), (0, bad))
+                        for i, t in enumerate(texts)])
+        assert model.constant is None
+        found = scores(model, ["The committee met on day 9 and agreed on the plan for the new park.",
+                               "WIN CASH NOW!!! click 9 here for cheap pills and free bets $$$ poker"])
+        assert found[0] > 0.6 > 0.4 > found[1]
+
+
+def test_texts_that_cannot_be_trained_on():
+    assert fitted([(p, q, t, 2) for p in (0, 1) for q, t in ((0, "a"), (1, "b"))]).constant is None
+    assert fitted([(p, q, "", 2) for p in (0, 1) for q in (0, 1)]).constant == 0.5
+    same = fitted([(i % 2, q, f"{q}" * 900, 60) for q in (0, 1) for i in range(60)])
+    assert same.constant is None
