@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 
 from postflow.llm import (
-    bpe, chat, exact_dedup, html_text, packing, quality_model, quality_rules, shards, simhash,
+    bpe, chat, conversation_repair, exact_dedup, html_text, packing, quality_model, quality_rules, shards, simhash,
     url_rules)
 from postflow.llm.common import table
 from postflow.session import new_folder
@@ -62,9 +62,15 @@ def op10_shards(spark, sf):
         new_folder(spark, "shards"), stored=True)
 
 
+def op11_conversation_repair(spark, sf):
+    rows = table(spark, sf, "conversations")
+    return conversation_repair.repair_report(conversation_repair.damaged(rows))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_simhash, op2_best_two_fit, op3_exact_dedup, op4_bpe, op5_url_rules, op6_quality_model,
-    op7_chat, op8_quality_rules, op9_html_text, op10_shards)}
+    op7_chat, op8_quality_rules, op9_html_text, op10_shards,
+    op11_conversation_repair)}
 
 ORACLE = {
     "op3_exact_dedup": exact_dedup.QUERY_SQL,
