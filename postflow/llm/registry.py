@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 
 from postflow.llm import (
-    bpe, chat, conversation_repair, exact_dedup, html_text, packing, quality_model, quality_rules, shards, simhash,
-    url_rules)
+    bpe, chat, conversation_repair, exact_dedup, html_text, merkle, packing, quality_model,
+    quality_rules, shards, simhash, url_rules)
 from postflow.llm.common import table
 from postflow.session import new_folder
 
@@ -67,13 +67,18 @@ def op11_conversation_repair(spark, sf):
     return conversation_repair.repair_report(conversation_repair.damaged(rows))
 
 
+def op12_merkle(spark, sf):
+    return merkle.manifest(table(spark, sf, "documents"), merkle.contract_tampering())
+
+
 QUERIES = {f.__name__: f for f in (
     op1_simhash, op2_best_two_fit, op3_exact_dedup, op4_bpe, op5_url_rules, op6_quality_model,
     op7_chat, op8_quality_rules, op9_html_text, op10_shards,
-    op11_conversation_repair)}
+    op11_conversation_repair, op12_merkle)}
 
 ORACLE = {
     "op3_exact_dedup": exact_dedup.QUERY_SQL,
     "op7_chat": chat.QUERY_SQL,
     "op8_quality_rules": quality_rules.query_sql(),
+    "op12_merkle": merkle.QUERY_SQL,
 }
