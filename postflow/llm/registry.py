@@ -6,7 +6,7 @@ import public_tokenizers
 
 from postflow.llm import (
     bpe, chat, conversation_repair, exact_dedup, html_text, merkle, packing, quality_model,
-    quality_rules, shards, simhash, url_rules)
+    quality_rules, shards, simhash, substring_dedup, url_rules)
 from postflow.llm.common import table
 from postflow.session import new_folder
 
@@ -71,14 +71,19 @@ def op12_merkle(spark, sf):
     return merkle.manifest(table(spark, sf, "documents"), merkle.contract_tampering())
 
 
+def op13_substring_dedup(spark, sf):
+    return substring_dedup.digests(substring_dedup.without_repeats(table(spark, sf, "documents")))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_simhash, op2_best_two_fit, op3_exact_dedup, op4_bpe, op5_url_rules, op6_quality_model,
     op7_chat, op8_quality_rules, op9_html_text, op10_shards,
-    op11_conversation_repair, op12_merkle)}
+    op11_conversation_repair, op12_merkle, op13_substring_dedup)}
 
 ORACLE = {
     "op3_exact_dedup": exact_dedup.QUERY_SQL,
     "op7_chat": chat.QUERY_SQL,
     "op8_quality_rules": quality_rules.query_sql(),
     "op12_merkle": merkle.QUERY_SQL,
+    "op13_substring_dedup": substring_dedup.QUERY_SQL,
 }
