@@ -419,20 +419,20 @@ WITH split AS (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS list
   FROM documents),
 words AS (
-  SELECT doc_id, unnest(list) AS word, unnest(range(len(list))) AS at, len(list) AS n FROM split),
+  SELECT doc_id, unnest(list) AS word, unnest(range(len(list))) AS place, len(list) AS n FROM split),
 hashed AS (
-  SELECT doc_id, at, md5(array_to_string(list[at + 1:at + 35], ' ')) AS body
-  FROM (SELECT doc_id, list, unnest(range(len(list) - 34)) AS at FROM split)),
+  SELECT doc_id, place, md5(array_to_string(list_slice(list, place + 1, place + 35), ' ')) AS body
+  FROM (SELECT doc_id, list, unnest(range(len(list) - 34)) AS place FROM split)),
 repeated AS (
-  SELECT doc_id, at FROM hashed
+  SELECT doc_id, place FROM hashed
   WHERE body IN (SELECT body FROM hashed GROUP BY body HAVING count(*) > 1)),
 covered AS (
-  SELECT w.doc_id, w.at, w.word, w.n,
-         max(r.at) OVER (PARTITION BY w.doc_id ORDER BY w.at) >= w.at - 34 AS gone
-  FROM words w LEFT JOIN repeated r ON r.doc_id = w.doc_id AND r.at = w.at),
+  SELECT w.doc_id, w.place, w.word, w.n,
+         max(r.place) OVER (PARTITION BY w.doc_id ORDER BY w.place) >= w.place - 34 AS gone
+  FROM words w LEFT JOIN repeated r ON r.doc_id = w.doc_id AND r.place = w.place),
 kept AS (
   SELECT doc_id, count(*) AS n_words, count(*) FILTER (WHERE gone) AS n_removed,
-         string_agg(word, ' ' ORDER BY at) FILTER (WHERE gone IS NOT TRUE) AS kept
+         string_agg(word, ' ' ORDER BY place) FILTER (WHERE gone IS NOT TRUE) AS kept
   FROM covered GROUP BY doc_id)
 SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed,
        sha256(coalesce(kept, '')) AS kept_sha256
