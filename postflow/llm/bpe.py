@@ -29,6 +29,8 @@ NO_RANK = 1 << 60
 SCAN_LIMIT = 64
 # Distinct words that a task remembers; beyond that it begins anew.
 CACHE_WORDS = 150_000
+# No combining mark, and no letter without a name, comes before.
+FIRST_DOUBTFUL = "\u0300"
 
 
 def byte_symbols() -> list[str]:
@@ -58,8 +60,9 @@ class WordBpe:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.marks = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
         self.words = regex.compile(steps[0]["pattern"]["Regex"])
-        self.newer, self.first_newer = newer_letters()
-        # The library's own steps, for texts with letters that this Python's tables lack.
+        self.doubtful = regex.compile(f"[{newer_letters()}\\p{{M}}]")
+        # The library's own steps, for texts whose characters its Unicode tables and this Python's
+        # may take differently: newer letters, and marks that combine and change places.
         self.library_normal = normalizers.Sequence([normalizers.NFC(), normalizers.Lowercase()])
         self.library_words = pre_tokenizers.Split(
             Regex(steps[0]["pattern"]["Regex"]), "removed", invert=True)
@@ -81,7 +84,7 @@ class WordBpe:
 
     def split(self, text: str) -> list[str]:
         """Words of a text, normalised."""
-        if text.isascii() or max(text) < self.first_newer or not self.newer.search(text):
+        if text.isascii() or max(text) < FIRST_DOUBTFUL or not self.doubtful.search(text):
             return self.words.findall(normal(text))
         text = self.library_normal.normalize_str(text)
         return [word for word, _ in self.library_words.pre_tokenize_str(text)]
@@ -152,22 +155,19 @@ class WordBpe:
 
 
 @lru_cache(maxsize=1)
-def newer_letters() -> tuple[regex.Pattern, str]:
+def newer_letters() -> str:
     """Letters and numbers of the regex module that this Python's (older) Unicode tables lack, so
-    that libraries may differ about them, and the first of them."""
+    that libraries may differ about them, as ranges of a character class."""
     both = regex.compile(r"[\p{L}\p{N}]")
     ranges: list[list[int]] = []
-    for code in range(0x80, 0x110000):
+    for code in range(ord(FIRST_DOUBTFUL), 0x110000):
         if not 0xD800 <= code < 0xE000 and unicodedata.category(chr(code)) == "Cn" \
                 and both.match(chr(code)):
             if ranges and ranges[-1][1] == code - 1:
                 ranges[-1][1] = code
             else:
                 ranges.append([code, code])
-    if not ranges:
-        return regex.compile(r"(?!)"), "\U0010FFFF"
-    pattern = "".join(f"{chr(a)}-{chr(b)}" for a, b in ranges)
-    return regex.compile(f"[{pattern}]"), chr(ranges[0][0])
+    return "".join(f"{chr(a)}-{chr(b)}" for a, b in ranges)
 
 
 def normal(text: str) -> str:

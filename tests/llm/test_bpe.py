@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import unicodedata
 
 import numpy as np
 import public_tokenizers
@@ -44,6 +45,15 @@ def test_words_of_every_length(both):
             same(both, f"a{chr(code)}b 1{chr(code)}2")
 
 
+def test_combining_marks_in_pairs(both):
+    """Every mark beside others, in both orders: the library knows other tables than Python."""
+    marks = [chr(c) for c in range(0x110000) if unicodedata.category(chr(c)).startswith("M")]
+    assert len(marks) > 2000
+    for other in ("\u0301", "\u07fd", "\u0323"):
+        for mark in marks:
+            same(both, f"a{mark}{other}b a{other}{mark}b")
+
+
 def test_scan_and_heap_agree(both):
     draw = random.Random(4)
     for _ in range(300):
