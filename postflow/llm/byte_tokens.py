@@ -7,6 +7,7 @@ twice as fast with the same vocabulary: the file's tokens in order of their merg
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -23,6 +24,10 @@ from postflow.llm.bpe import byte_symbols
 # Fixed value: how a byte-level tokenizer file of this kind splits texts.
 PATTERN = (r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
 END_ID = 2
+# Unicode's white space. The pattern's look-ahead backtracks through a run of it and fails beyond a
+# million characters, so runs in texts of this length are cut beforehand, as the pattern does.
+SPACE_RUN = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
+LONG_RUN = 100_000
 
 
 @lru_cache(maxsize=2)
@@ -41,13 +46,35 @@ def encoding(path: str) -> tiktoken.Encoding:
     return tiktoken.Encoding(path, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
 
+def long_runs(text: str) -> Iterator[tuple[int, int]]:
+    """Begin and end of long runs of white space."""
+    if len(text) >= LONG_RUN:
+        for run in SPACE_RUN.finditer(text):
+            if run.end() - run.start() >= LONG_RUN:
+                yield run.span()
+
+
+def encoded(bpe: tiktoken.Encoding, text: str) -> np.ndarray:
+    """The ids of a text. A long run of white space is one word, less its last character where
+    another word follows, as that goes with the word."""
+    parts, at = [], 0
+    for begin, end in long_runs(text):
+        ends_there = end == len(text) or text.startswith(tuple(bpe.special_tokens_set), end)
+        cut = end if ends_there else end - 1
+        parts += [bpe.encode_to_numpy(text[at:begin], allowed_special="all"),
+                  np.array(bpe._encode_single_piece(text[begin:cut]), dtype=np.uint32)]
+        at = cut
+    rest = bpe.encode_to_numpy(text[at:], allowed_special="all")
+    return np.concatenate([*parts, rest]) if parts else rest
+
+
 def token_ids(path: str, texts: list[str], end_id: int | None = END_ID) -> Iterator[np.ndarray]:
     """The ids of each text and the end id, as 32-bit numbers. Strings of special tokens become
-    those tokens, as the tokenizers library has it."""
+    those tokens, as the tokenizers library has it. Texts may have any length and content."""
     bpe = encoding(path)
     tail = np.array([] if end_id is None else [end_id], dtype=np.uint32)
     for text in texts:
-        yield np.append(bpe.encode_to_numpy(text, allowed_special="all"), tail).astype("<u4")
+        yield np.append(encoded(bpe, text), tail).astype("<u4")
 
 
 def cuts(length: int, size: int) -> list[tuple[int, int]]:

@@ -10,6 +10,7 @@ import pytest
 from cases import TEXTS, documents, words
 from tokenizers import Tokenizer
 
+from postflow.llm.byte_tokens import token_ids
 from postflow.llm.packing import best_two, pack, planned
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -100,3 +101,19 @@ def test_pieces_of_every_kind_of_text(spark):
         assert all(a + n == b for (a, n), (b, _) in zip(held, held[1:]))
     assert len(bins) <= first_fit([r.length for r in rows])
     assert pack(documents(spark, []), PATH).count() == 0
+
+
+@pytest.mark.parametrize("space", [" ", "\n", "\t", "\u00a0", "\u2003", "\r\n"])
+def test_long_runs_of_white_space(space):
+    """Runs that the pattern's look-ahead could not get through: alone, inside and at the end."""
+    library = Tokenizer.from_file(PATH)
+    for count in (100_000, 1_000_000, 3_000_000 // len(space)):
+        for head, tail in (("", ""), ("head", "word"), ("x", "<|endoftext|>y"), ("a  b", "'s  .\n")):
+            text = head + space * count + tail
+            ids = library.encode(text, add_special_tokens=False).ids
+            assert next(token_ids(PATH, [text], None)).tolist() == ids
+
+
+def test_long_runs_do_not_end_a_job(spark):
+    docs = documents(spark, ["a" + " " * 1_200_000 + "b", "\n" * 1_000_000, "c"])
+    assert pack(docs, PATH).select("doc_id").distinct().count() == 4
