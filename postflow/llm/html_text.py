@@ -31,6 +31,8 @@ INLINE = frozenset(
 UNSEEN = frozenset(
     "head script style noscript template svg math iframe object select textarea canvas audio "
     "video title datalist".split())
+# What may stand in a page's head: any other element, and any text, ends it.
+IN_HEAD = frozenset("head title base link meta style script noscript template".split())
 # An element that a start tag closes first, if it is open in the same list, table or block.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
           "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -47,9 +49,11 @@ OUTSIDE_WORDS = frozenset(
     "login search breadcrumb breadcrumbs pagination pager widget toolbar disclaimer copyright "
     "form skip".split())
 INSIDE_WORDS = frozenset("article content post entry story main body text".split())
+# What follows one of these in a class tells how the page is laid out ("has-comments").
+MODIFIERS = frozenset("has have no non not without with hide show is enable disable".split())
 PRIOR = 40.0  # log odds of such a tag or word, and the bound of what is learned of it
-# Elements that may wrap a whole page: where most text lies below one, its tag and class words tell
-# of the page's layout and not of a part.
+# Elements that may wrap a whole page. Where most text lies below one of them, or below an element
+# that says it is content, its tag and class words tell of the layout and not of a part.
 WRAPPERS = frozenset("html body form".split())
 # A prior weighs as much as so many labelled nodes; what more of them say outweighs it.
 PSEUDO = 4.0
@@ -67,9 +71,11 @@ class Node:
     tag: str
     parent: int
     features: tuple[str, ...] = ()
-    pieces: list[str] = field(default_factory=list)  # of a run of text (tag "#run")
+    # Of a run of text (tag "#run"): its parts, and the numbers of inline nodes between them.
+    pieces: list[str | int] = field(default_factory=list)
     linked: int = 0
     length: int = 0
+    inline: bool = False
 
 
 class Tree(HTMLParser):
@@ -79,11 +85,24 @@ class Tree(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.nodes = [Node("#page", -1)]
         self.open: list[tuple[str, int]] = [("#page", 0)]  # open tags and the block each is in
+        self.count = Counter()  # open tags by name
         self.run: Node | None = None
+        self.around: list[tuple[int, Node]] = []  # runs that go on after an inline node
         self.links = 0
         self.hidden = 0
 
+    def push(self, tag: str, block: int) -> None:
+        self.open.append((tag, block))
+        self.count[tag] += 1
+
+    def end_head(self) -> None:
+        at = max(i for i, (name, _) in enumerate(self.open) if name == "head")
+        if all(name == "head" for name, _ in self.open[at:]):
+            self.pop(at)
+
     def handle_starttag(self, tag, attrs):
+        if self.count["head"] and tag not in IN_HEAD:
+            self.end_head()
         if tag in VOID:
             if tag == "br":
                 self.handle_data(" ")
@@ -92,20 +111,24 @@ class Tree(HTMLParser):
             return
         if tag in UNSEEN:
             self.hidden += 1
-            self.open.append((tag, self.open[-1][1]))
+            self.push(tag, self.open[-1][1])
             return
         marks = words_of(attrs)
         if tag in INLINE and not marks & (OUTSIDE_WORDS | {"#hidden"}):
             self.links += tag == "a"
-            self.open.append((tag, self.open[-1][1]))
+            self.push(tag, self.open[-1][1])
             return
-        self.run = None
         if tag not in INLINE:
             self.close_first(tag)
+        elif self.run is not None:
+            self.run.pieces.append(len(self.nodes))
+            self.around.append((len(self.nodes), self.run))
+        self.run = None
         known = marks & (OUTSIDE_WORDS | INSIDE_WORDS | {"#hidden"})
         self.nodes.append(Node(tag, self.open[-1][1],
-                               (f"tag:{tag}", *(f"word:{w}" for w in sorted(known)))))
-        self.open.append((tag, len(self.nodes) - 1))
+                               (f"tag:{tag}", *(f"word:{w}" for w in sorted(known))),
+                               inline=tag in INLINE))
+        self.push(tag, len(self.nodes) - 1)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -115,6 +138,8 @@ class Tree(HTMLParser):
     def close_first(self, tag: str) -> None:
         """Ends an open paragraph before a block, and an open item before the next one."""
         ends = CLOSES.get(tag, frozenset())
+        if not self.count["p"] and not any(self.count[x] for x in ends):
+            return
         for at in range(len(self.open) - 1, 0, -1):
             name = self.open[at][0]
             if name == "p" or name in ends:
@@ -124,24 +149,32 @@ class Tree(HTMLParser):
                 return
 
     def pop(self, at: int) -> None:
-        for name, _ in self.open[at:]:
+        """Closes the element and all inside. The text goes on if only inline elements and unseen
+        ones end."""
+        inside = self.open[at - 1][1]
+        if self.open[-1][1] != inside:
+            self.run = None
+        for name, block in self.open[at:]:
             self.links -= name == "a" and self.links > 0
             self.hidden -= name in UNSEEN
+            self.count[name] -= 1
+        while self.around and self.around[-1][0] > inside:
+            node, run = self.around.pop()
+            if self.nodes[node].parent == inside:
+                self.run = run
         del self.open[at:]
-        self.run = None
 
     def handle_endtag(self, tag):
+        if not self.count[tag]:
+            return
         for at in range(len(self.open) - 1, 0, -1):
-            name, block = self.open[at]
-            if name == tag:
-                inline = block == self.open[at - 1][1]
-                run = self.run
+            if self.open[at][0] == tag:
                 self.pop(at)
-                if inline and tag not in UNSEEN:
-                    self.run = run  # the text goes on
                 return
 
     def handle_data(self, data):
+        if self.count["head"] and data.strip():
+            self.end_head()
         if self.hidden or not data:
             return
         if self.run is None:
@@ -159,7 +192,10 @@ def words_of(attrs) -> set[str]:
     found = set()
     for name, value in attrs:
         if name in ("class", "id", "role") and value:
-            found |= set(re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower()))
+            for part in re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower().split():
+                words = re.findall(r"[a-z]+", part)
+                if not words or words[0] not in MODIFIERS:
+                    found.update(words)
         elif name == "hidden" or name == "aria-hidden" and value == "true" \
                 or name == "style" and value and re.search(r"display\s*:\s*none", value):
             found.add("#hidden")
@@ -167,7 +203,7 @@ def words_of(attrs) -> set[str]:
 
 
 def text_of(node: Node) -> str:
-    return " ".join("".join(node.pieces).split())
+    return " ".join("".join(x for x in node.pieces if isinstance(x, str)).split())
 
 
 def tree_of(html: str) -> list[Node]:
@@ -186,15 +222,21 @@ def tree_of(html: str) -> list[Node]:
 
 def unwrap(nodes: list[Node]) -> None:
     """Takes outside words from wrappers with most of the page's text below them, and reads a form
-    of this kind as a body."""
+    of this kind as a body. An element that says it is content is such a wrapper too, unless it
+    lies in a part that is none."""
     below = [node.length for node in nodes]
     for at in range(len(nodes) - 1, 0, -1):
         below[nodes[at].parent] += below[at]
-    for node, length in zip(nodes, below):
-        if node.tag in WRAPPERS and 2 * length > below[0]:
+    outside = [False] * len(nodes)
+    for at, (node, length) in enumerate(zip(nodes, below)):
+        outside[at] = at > 0 and outside[node.parent]
+        inside = any(prior_of(f) > 0 for f in node.features)
+        if 2 * length > below[0] and (
+                node.tag in WRAPPERS or inside and not outside[at]):
             node.tag = "body" if node.tag == "form" else node.tag
             node.features = (f"tag:{node.tag}", *(
                 f for f in node.features[1:] if f == "word:#hidden" or prior_of(f) > 0))
+        outside[at] |= any(prior_of(f) < 0 for f in node.features)
 
 
 def prior_of(feature: str) -> float:
@@ -241,6 +283,10 @@ class Model:
         """Log odds that a child is content, if its parent isn't and if it is."""
         return self.child.get(tag, self.usual)
 
+    def edge_of(self, nodes: list[Node], at: int) -> tuple[float, float]:
+        """The edge above a node. Some words inside a block tell nothing about the block."""
+        return (0.0, 0.0) if nodes[at].inline else self.edge(nodes[nodes[at].parent].tag)
+
 
 def marginals(model: Model, nodes: list[Node]) -> np.ndarray:
     """Log odds of content for every node, by messages to the root and back, all in log odds."""
@@ -248,13 +294,13 @@ def marginals(model: Model, nodes: list[Node]) -> np.ndarray:
     up = [0.0] * len(nodes)  # what a node tells its parent
     for at in range(len(nodes) - 1, 0, -1):
         parent = nodes[at].parent
-        if0, if1 = model.edge(nodes[parent].tag)
+        if0, if1 = model.edge_of(nodes, at)
         up[at] = passed(own[at], if0, if1)
         own[parent] += up[at]
     found = own[:]
     for at in range(1, len(nodes)):  # a parent stands before its children
         parent = nodes[at].parent
-        found[at] = own[at] + told(found[parent] - up[at], *model.edge(nodes[parent].tag))
+        found[at] = own[at] + told(found[parent] - up[at], *model.edge_of(nodes, at))
     return np.array(found)
 
 
@@ -281,9 +327,34 @@ def soft_sum(a: float, b: float) -> float:
 
 def main_text(model: Model, html: str) -> str:
     nodes = tree_of(html)
-    odds = marginals(model, nodes)
-    return "\n".join(text for node, value in zip(nodes, odds)
-                     if node.tag == "#run" and value > TIE and (text := text_of(node)))
+    kept = [node.tag == "#run" and value > TIE for node, value in zip(nodes, marginals(model, nodes))]
+    # Runs below an inline node stand where this stands in the run around it.
+    inner: dict[int, int] = {x: x for node in nodes for x in node.pieces if isinstance(x, int)}
+    inline: dict[int, list[Node]] = {x: [] for x in inner}
+    lines = []
+    for at, node in enumerate(nodes):
+        if node.parent in inner:
+            inner.setdefault(at, inner[node.parent])
+        if not kept[at]:
+            continue
+        if at in inner:
+            inline[inner[at]].append(node)
+        else:
+            lines.append(node)
+    texts = (" ".join("".join(flat(node, inline)).split()) for node in lines)
+    return "\n".join(text for text in texts if text)
+
+
+def flat(node: Node, inline: dict[int, list[Node]]) -> Iterator[str]:
+    """The parts of a run, with those of the inline nodes between them."""
+    todo: list = [node]
+    while todo:
+        one = todo.pop()
+        if isinstance(one, str):
+            yield one
+        else:
+            held = one.pieces if isinstance(one, Node) else inline[one]
+            todo.extend(reversed(held))
 
 
 def states(nodes: list[Node], source: str) -> list[bool] | None:
@@ -319,7 +390,7 @@ def fitted(pages: list[tuple[str, str]]) -> Model:
             total[label] += 1
             for feature in node.features:
                 seen.setdefault(feature, Counter())[label] += 1
-            if node.parent >= 0:
+            if node.parent >= 0 and not node.inline:
                 pairs.setdefault(nodes[node.parent].tag, Counter())[labels[node.parent], label] += 1
     model = Model()
     for feature, counts in seen.items():

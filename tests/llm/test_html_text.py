@@ -3,6 +3,7 @@ from __future__ import annotations
 import html as entities
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -127,3 +128,39 @@ def test_every_kind_of_page(spark):
     assert rows[5].text == "deep"
     assert rows[6].n_chars == 300_000 - 1
     assert extracted(table(spark, [None]).limit(0), fitted([])).count() == 0
+
+
+@pytest.mark.parametrize("trained", [False, True])
+def test_legal_pages(labelled, trained):
+    """Pages without end tags, with words of layout on their articles, and with parts inside lines."""
+    model, line = fitted(labelled if trained else []), LINE.strip()
+    for page, text in [
+            ("<html><head><title>T</title><body><article><p>A text</p></article>", "A text"),
+            ("<head><title>T</title>Plain text", "Plain text"),
+            ("<head><meta x><p>A</p><head><p>B</p>", "A\nB"),
+            (f"<article class='post has-comments'><p>{line}</p></article>", line),
+            (f"<main class='form-page'><p>{line}</p></main>", line),
+            (f"<div class='content no-sidebar'><p>{line}</p></div>", line),
+            (f"<article><p>{line}</p></article><section id='comments'>"
+             f"<article class='comment-body'><p>{LINE * 5}</p></article></section>", line),
+            ("<p>Hello <script>1</script>world</p>", "Hello world"),
+            ("<p>See <svg/> here</p>", "See here"),
+            ("<p>Take <span class='notice'>good</span> care</p>", "Take care"),
+            ("<p>a <b>b <span class='ad'>x<i>y</i></span> c</b> d<p>e</p>", "a b c d\ne"),
+            ("<p>a <b>b</p><p>c</b> d</p>", "a b\nc d")]:
+        assert main_text(model, page) == text, page
+
+
+def test_parts_inside_a_line_that_are_content():
+    """What is learned to be content stands where it stood."""
+    model = Model(odds={"word:notice": 30.0})
+    page = "<p>Take <span class='notice'>good <i>old</i></span> care <span class='ad'>x</span>.</p>"
+    assert main_text(model, page) == "Take good old care ."
+
+
+@pytest.mark.parametrize("page", ["<b>" * 100_000 + "</i>" * 100_000 + "text",
+                                  "<p>" + "<b>" * 50_000 + "<li>x" * 50_000])
+def test_broken_markup_is_read_in_proportion(page):
+    begun = time.perf_counter()
+    assert main_text(fitted([]), page).endswith(("text", "x"))
+    assert time.perf_counter() - begun < 10
