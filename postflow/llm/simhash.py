@@ -18,6 +18,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from postflow.llm.batches import slices, texts_of
 from postflow.llm.common import named, saved, whole_row
@@ -46,17 +47,19 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text",
                  shingle: int = SHINGLE) -> DataFrame:
-    """doc_id and fp of each row."""
+    """doc_id, fp and text_hash of each row."""
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, "text"):
                 found = [fingerprint(x, shingle) for x in texts_of(batch, "text")]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), pa.array(found, pa.int64())], ["doc_id", "fp"])
+                    [batch.column("doc_id"), pa.array(found, pa.int64()),
+                     batch.column("text_hash")], ["doc_id", "fp", "text_hash"])
 
-    rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
+    rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"),
+                       F.xxhash64(text).alias("text_hash"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(hashed, f"doc_id {kind}, fp long")
+    return rows.mapInArrow(hashed, f"doc_id {kind}, fp long, text_hash long")
 
 
 def budgets(bits: int = MOST_BITS) -> list[int]:
@@ -134,6 +137,17 @@ def components(pairs: DataFrame) -> DataFrame:
         state = now
 
 
+def rooted(rows: DataFrame, bits: int) -> DataFrame:
+    """fp, root and first (the least row: ids before none, then by id and text) of each distinct
+    fingerprint of ``rows``."""
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_hash"))
+    distinct = saved(rows.groupBy("fp").agg(least.alias("first")), "distinct")
+    roots = components(links(distinct.select("fp"), bits)).select(
+        F.col("node").alias("fp"), "root")
+    return distinct.join(roots, "fp", "left").select(
+        "fp", "first", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text",
                     shingle: int = SHINGLE, bits: int = MOST_BITS) -> DataFrame:
     """One row per row of ``docs``: doc_id, fingerprint (hex), component_id.
@@ -145,20 +159,28 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text",
     are not read.
     """
     rows = saved(fingerprints(docs, key, text, shingle), "fingerprints")
-    distinct = saved(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct")
-    roots = components(links(distinct.select("fp"), bits)).select(
-        F.col("node").alias("fp"), "root")
-    named = distinct.join(roots, "fp", "left").select(
-        "fp", "first_id", F.coalesce("root", "fp").alias("root"))
-    least = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    of = named.join(least, "root").select("fp", "component_id")
+    found = rooted(rows, bits)
+    least = found.groupBy("root").agg(F.min("first").alias("least"))
+    of = found.join(least, "root").select("fp", F.col("least.doc_id").alias("component_id"))
     return rows.join(of, "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id names its component, with all their columns."""
-    first = near_duplicates(docs, key, text).filter(
-        F.col("doc_id").eqNullSafe(F.col("component_id"))).select(named("doc_id").alias("name"))
-    rows = docs.select(whole_row(docs), named(key).alias("name"))
-    return rows.join(first.distinct(), "name", "left_semi").select("whole_row.*")
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text",
+                shingle: int = SHINGLE, bits: int = MOST_BITS) -> DataFrame:
+    """One row of each component, with all its columns: that of the least id (of those with equal
+    ids, the one whose text has the least hash; of equal rows any).
+
+    Ids may repeat or be null, also within a component: one row stays all the same, a row without
+    an id only where no row of the component has one. An empty table gives an empty result.
+    """
+    rows = saved(fingerprints(docs, key, text, shingle), "fingerprints")
+    first = rooted(rows, bits).groupBy("root").agg(F.min("first").alias("least")).select(
+        named("least.doc_id").alias("name"), F.col("least.text_hash").alias("text_hash"))
+    rows = docs.select(whole_row(docs), named(key).alias("name"),
+                       F.xxhash64(text).alias("text_hash"))
+    chosen = rows.join(first, ["name", "text_hash"], "left_semi")
+    # The join has sorted the rows this way already.
+    same = Window.partitionBy("name", "text_hash").orderBy("text_hash")
+    return (chosen.withColumn("row", F.row_number().over(same)).filter("row = 1")
+            .select("whole_row.*"))

@@ -83,3 +83,19 @@ def test_one_of_each_and_no_rows(spark):
     assert {r.doc_id for r in kept.collect()} == names
     assert near_duplicates(documents(spark, [])).count() == 0
     assert fingerprint("") == 0
+
+
+def test_one_row_of_each_component_where_ids_repeat(spark):
+    """Ids that repeat, also with other texts, and ids that are null."""
+    a, b, c = (words(seed, 60) for seed in (11, 12, 13))
+    rows = [(3, a), (7, b), (7, a), (None, c), (None, c), (None, a), (7, b)]
+    draw = random.Random(6)
+    texts = [words(seed, 40) for seed in range(20, 40)]
+    many = [(draw.choice([None, 1, 2, 3]), draw.choice(texts)) for _ in range(300)]
+    for table, stay in ((rows, {(3, a), (7, b), (None, c)}), (many, None)):
+        frame = spark.createDataFrame(table, "doc_id long, text string")
+        kept = [tuple(r) for r in one_of_each(frame).collect()]
+        if stay is None:
+            stay = {(min((i for i, x in table if x == t and i is not None), default=None), t)
+                    for _, t in table}
+        assert len(kept) == len(stay) and set(kept) == stay
