@@ -4,8 +4,7 @@ Rows with equal content are combined three times, and each time the whole normal
 of the grouping key, so that a digest alone never makes two texts equal: within a task (Spark's
 map-side combination), within a salted digest group, and over the salts of a digest. A group with
 a third of all rows therefore reaches the first shuffle as one row per task and salt, and the
-second one as one row per salt. Only texts whose digests occur more than once go there at all: what
-has a digest of its own has no equal.
+second one as one row per salt.
 """
 
 from __future__ import annotations
@@ -14,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from postflow.llm.common import WHITE, filled, named, saved, whole_row
+from postflow.llm.common import WHITE, filled, named, whole_row
 
 SALTS = 8
 
@@ -46,12 +45,6 @@ def content_groups(rows: DataFrame, salts: int = SALTS) -> DataFrame:
     return winners.select("text_sha256", "second", "group_size", "keep_id")
 
 
-def repeated_digests(names: DataFrame) -> DataFrame:
-    """The digests (text_sha256, second) that occur more than once."""
-    return names.groupBy("text_sha256", "second").agg(F.count(F.lit(1)).alias("n")).filter(
-        "n > 1").select("text_sha256", "second")
-
-
 def exact_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text",
                      salts: int = SALTS) -> DataFrame:
     """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256.
@@ -64,18 +57,16 @@ def exact_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text",
     ``docs`` are not read.
     """
     rows = digested(docs, key, text)
-    names = saved(rows.select("doc_id", "text_sha256", "second"), "digests")
-    repeated = saved(repeated_digests(names), "repeated")
-    groups = content_groups(rows.join(repeated, ["text_sha256", "second"], "left_semi"), salts)
-    # Each decision is told by several tasks, as a third of all rows may ask for one.
-    groups = groups.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    asked = names.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int"))
-    told = asked.join(groups, ["text_sha256", "second", "salt"], "left")
-    alone = F.col("group_size").isNull()
-    return told.select(
-        "doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
-        F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
-        (alone | F.col("doc_id").eqNullSafe(F.col("keep_id"))).alias("kept"), "text_sha256")
+    # A decision for many rows is told by several tasks, as a third of all rows may ask for it.
+    one = F.pmod(F.xxhash64("keep_id"), F.lit(salts)).cast("int")
+    groups = content_groups(rows, salts).withColumn("salt", F.explode(
+        F.when(F.col("group_size") == 1, F.array(one))
+        .otherwise(F.sequence(F.lit(0), F.lit(salts - 1)))))
+    asked = rows.select("doc_id", "text_sha256", "second",
+                        F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int").alias("salt"))
+    return asked.join(groups, ["text_sha256", "second", "salt"]).select(
+        "doc_id", "keep_id", "group_size",
+        F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
 
 
 def without_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
