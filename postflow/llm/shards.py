@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from postflow.llm.batches import slices, texts_of
-from postflow.llm.byte_tokens import END_ID, cuts, encoding, token_ids
+from postflow.llm.byte_tokens import END_ID, cuts, encoded, encoding, token_ids
 from postflow.llm.common import saved
 from postflow.session import new_folder
 
@@ -83,11 +83,12 @@ def counted(rows: DataFrame, path: str, stride: int) -> DataFrame:
     """grp, file, block and n, the number of sequences, of each file block."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple[int, str, int], int] = {}
+        bpe = encoding(path)
         for whole in batches:
             for batch in slices(whole, "text"):
                 places = zip(*(batch.column(x).to_pylist() for x in ("grp", "file", "block")))
-                for place, ids in zip(places, token_ids(path, texts_of(batch, "text"))):
-                    held[place] = held.get(place, 0) + -(-len(ids) // stride)
+                for place, text in zip(places, texts_of(batch, "text")):
+                    held[place] = held.get(place, 0) - (-1 - len(encoded(bpe, text))) // stride
         columns = list(zip(*held)) or [()] * 3
         yield pa.RecordBatch.from_arrays(
             [pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.string()),
@@ -173,12 +174,13 @@ def written(ordered: DataFrame, folder: str, stride: int, per_shard: int) -> Dat
         for batch in batches:
             slots = batch.column("slot").to_numpy()
             bodies = batch.column("ids").to_pylist()
-            for of, body in zip((slots // per_shard).tolist(), bodies):
-                if of != shard:
+            begins = np.flatnonzero(np.diff(slots // per_shard, prepend=-1))
+            for begin, end in zip(begins.tolist(), [*begins[1:].tolist(), len(slots)]):
+                if (of := int(slots[begin]) // per_shard) != shard:
                     finish()
                     shard, draft = of, f"{root}/{DRAFTS}/{uuid.uuid4().hex}"
                     out = store.open_output_stream(draft)
-                out.write(body + filler[len(body):])
+                out.write(b"".join(x + filler[len(x):] for x in bodies[begin:end]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("slot"), pa.array(slots // per_shard),
                  pa.array(slots % per_shard * (2 * stride)), batch.column("doc_id"),
