@@ -11,7 +11,7 @@ from postflow.operators.posts import message_rows
 from postflow.plans import metrics, reports
 from postflow.plans.results import results_parity, store_results
 from postflow.plans.views import register_views, stored_tables
-from postflow.session import build_session
+from postflow.session import build_session, separate
 from postflow.sources.messages import split_rows, topic_stream
 from postflow.sources.posts import csv_posts
 from postflow.sources.tables import read_table
@@ -78,14 +78,20 @@ def sender(args):
 
 
 def watch(spark: SparkSession, args, start) -> None:
-    """Run queries until stopped, showing their progress and logging it once a minute: each time
-    makes a file."""
+    """Run queries until stopped, showing their progress and logging it once a minute by run and
+    batch; the log of all runs gets the rows of this one when it ends."""
     progress = metrics.ProgressLog()
     spark.streams.addListener(progress)
     logged = time.monotonic()
+    keyed = EpochTable.named(spark, args.root, "stream_metrics")
 
     def flush() -> None:
-        metrics.append_metrics(spark, progress.drain(), f"{args.root}/performance_metrics")
+        """New rows of runs and batches; a log of many flushes is folded on the way."""
+        rows = progress.drain_keyed()
+        if rows:
+            epoch = keyed.next_epoch()
+            keyed.write(spark.createDataFrame(rows, metrics.KEYED).coalesce(1), epoch)
+            keyed.upkeep(epoch)
 
     def every() -> None:
         nonlocal logged
@@ -94,15 +100,20 @@ def watch(spark: SparkSession, args, start) -> None:
             flush()
             logged = time.monotonic()
 
-    queries = start().values()
-    if args.once:
-        jobs.finish(queries)
-    else:
-        jobs.run_until_stopped(spark, queries, every)
-    progress.settle(spark)
-    print(progress.line())
-    flush()
-    spark.streams.removeListener(progress)
+    queries = []
+    try:
+        queries = list(start().values())
+        if args.once:
+            jobs.finish(queries)
+        else:
+            jobs.run_until_stopped(spark, queries, every)
+    finally:
+        # Also of a run that failed: what its batches did before is in the tables.
+        progress.settle(queries)
+        print(progress.line())
+        flush()
+        metrics.append_metrics(spark, progress.drain(), f"{args.root}/performance_metrics")
+        spark.streams.removeListener(progress)
 
 
 def stream(spark: SparkSession, args) -> None:
@@ -168,8 +179,10 @@ def results(spark: SparkSession, args) -> None:
 
 
 def sql(spark: SparkSession, args) -> None:
-    register_views(spark, args.root)
-    give(spark.sql(args.query), args.out)
+    """In a session of its own, so that its views hide no table of the catalog."""
+    own = separate(spark)
+    register_views(own, args.root)
+    give(own.sql(args.query), args.out)
 
 
 def compact(spark: SparkSession, args) -> None:

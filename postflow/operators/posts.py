@@ -61,13 +61,20 @@ def message_rows(posts: DataFrame, at: Column | None = None) -> DataFrame:
     return post.unionByName(tags).unionByName(activity)
 
 
-def window_messages(windows: DataFrame) -> DataFrame:
-    """Windowed counts or windowed activity as (topic, value) messages."""
+def window_messages(windows: DataFrame, sender: str | None = None,
+                    epoch: int | None = None) -> DataFrame:
+    """Windowed counts or windowed activity as (topic, value) messages; with ``sender`` and
+    ``epoch`` also ``key``, an id that is the same when the batch is sent again."""
     if table_of(windows.columns) == "hashtag_counts":
         topic, fields = HASHTAG_WINDOWS_TOPIC, ("hashtag", "count")
     else:
         topic, fields = USER_WINDOWS_TOPIC, (
             "username", "tweet_count", "total_likes", "total_retweets")
     times = {name: iso_text(name) for name in ("window_end", "timestamp")}
-    return windows.select(F.lit(topic).alias("topic"),
-                          _json(**{name: F.col(name) for name in fields}, **times).alias("value"))
+    value = _json(**{name: F.col(name) for name in fields}, **times).alias("value")
+    if sender is None:
+        return windows.select(F.lit(topic).alias("topic"), value)
+    named = F.to_json(F.struct(F.lit(sender).alias("sender"), F.lit(epoch).alias("epoch"),
+                               F.col(fields[0]).alias("name"), F.col("window_end")))
+    return windows.select(F.lit(topic).alias("topic"), F.sha2(named, 256).cast("binary")
+                          .alias("key"), value)

@@ -59,6 +59,30 @@ def windowed_hashtags(tags: DataFrame, window: str = WINDOW, slide: str = SLIDE)
     return _windowed(tags, "hashtag", measures, window, slide)
 
 
+def chained_hashtags(tags: DataFrame, window: str = WINDOW, slide: str = SLIDE) -> DataFrame:
+    """As ``windowed_hashtags``, by two aggregates after one another, for streams too: a pane per
+    slide, then the finished panes into the windows.
+
+    On a stream (append mode) each post updates one pane in place of three windows, and a window
+    comes out once, when the watermark has passed its end; it never changes after that.
+    """
+    pane = (with_lateness(tags).groupBy(F.window("timestamp", slide).alias("pane"), "hashtag")
+            .agg(F.count(F.lit(1)).alias("count"), F.max("timestamp").alias("timestamp")))
+    at = F.window(F.window_time("pane"), window, slide)
+    return (pane.groupBy(at.alias("window"), "hashtag")
+            .agg(F.sum("count").alias("count"), F.max("timestamp").alias("timestamp"))
+            .select("hashtag", "count", F.col("window.end").alias("window_end"), "timestamp"))
+
+
+def windows_of(rows: DataFrame, window: str = WINDOW, slide: str = SLIDE) -> DataFrame:
+    """Each row once for each window that it lies in, with ``window_end``."""
+    step = seconds(slide)
+    last = F.floor(F.unix_seconds(F.col("timestamp").cast("timestamp")) / step) * step + step
+    ends = F.transform(F.sequence(F.lit(0), F.lit(seconds(window) // step - 1)),
+                       lambda n: F.timestamp_seconds(last + n * step))
+    return rows.withColumn("window_end", F.explode(ends))
+
+
 def windowed_posts(posts: DataFrame, window: str = WINDOW, slide: str = SLIDE) -> DataFrame:
     """Posts, likes, retweets and the last event time, by (window, username)."""
     return _windowed(posts, "username", {

@@ -16,6 +16,9 @@ from postflow.operators.compare import contains_join
 from postflow.schemas import TABLES, WINDOW
 
 METRICS = TABLES["performance_metrics"]
+KEYED = TABLES["stream_metrics"]
+# Name of the counts that a job observes in its batches.
+ARRIVALS = "arrivals"
 
 
 def metric_row(query_id: str, mode: str, millis: float, window: str, records: int,
@@ -64,6 +67,8 @@ class ProgressLog(StreamingQueryListener):
         self.counts: Counter[str] = Counter()
         self.late: Counter[str] = Counter()
         self._rows: list[tuple] = []
+        self._keyed: dict[tuple[str, int], tuple] = {}
+        self._seen: dict[str, int] = {}
 
     def onQueryStarted(self, event) -> None:
         pass
@@ -71,13 +76,20 @@ class ProgressLog(StreamingQueryListener):
     def onQueryProgress(self, event) -> None:
         progress = event.progress
         name = progress.name or str(progress.id)
-        self.late[name] += sum(x.numRowsDroppedByWatermark for x in progress.stateOperators)
+        late = sum(x.numRowsDroppedByWatermark for x in progress.stateOperators)
+        self.late[name] += late
         if progress.numInputRows == 0:
             return
         self.counts[name] += progress.numInputRows
-        self._rows.append(metric_row(
+        row = metric_row(
             f"spark_streaming_{name}", "streaming", progress.durationMs["triggerExecution"],
-            self.window, progress.numInputRows))
+            self.window, progress.numInputRows)
+        self._rows.append(row)
+        key = str(progress.runId), progress.batchId
+        self._seen[key[0]] = key[1]
+        seen = progress.observedMetrics.get(ARRIVALS)
+        counts = (seen["accepted"], seen["rejected"]) if seen else (None, None)
+        self._keyed[key] = (*key, *row[:-1], *counts, late, row[-1])
 
     def onQueryIdle(self, event) -> None:
         pass
@@ -90,9 +102,26 @@ class ProgressLog(StreamingQueryListener):
         rows, self._rows = self._rows, []
         return rows
 
-    def settle(self, spark: SparkSession, millis: int = 20_000) -> None:
-        """Wait for the events that are under way: Spark delivers them on a thread of its own."""
-        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(millis)
+    def drain_keyed(self) -> list[tuple]:
+        """Rows for ``stream_metrics`` since the last call, one per run and batch."""
+        rows, self._keyed = list(self._keyed.values()), {}
+        return rows
+
+    def settle(self, queries, seconds: float = 20) -> bool:
+        """Wait until the events of ended queries are here, as Spark delivers them on a thread of
+        its own; whether all came in time."""
+        wanted = {}
+        for query in queries:
+            batches = [p["batchId"] for p in query.recentProgress if p["numInputRows"]]
+            if batches:
+                wanted[str(query.runId)] = max(batches)
+        until = time.monotonic() + seconds
+        while True:
+            if all(self._seen.get(run, -1) >= batch for run, batch in wanted.items()):
+                return True
+            if time.monotonic() > until:
+                return False
+            time.sleep(0.05)
 
     def line(self) -> str:
         parts = [f"{n} {name}" for name, n in sorted(self.counts.items())]

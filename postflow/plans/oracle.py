@@ -17,6 +17,18 @@ TAGS = POSTS + r""", tags AS (
 _END = ("time_bucket(INTERVAL 5 MINUTE, timestamp, TIMESTAMP '1970-01-01')"
         " + (o + 1) * INTERVAL 5 MINUTE")
 
+# The posts in four slices of their time span, and the newest post of all later slices.
+SLICED = POSTS + """, span AS (
+  SELECT CAST(floor(epoch(min(timestamp))) AS BIGINT) AS first,
+         CAST(floor(epoch(max(timestamp))) AS BIGINT) AS last FROM posts),
+sliced AS (
+  SELECT posts.*, (CAST(floor(epoch(timestamp)) AS BIGINT) - first) // ((last - first) // 4 + 1)
+         AS slice FROM posts, span),
+ends AS (
+  SELECT slice, max(max(timestamp)) OVER (
+    ORDER BY slice ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS later
+  FROM sliced GROUP BY slice)"""
+
 HASHTAG_WINDOWS = TAGS + f""", hw AS (
   SELECT hashtag, count(*) AS count, {_END} AS window_end, max(timestamp) AS timestamp
   FROM tags CROSS JOIN range(3) r(o) GROUP BY hashtag, window_end)"""
@@ -317,4 +329,30 @@ WHERE b.mean > 0 AND s.mean > 0""",
     "stream_batch_parity": _with(USER_WINDOWS, """SELECT count(*) AS left_rows,
  count(*) AS right_rows, CAST(0 AS BIGINT) AS only_left, CAST(0 AS BIGINT) AS only_right
  FROM uw"""),
+    "stream_metrics_keyed": _with(POSTS, """SELECT 'spark_streaming_keyed' AS query_id,
+ CAST(2 AS BIGINT) AS n_runs, CAST(4 AS BIGINT) AS n_batches, count(*) AS records,
+ count(*) AS accepted, CAST(0 AS BIGINT) AS rejected FROM posts"""),
+    "stream_observed": _with(POSTS, """SELECT count(*) FILTER (likes % 10 <> 3) AS accepted,
+ count(*) FILTER (likes % 10 = 3) AS rejected, count(*) FILTER (likes % 10 <> 3) AS stored,
+ count(*) FILTER (likes % 10 = 3) AS kept FROM posts"""),
+    "stream_late_rows": _with(SLICED, """SELECT CAST(tweet_id AS BIGINT) AS tweet_id, window_end
+ FROM (SELECT s.*, """ + _END + """ AS window_end FROM sliced s CROSS JOIN range(3) r(o)) w
+ JOIN ends USING (slice) WHERE window_end <= later - INTERVAL 20 MINUTE"""),
+    "stream_chained_windows": _with(HASHTAG_WINDOWS, f"""{STORED_HASHTAGS}
+ WHERE window_end <= (SELECT max(timestamp) FROM posts) - INTERVAL 20 MINUTE"""),
+    "stream_state_rows": _with(USER_WINDOWS, """SELECT window_end, count(*) AS n_keys FROM uw
+ WHERE window_end > (SELECT max(timestamp) FROM posts) - INTERVAL 20 MINUTE GROUP BY window_end"""),
+    "stream_republish_once": _with(SLICED, f"""SELECT 'user_windows_topic' AS topic,
+ CAST(json_object('username', username, 'tweet_count', tweet_count, 'total_likes', total_likes,
+   'total_retweets', total_retweets, 'window_end', {ISO.format('window_end')},
+   'timestamp', {ISO.format('timestamp')}) AS VARCHAR) AS value
+ FROM (SELECT username, window_end, slice,
+         CAST(sum(n) OVER upto AS BIGINT) AS tweet_count,
+         CAST(sum(likes) OVER upto AS BIGINT) AS total_likes,
+         CAST(sum(retweets) OVER upto AS BIGINT) AS total_retweets,
+         max(last) OVER upto AS timestamp
+       FROM (SELECT username, slice, {_END} AS window_end, count(*) AS n, sum(likes) AS likes,
+               sum(retweets) AS retweets, max(timestamp) AS last
+             FROM sliced CROSS JOIN range(3) r(o) GROUP BY username, slice, window_end) parts
+       WINDOW upto AS (PARTITION BY username, window_end ORDER BY slice))"""),
 }

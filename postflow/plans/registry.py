@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import replace
 from functools import reduce
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,12 +17,13 @@ from postflow.operators.posts import activity_rows, hashtag_rows, message_rows,
 from postflow.plans import metrics, reports, results
 from postflow.plans.views import register_views
 from postflow.schemas import (
-    HASHTAGS_TOPIC, MERGES, TWEETS_TOPIC, USER_ACTIVITY_TOPIC, MergeSpec)
+    HASHTAGS_TOPIC, MERGES, TWEETS_TOPIC, USER_ACTIVITY_TOPIC, USER_WINDOWS_TOPIC, MergeSpec)
 from postflow.session import new_folder
-from postflow.sources.messages import accepted, parse, rejected, topic_stream
+from postflow.sources.messages import accepted, once, parse, rejected, topic_stream
 from postflow.sources.posts import csv_posts, event_posts, typed_posts
 from postflow.sources.tables import read_table, test_table
 from postflow.streaming import jobs
+from postflow.streaming.state import held_windows
 from postflow.streaming.table import EpochTable
 
 NOW = {"availableNow": True}
@@ -446,8 +448,10 @@ def stream_metrics_logged(spark, sf):
     source = replay(spark, topic_files(spark, sf))
     spark.streams.addListener(progress)
     try:
-        jobs.finish(jobs.start_loads(spark, new_folder(spark, "tables"), source, NOW).values())
-        progress.settle(spark)
+        queries = list(jobs.start_loads(
+            spark, new_folder(spark, "tables"), source, NOW).values())
+        jobs.finish(queries)
+        progress.settle(queries)
     finally:
         spark.streams.removeListener(progress)
     metrics.append_metrics(spark, progress.drain(), log)
@@ -529,15 +533,15 @@ def stream_complete_users_direct(spark, sf):
     return run_merge(spark, "user_activity", windows.windowed_activity(activity), "complete")
 
 
-def timed_files(spark: SparkSession, sf: str) -> str:
-    """Topic files that arrive in the order of the posts' times: a slice of the time span after
-    the other, each in as many files as a micro-batch reads."""
+def timed_files(spark: SparkSession, sf: str, order=range(SLICES)) -> str:
+    """Topic files that arrive in the order of the posts' times, or in another ``order`` of slices:
+    a slice of the time span after the other, each in as many files as a micro-batch reads."""
     folder = new_folder(spark, "topics")
     posts = posts_of(spark, sf)
     seconds = F.unix_seconds(F.col("timestamp").cast("timestamp"))
     first, last = posts.agg(F.min(seconds), F.max(seconds)).first()
     width = (last - first) // SLICES + 1
-    for number in range(SLICES):
+    for number in order:
         part = posts.filter(F.floor((seconds - first) / width) == number)
         (message_rows(part, F.col("timestamp"))
          .select("topic", F.col("value").cast("binary").alias("value"))
@@ -671,6 +675,134 @@ def stream_shared_users(spark, sf):
     return without_zone(table.current())
 
 
+class Broken(RuntimeError):
+    """What a sink raises that is meant to fail."""
+
+
+def failing(save: jobs.Save, at: int) -> jobs.Save:
+    """A sink that fails once its epoch ``at`` is done, the first time."""
+    failed = []
+
+    def broken(rows: DataFrame, epoch: int) -> None:
+        save(rows, epoch)
+        if epoch == at and not failed:
+            failed.append(epoch)
+            raise Broken(f"epoch {epoch}")
+
+    return broken
+
+
+def run_twice(start) -> list:
+    """Runs a query that fails, and again from its checkpoint; both runs."""
+    runs = [start()]
+    try:
+        jobs.finish(runs)
+    except StreamingQueryException:
+        pass
+    else:
+        raise RuntimeError("the first run was to fail")
+    runs.append(start())
+    jobs.finish(runs[1:])
+    return runs
+
+
+def stream_metrics_keyed(spark, sf):
+    """Metrics of two runs on one checkpoint, the first of which fails: every batch that ended is
+    logged once, with its accepted and rejected records, flushed several times, and folded."""
+    root, progress = new_folder(spark, "tables"), metrics.ProgressLog()
+    source, users = replay(spark, topic_files(spark, sf), 1), USER_ACTIVITY_TOPIC
+    table = EpochTable.named(spark, root, "user_activity", "increment")
+    save = failing(jobs.load_sink(table, users, jobs.rejects_folder(root, users),
+                                  jobs.activity_shape), FILES // 2)
+    spark.streams.addListener(progress)
+    try:
+        runs = run_twice(lambda: jobs.start(jobs.parsed_arrivals(source, users), save,
+                                            table.checkpoint, trigger=NOW, name="keyed"))
+        progress.settle(runs)
+    finally:
+        spark.streams.removeListener(progress)
+    log = EpochTable.named(spark, root, "stream_metrics")
+    rows = progress.drain_keyed()
+    for epoch, some in enumerate((rows[:2], rows[1:], rows)):  # what is sent again counts once
+        log.write(spark.createDataFrame(some, metrics.KEYED), epoch)
+    log.compact()
+    return log.current().groupBy("query_id").agg(
+        F.count_distinct("run_id").alias("n_runs"), F.count(F.lit(1)).alias("n_batches"),
+        F.sum("records_processed").alias("records"), F.sum("accepted").alias("accepted"),
+        F.sum("rejected").alias("rejected"))
+
+
+def stream_observed(spark, sf):
+    """Accepted and rejected posts as the progress tells them, and as they were stored."""
+    folder, root = new_folder(spark, "topics"), new_folder(spark, "tables")
+    number = F.get_json_object("value", "$.likes").cast("int")
+    rows = messages_of(spark, sf).withColumn("value", F.when(
+        F.pmod(number, F.lit(10)) == 3, F.lit("{")).otherwise(F.col("value")))
+    (rows.select("topic", F.col("value").cast("binary").alias("value"))
+     .repartition(FILES).write.partitionBy("topic").parquet(folder))
+    progress = metrics.ProgressLog()
+    spark.streams.addListener(progress)
+    try:
+        query = jobs.start_shared(spark, root, replay(spark, folder), NOW)
+        jobs.finish([query])
+        progress.settle([query])
+    finally:
+        spark.streams.removeListener(progress)
+    told = spark.createDataFrame(progress.drain_keyed(), metrics.KEYED).agg(
+        F.sum("accepted").alias("accepted"), F.sum("rejected").alias("rejected"))
+    stored = EpochTable.named(spark, root, "tweets").current().agg(
+        F.count(F.lit(1)).alias("stored"))
+    kept = spark.read.parquet(jobs.rejects_folder(root, TWEETS_TOPIC)).agg(
+        F.count(F.lit(1)).alias("kept"))
+    return told.crossJoin(stored).crossJoin(kept)  # a row each
+
+
+def stream_late_rows(spark, sf):
+    """Posts in reversed slices of time: those behind the watermark, with the windows missed."""
+    root = new_folder(spark, "tables")
+    source = replay(spark, timed_files(spark, sf, reversed(range(SLICES))))
+    jobs.finish([jobs.start_late(spark, root, source, NOW)])
+    late = EpochTable.named(spark, root, "late_posts").current()
+    return without_zone(late.select("tweet_id", "window_end"))
+
+
+def stream_chained_windows(spark, sf):
+    """Two aggregates in one stream: the windows that the watermark has passed at the end."""
+    posts = jobs.good(replay(spark, timed_files(spark, sf)), TWEETS_TOPIC)
+    return run_merge(spark, "hashtag_counts", windows.chained_hashtags(hashtag_rows(posts)),
+                     "append")
+
+
+def stream_state_rows(spark, sf):
+    """The windows that an update job still holds when its data ends, from its state."""
+    posts = jobs.good(replay(spark, timed_files(spark, sf)), TWEETS_TOPIC)
+    table = EpochTable.named(spark, new_folder(spark, "tables"), "user_activity")
+    jobs.finish([jobs.start_merge(windows.windowed_posts(posts), table, "update", NOW)])
+    return without_zone(held_windows(spark, table.checkpoint))
+
+
+def stream_republish_once(spark, sf):
+    """Windows sent on by a job that failed and sent a batch again, read as a stream: each message
+    once, of every micro-batch."""
+    out, root = new_folder(spark, "messages"), new_folder(spark, "tables")
+    source = replay(spark, timed_files(spark, sf))
+    table = EpochTable.named(spark, root, "user_activity")
+    write = jobs.message_writer("parquet", path=out)
+    save = failing(jobs.table_sink(table, send=write), SLICES // 2)
+    run_twice(lambda: jobs.start(windows.windowed_posts(jobs.good(source, TWEETS_TOPIC)), save,
+                                 table.checkpoint, "update", NOW))
+    read = once(topic_stream(spark, USER_WINDOWS_TOPIC, "parquet", out))
+    seen = new_folder(spark, "seen")
+
+    def keep(rows: DataFrame, epoch: int) -> None:
+        rows.select(F.col("value").cast("string")).write.mode("overwrite").parquet(
+            f"{seen}/epoch={epoch}")
+
+    jobs.finish([jobs.start(read, keep, f"{root}/_reader", trigger=NOW)])
+    return spark.read.schema("value string, epoch int").parquet(seen).select(
+        F.lit(USER_WINDOWS_TOPIC).alias("topic"), "value")
+
+
 def stored_results(spark, sf):
     """Streaming and batch totals as stored side by side, without the time of processing."""
     root = run_shared(spark, sf)
@@ -712,4 +844,6 @@ QUERIES = {query.__name__: query for query in (
     stream_increment_hashtags, stream_increment_users, stream_republish, stream_fanout,
     stream_analysis, stream_loads, stream_shared_hashtags, stream_shared_users,
     stream_batch_parity, stream_rejects, stored_results,
+    stream_metrics_keyed, stream_observed, stream_late_rows,
+    stream_chained_windows, stream_state_rows, stream_republish_once,
 )}

@@ -84,6 +84,15 @@ TABLES = {
     "performance_metrics": _struct(
         query_id=STRING, execution_mode=STRING, execution_time=DOUBLE, window_size=STRING,
         records_processed=LONG, execution_timestamp=TIME),
+    # A row per micro-batch that ran to its end; a batch that runs again has another run.
+    "stream_metrics": _struct(
+        run_id=STRING, batch_id=LONG, query_id=STRING, execution_mode=STRING,
+        execution_time=DOUBLE, window_size=STRING, records_processed=LONG, accepted=LONG,
+        rejected=LONG, late=LONG, execution_timestamp=TIME),
+    # Posts that came after the watermark had passed a window of theirs, a row per such window.
+    "late_posts": _struct(
+        tweet_id=LONG, username=STRING, tweet_text=STRING, retweets=INT, likes=INT,
+        timestamp=TIME, window_end=TIME, watermark=TIME),
 }
 
 
@@ -115,11 +124,18 @@ MERGES = {
     "user_activity": MergeSpec(
         ("username", "window_end"), "overwrite",
         ("tweet_count", "total_likes", "total_retweets"), "last_updated", "window_end"),
+    "stream_metrics": MergeSpec(
+        ("run_id", "batch_id"), "overwrite",
+        ("query_id", "execution_mode", "execution_time", "window_size", "records_processed",
+         "accepted", "rejected", "late"), "execution_timestamp"),
+    "late_posts": MergeSpec(("tweet_id", "window_end"), "ignore", day_of="window_end"),
 }
 
 # Names that differ between a result and the table it is stored in.
 SINK_NAMES = {
     "tweets": {"text": "tweet_text"},
+    "stream_metrics": {},
+    "late_posts": {"text": "tweet_text"},
     "hashtag_counts": {"timestamp": "last_updated"},
     "user_activity": {"timestamp": "last_updated"},
 }

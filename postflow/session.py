@@ -13,6 +13,8 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Streaming queries run in pools of their own, so that none waits for all others.
+    "spark.scheduler.mode": "FAIR",
     # Window state outgrows the heap long before it outgrows a local disk.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -32,6 +34,15 @@ def build_session(app: str = "postflow", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+def separate(spark: SparkSession) -> SparkSession:
+    """A session with the same settings and views of its own, which end with it."""
+    own = spark.newSession()
+    for key in DEFAULT_CONF:
+        if key.startswith("spark.sql."):
+            own.conf.set(key, spark.conf.get(key))
+    return own
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postflow.functions.text import event_time
-from postflow.schemas import MESSAGES, REQUIRED, TRANSPORT
+from postflow.schemas import LATENESS, MESSAGES, REQUIRED, TRANSPORT
 
 
 def topic_stream(spark: SparkSession, topic: str, fmt: str = "kafka", path: str | None = None,
@@ -62,6 +62,26 @@ def parse(rows: DataFrame, topic: str) -> DataFrame:
             .withColumn("raw", F.when(~_complete(REQUIRED[topic]), F.col("raw"))))
 
 
+def arrivals(parsed: DataFrame, topic: str, name: str) -> DataFrame:
+    """The rows, with accepted and rejected ones counted on the way, under ``name`` in a stream's
+    progress."""
+    good = _complete(REQUIRED[topic])
+    return parsed.observe(name, F.count_if(good).alias("accepted"),
+                          F.count_if(~good).alias("rejected"))
+
+
+def once(messages: DataFrame, within: str = LATENESS) -> DataFrame:
+    """A stream of window messages, each once however often it was sent.
+
+    A batch that runs again sends its messages again, with the same ids as keys. Ids are kept until
+    the watermark, by the time in the message, is ``within`` past them.
+    """
+    field = F.get_json_object(F.col("value").cast("string"), "$.timestamp")
+    return (messages.withColumn("sent_for", event_time(field))
+            .withWatermark("sent_for", within).dropDuplicatesWithinWatermark(["key"])
+            .drop("sent_for"))
+
+
 def accepted(parsed: DataFrame, topic: str) -> DataFrame:
     """Rows with every required field."""
     return parsed.filter(_complete(REQUIRED[topic])).drop("raw")

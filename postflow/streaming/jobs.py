@@ -9,8 +9,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from postflow.operators.posts import hashtag_rows, message_rows, window_messages
 from postflow.operators.windows import windowed_activity, windowed_hashtags, windowed_posts
+from postflow.plans.metrics import ARRIVALS
 from postflow.schemas import HASHTAGS_TOPIC, TRIGGER, TWEETS_TOPIC, USER_ACTIVITY_TOPIC
-from postflow.sources.messages import accepted, parse, rejected
+from postflow.sources.messages import accepted, arrivals, parse, rejected
+from postflow.streaming.late import late_sink
 from postflow.streaming.table import EpochTable
 
 Save = Callable[[DataFrame, int], None]
@@ -41,7 +43,7 @@ def table_sink(table: EpochTable, order: tuple[str, ...] = (),
             stored = (table.replace(rows, epoch) if table.complete
                       else table.write(rows, epoch, order))
             if send is not None and stored:
-                send(window_messages(rows))
+                send(window_messages(rows, table.path.rsplit("/", 1)[-1], epoch))
             table.upkeep(epoch)
         finally:
             if twice:
@@ -50,14 +52,19 @@ def table_sink(table: EpochTable, order: tuple[str, ...] = (),
     return save
 
 
+def keep_rejects(bad: DataFrame, rejects: str, epoch: int) -> None:
+    """Rejected records of a stored batch; one without any leaves no folder."""
+    if not bad.isEmpty():
+        bad.write.mode("overwrite").parquet(f"{rejects}/epoch={epoch}")
+
+
 def reject_sink(rejects: str) -> Save:
     """Keeps rejected records; batches without any leave nothing."""
 
     def save(rows: DataFrame, epoch: int) -> None:
         rows = rows.persist()
         try:
-            if not rows.isEmpty():
-                rows.write.mode("overwrite").parquet(f"{rejects}/epoch={epoch}")
+            keep_rejects(rows, rejects, epoch)
         finally:
             rows.unpersist()
 
@@ -77,7 +84,7 @@ def load_sink(table: EpochTable, topic: str, rejects: str, shape: Callable[[Data
         try:
             if parsed.isEmpty():
                 return
-            rejected(parsed, topic).write.mode("overwrite").parquet(f"{rejects}/epoch={epoch}")
+            keep_rejects(rejected(parsed, topic), rejects, epoch)
             table.write(shape(accepted(parsed, topic)), epoch, order)
             table.upkeep(epoch)
         finally:
@@ -102,8 +109,7 @@ def shared_sink(spark: SparkSession, root: str) -> Save:
         try:
             if parsed.isEmpty():
                 return
-            bad = rejected(parsed, TWEETS_TOPIC)
-            bad.write.mode("overwrite").parquet(f"{rejects}/epoch={epoch}")
+            keep_rejects(rejected(parsed, TWEETS_TOPIC), rejects, epoch)
             posts = accepted(parsed, TWEETS_TOPIC)
             tweets.write(posts, epoch, ARRIVAL)
             counts.write(windowed_hashtags(hashtag_rows(posts)), epoch, unique=True)
@@ -138,7 +144,13 @@ def start(rows: DataFrame, save: Save, checkpoint: str, mode: str = "append",
         writer = writer.trigger(**trigger)
     if name:
         writer = writer.queryName(name)
-    return writer.start()
+    # The query's thread inherits the pool, so the queries of a session share its cores evenly.
+    context = rows.sparkSession.sparkContext
+    context.setLocalProperty("spark.scheduler.pool", name)
+    try:
+        return writer.start()
+    finally:
+        context.setLocalProperty("spark.scheduler.pool", None)
 
 
 def start_merge(rows: DataFrame, table: EpochTable, mode: str = "append",
@@ -146,6 +158,12 @@ def start_merge(rows: DataFrame, table: EpochTable, mode: str = "append",
     return start(rows, table_sink(table, **sink), table.checkpoint, mode, trigger, name)
 
 
+def parsed_arrivals(source: Source, topic: str) -> DataFrame:
+    """Parsed records, of which the progress tells how many are accepted and rejected. For sinks
+    that keep the batch: it must be computed once."""
+    return arrivals(parse(source(topic), topic), topic, ARRIVALS)
+
+
 def good(source: Source, topic: str) -> DataFrame:
     return accepted(parse(source(topic), topic), topic)
 
@@ -188,8 +206,10 @@ def start_analysis(spark: SparkSession, root: str, source: Source, mode: str = "
     tweets = EpochTable.named(spark, root, "tweets")
     sink = load_sink(tweets, TWEETS_TOPIC, rejects_folder(root, TWEETS_TOPIC),
                      lambda rows: rows, ARRIVAL)
-    queries = {"tweets": start(parse(source(TWEETS_TOPIC), TWEETS_TOPIC), sink,
+    queries = {"tweets": start(parsed_arrivals(source, TWEETS_TOPIC), sink,
                                tweets.checkpoint, trigger=raw_trigger, name="tweets")}
+    if mode == "update":
+        queries["late_posts"] = start_late(spark, root, source, trigger)
     for folder, (name, result) in results.items():
         table = EpochTable.named(spark, root, name, folder=folder, complete=mode == "complete")
         queries[folder] = start_merge(result, table, mode, trigger, folder, send=send)
@@ -202,10 +222,18 @@ def start_analysis(spark: SparkSession, root: str, source: Source, mode: str = "
     return queries
 
 
+def start_late(spark: SparkSession, root: str, source: Source,
+               trigger: dict | None = None) -> StreamingQuery:
+    """The posts that the windowed queries drop, kept as ``late_posts``."""
+    table = EpochTable.named(spark, root, "late_posts")
+    return start(parse(source(TWEETS_TOPIC), TWEETS_TOPIC), late_sink(table), table.checkpoint,
+                 trigger=trigger, name="late_posts")
+
+
 def start_shared(spark: SparkSession, root: str, source: Source,
                  trigger: dict | None = None) -> StreamingQuery:
     """Raw posts, tag windows and user windows from one query over the post topic."""
-    return start(parse(source(TWEETS_TOPIC), TWEETS_TOPIC), shared_sink(spark, root),
+    return start(parsed_arrivals(source, TWEETS_TOPIC), shared_sink(spark, root),
                  f"{root.rstrip('/')}/_checkpoint", trigger=trigger, name="shared")
 
 
@@ -223,7 +251,7 @@ def start_loads(spark: SparkSession, root: str, source: Source,
     for topic, (name, policy, shape, order) in LOADS.items():
         table = EpochTable.named(spark, root, name, policy)
         sink = load_sink(table, topic, rejects_folder(root, topic), shape, order)
-        queries[name] = start(parse(source(topic), topic), sink, table.checkpoint,
+        queries[name] = start(parsed_arrivals(source, topic), sink, table.checkpoint,
                               trigger=trigger, name=f"load_{name}")
     return queries
 

@@ -1,7 +1,8 @@
 """A keyed table on plain Parquet that streaming epochs can be replayed into.
 
 ``<kind>/log/epoch=<i>``   what micro-batch i brought, written with mode overwrite
-``<kind>/base/epoch=<n>``  the log up to n, folded by key
+``<kind>/base/epoch=<n>``  the log up to n, folded by key, for the parts that changed
+``<kind>/base/epoch=<n>/_parts``  which base holds each part as of n; written last
 ``_checkpoint``            the checkpoint of the query that writes
 
 The kind says how epochs fold, so that no reader takes increments for overwrites.
@@ -16,11 +17,13 @@ read as they are, without a shuffle, and ``compact`` rewrites only the parts tha
 changed. A batch of overwrites or increments costs as much as its own rows, as
 they are folded when the table is read; an insert-ignore batch reads the keys of
 the parts that it touches. ``upkeep`` folds and expires on the way, so that the
-number of epoch folders, which each read lists, stays bounded.
+number of log folders, which each read lists, stays bounded. Of the bases a read
+needs the newest one's ``_parts`` alone, however many there are.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from dataclasses import replace
@@ -35,6 +38,7 @@ from postflow.operators import merge
 from postflow.schemas import MERGES, SINK_NAMES, TABLES, MergeSpec
 from postflow.session import hadoop_path, path_exists
 
+PARTS = "_parts"
 # A test of part names; none takes all.
 Wanted = Callable[[str], bool] | None
 DAY, RANGE = "day", "key_range"
@@ -101,9 +105,12 @@ class EpochTable:
     @classmethod
     def stored(cls, spark: SparkSession, root: str, name: str,
                folder: str | None = None) -> EpochTable:
-        """The table ``name`` as it was written, for readers that did not write it."""
+        """The table ``name`` as it was written, for readers that did not write it. One whose query
+        has stored nothing so far is empty."""
         tables = [cls.named(spark, root, name, folder=folder, **how) for how in KINDS]
         found = [table for table in tables if path_exists(spark, table.data)]
+        if not found and path_exists(spark, tables[0].checkpoint):
+            return tables[0]
         if len(found) != 1:
             kinds = [table.kind for table in found] or "nothing"
             raise ValueError(f"{tables[0].path} holds {kinds}, expected one kind of table")
@@ -132,10 +139,52 @@ class EpochTable:
         return {name.split("=", 1)[1]: f"{path}/{name}"
                 for name in names if name.startswith(f"{prefix}=")}
 
-    def _epochs(self, part: str, after: int = -1) -> dict[int, str]:
-        """Finished epochs of ``log`` or ``base`` beyond ``after``, oldest first."""
+    def _base(self, before: int | None = None) -> int:
+        """The newest finished base (below ``before``); -1 if there is none."""
+        mark = "_SUCCESS" if self.complete or self.part is None else PARTS
+        folders = self._folders(f"{self.data}/base", "epoch")
+        for epoch in sorted(map(int, folders), reverse=True):
+            if (before is None or epoch < before) and path_exists(
+                    self.spark, f"{folders[str(epoch)]}/{mark}"):
+                return epoch
+        return -1
+
+    def _index(self, base: int) -> dict[str, int]:
+        """The base that holds each part, as of one base."""
+        if base < 0:
+            return {}
+        target, files = hadoop_path(self.spark, f"{self.data}/base/epoch={base}/{PARTS}")
+        stream = files.open(target)
+        try:
+            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        return json.loads(text)
+
+    def _write_index(self, base: int, before: dict[str, int]) -> None:
+        folder = f"{self.data}/base/epoch={base}"
+        index = before | dict.fromkeys(self._folders(folder, self.part), base)
+        target, files = hadoop_path(self.spark, f"{folder}/{PARTS}")
+        stream = files.create(target, True)
+        stream.write(bytearray(json.dumps(index), "utf-8"))
+        stream.close()
+
+    def _stored(self, base: int, wanted: Wanted = None) -> dict[str, str]:
+        """The newest copy of each part, as of one base."""
+        if base < 0:
+            return {}
+        folder = f"{self.data}/base/epoch={base}"
+        if self.part is None:
+            return {"": folder}
+        index = dict.fromkeys(self._folders(folder, self.part), base) if self.complete \
+            else self._index(base)
+        return {part: f"{self.data}/base/epoch={epoch}/{self.part}={part}"
+                for part, epoch in index.items() if wanted is None or wanted(part)}
+
+    def _epochs(self, after: int = -1) -> dict[int, str]:
+        """Finished epochs of the log beyond ``after``, oldest first."""
         found = {}
-        for value, folder in self._folders(f"{self.data}/{part}", "epoch").items():
+        for value, folder in self._folders(f"{self.data}/log", "epoch").items():
             if int(value) > after and path_exists(self.spark, f"{folder}/_SUCCESS"):
                 found[int(value)] = folder
         return dict(sorted(found.items()))
@@ -152,7 +201,7 @@ class EpochTable:
         return parts
 
     def next_epoch(self) -> int:
-        return max([*self._epochs("log"), *self._epochs("base")], default=-1) + 1
+        return max([*self._epochs(), self._base()]) + 1
 
     # Reading -----------------------------------------------------------------
 
@@ -170,28 +219,23 @@ class EpochTable:
 
         An epoch holds a key once, so ``max_by`` over the epoch has no ties.
         """
-        keys, stamp = [*self.spec.keys, self.part], self.spec.stamp
+        own = [] if self.part is None else [self.part]
+        keys, stamp = [*self.spec.keys, *own], self.spec.stamp
         if self.spec.policy == "overwrite":
             folded = [F.max_by(name, "epoch").alias(name) for name in self.spec.measures]
         else:
             folded = [F.sum(name).alias(name) for name in self.spec.measures]
         last = F.max(stamp) if self.spec.latest else F.max_by(stamp, "epoch")
         folded.append(last.alias(stamp))
-        return log.groupBy(*keys).agg(*folded).select(*self.schema.names, self.part)
+        return log.groupBy(*keys).agg(*folded).select(*self.schema.names, *own)
 
     def _plan(self, before: int | None = None, wanted: Wanted = None):
         """Paths to read: cold base, base that the log touches, and the log."""
-        bases = {e: p for e, p in self._epochs("base").items() if before is None or e < before}
-        newest = max(bases, default=-1)
-        if self.complete:
-            bases = {newest: bases[newest]} if bases else {}
-        log = [p for e, p in self._epochs("log", newest).items() if before is None or e < before]
-        logged = self._parts(log, wanted)
-        stored = self._parts(list(bases.values()), wanted)
-        if self.part is not None:
-            stored = {part: paths[-1:] for part, paths in stored.items()}
-        cold = [p for part, paths in stored.items() if part not in logged for p in paths]
-        warm = [p for part, paths in stored.items() if part in logged for p in paths]
+        base = self._base(before)
+        log = [p for e, p in self._epochs(base).items() if before is None or e < before]
+        logged, stored = self._parts(log, wanted), self._stored(base, wanted)
+        cold = [path for part, path in stored.items() if part not in logged]
+        warm = [path for part, path in stored.items() if part in logged]
         return cold, warm, [p for paths in logged.values() for p in paths]
 
     def _merged(self, warm: list[str], log: list[str]) -> DataFrame:
@@ -202,7 +246,8 @@ class EpochTable:
         folded = self._fold(self._read("log", log))
         if not warm:
             return folded
-        spec = replace(self.spec, keys=(*self.spec.keys, self.part))
+        spec = self.spec if self.part is None else replace(
+            self.spec, keys=(*self.spec.keys, self.part))
         return merge.merge(self._read("base", warm).drop("epoch"), folded, spec)
 
     def current(self, before: int | None = None, first: date | None = None,
@@ -298,11 +343,14 @@ class EpochTable:
 
         Epochs that finish meanwhile stay in the log.
         """
-        epoch = max(self._epochs("log"), default=-1)
+        epoch = max(self._epochs(), default=-1)
         _, warm, log = self._plan(before=epoch + 1)
         if not log:
             return
+        before = self._base(epoch + 1)
         self._store(self._merged(warm, log).select(*self.schema.names), "base", epoch)
+        if self.part is not None:
+            self._write_index(epoch, self._index(before))
 
     def upkeep(self, epoch: int, every: int = UPKEEP_EPOCHS) -> None:
         """Fold after every so many epochs, and delete what the folding before made needless.
@@ -311,28 +359,34 @@ class EpochTable:
         """
         if (epoch + 1) % every:
             return
-        older = [base for base in self._epochs("base") if base <= epoch + 1 - every]
+        older = self._base(epoch + 2 - every)
         if not self.complete:
             self.compact()
-        if older:
-            self.expire(max(older))
+        if older >= 0:
+            self.expire(older)
 
     def expire(self, newest: int | None = None) -> None:
         """Delete epochs that no reader of the newest base, or of that one, needs.
 
         Readers that started before that base was made must have ended.
         """
-        bases = self._epochs("base")
-        newest = max(bases, default=-1) if newest is None else newest
-        bases = {epoch: path for epoch, path in bases.items() if epoch <= newest}
+        whole, newest = newest is None, self._base() if newest is None else newest
         gone = [folder for value, folder in self._folders(f"{self.data}/log", "epoch").items()
                 if int(value) <= newest]
-        if self.complete:
-            gone += [folder for epoch, folder in bases.items() if epoch < newest]
-        elif self.part is not None:
-            stored = self._parts(list(bases.values()))
-            gone += [path for paths in stored.values() for path in paths[:-1]]
-        self._delete(gone)
+        bases = {int(value): folder for value, folder in
+                 self._folders(f"{self.data}/base", "epoch").items() if int(value) < newest}
         if self.part is not None and not self.complete:
-            self._delete([path for epoch, path in bases.items()
-                          if epoch < newest and not self._folders(path, self.part)])
+            # Folders of which nothing is left, and in the others what a later base holds anew:
+            # that is known of the base before, and all are listed only if no base is named.
+            index = self._index(newest)
+            held = {base: folder for base, folder in bases.items() if base in index.values()}
+            last = self._base(newest)
+            if whole:
+                copies = [(part, base) for base, folder in held.items()
+                          for part in self._folders(folder, self.part)]
+            else:
+                copies = list(self._index(last).items())
+            gone += [f"{held[base]}/{self.part}={part}" for part, base in copies
+                     if base in held and index[part] != base]
+            bases = {base: folder for base, folder in bases.items() if base not in held}
+        self._delete([*gone, *bases.values()])

@@ -5,6 +5,7 @@ import os
 
 import pytest
 from conftest import rows_of
+from pyspark.errors import StreamingQueryException
 
 from postflow.__main__ import main
 from postflow.operators.posts import message_rows
@@ -41,8 +42,6 @@ def test_produce_stream_report_compare(spark, post_csv, root, capsys):
         main(["sql", "--query", "SELECT count(*) AS runs FROM performance_metrics "
               "WHERE execution_mode = 'batch'", *where])
         assert "|3|" in capsys.readouterr().out
-        for name in TABLES:
-            spark.catalog.dropTempView(name)
         main(["compact", "--expire", *where])
         main(["compare", *where])
         assert "batch_top_hashtags" in capsys.readouterr().out
@@ -86,6 +85,52 @@ def test_nothing_is_lost(spark, post_csv, root, capsys, mode):
     assert not glob.glob(f"{tables}/*/*/log/epoch=*")
 
 
+def test_sql_leaves_the_catalog_as_it_was(spark, post_csv, root, capsys):
+    """Views of stored tables hide no catalog table of the same name, in this session or later."""
+    topics, tables = f"{root}/topics", f"{root}/tables"
+    main(["produce", "--csv", post_csv, "--topics", topics])
+    main(["stream", "--once", "--topics", topics, "--root", tables])
+    before = spark.catalog.listTables()
+    spark.catalog.createTable("hashtag_counts", path=f"{root}/own", source="parquet",
+                              schema=TABLES["hashtag_counts"])
+    try:
+        main(["sql", "--root", tables, "--query", "SELECT count(*) > 9 AS n FROM user_activity"])
+        assert "|True|" in capsys.readouterr().out
+        main(["results", "--root", tables])
+        assert spark.table("hashtag_counts").count() == 0
+    finally:
+        spark.sql("DROP TABLE hashtag_counts")
+    assert spark.catalog.listTables() == before
+
+
+def test_metrics_of_a_failed_run_are_kept(spark, post_csv, root, monkeypatch):
+    topics, tables = f"{root}/topics", f"{root}/tables"
+    main(["produce", "--csv", post_csv, "--topics", topics])
+    bad_records(spark, topics)
+    real, written = EpochTable.write, []
+
+    def write(self, rows, epoch, *args, **kwargs):
+        if self.path.endswith("/user_activity"):
+            written.append(epoch)
+            if len(written) == 2:
+                raise ValueError("broken sink")
+        return real(self, rows, epoch, *args, **kwargs)
+
+    monkeypatch.setattr(EpochTable, "write", write)
+    run = ["stream", "--once", "--topics", topics, "--rate", "1", "--root", tables]
+    with pytest.raises(StreamingQueryException):
+        main(run)
+    first = EpochTable.stored(spark, tables, "stream_metrics").current()
+    assert first.count() == 1 and spark.read.parquet(f"{tables}/performance_metrics").count() == 1
+    main(run)
+    log = EpochTable.stored(spark, tables, "stream_metrics").current()
+    assert log.select("run_id").distinct().count() == 2
+    sums = log.groupBy().sum("records_processed", "accepted", "rejected").first()
+    assert tuple(sums) == (81, 80, 1)
+    # Batches without a reject leave no folder.
+    assert len(glob.glob(f"{tables}/rejects/topic={TWEETS_TOPIC}/epoch=*")) == 1
+
+
 def test_numbers_are_never_cut(spark):
     rows = spark.createDataFrame(
         [("q", "s", 1.7e12, 0.5, 1699999999999.5, "Batch", 3.4e12)], "query_type string, "

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 import random
 from dataclasses import replace
 from datetime import date
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from postflow.operators import merge
 from postflow.schemas import MERGES, TABLES, MergeSpec
+from postflow.streaming import table as table_module
 from postflow.streaming.table import EpochTable
 
 COUNTS = MERGES["hashtag_counts"]
@@ -120,6 +122,10 @@ def test_unfinished_epoch_is_not_read(spark, root):
     assert rows_of(table.current(), "hashtag", "count") == [("a", 1)]
 
 
+def bases(table) -> list[int]:
+    return sorted(map(int, table._folders(f"{table.data}/base", "epoch")))
+
+
 def test_compaction_leaves_out_what_finishes_meanwhile(spark, root):
     class Busy(EpochTable):
         def _merged(self, warm, log):
@@ -132,7 +138,7 @@ def test_compaction_leaves_out_what_finishes_meanwhile(spark, root):
         busy.write(counts(spark, [("a", 1, at(5), at(1))]), epoch)
     busy.compact()
     table = EpochTable.stored(spark, root, "hashtag_counts")
-    assert list(table._epochs("base")) == [1]
+    assert bases(table) == [1]
     assert rows_of(table.current(), "hashtag", "count") == [("a", 7)]
 
 
@@ -173,7 +179,7 @@ def test_upkeep_bounds_the_folders(spark, root):
         for epoch in range(13):
             table.write(rows(epoch + 1), epoch, *([FIRST] if name == "tweets" else []))
             table.upkeep(epoch, every=3)
-            most = max(most, len(table._epochs("log")) + len(table._epochs("base")))
+            most = max(most, len(table._epochs()) + len(bases(table)))
         assert most <= 9
         assert table.current().count() == (13 if name == "tweets" else 1)
     assert table.current().first()["count"] == sum(range(1, 14))
@@ -181,14 +187,47 @@ def test_upkeep_bounds_the_folders(spark, root):
     for epoch in range(9):
         whole.replace(counts(spark, [("a", epoch, at(5), at(1))]), epoch)
         whole.upkeep(epoch, every=3)
-    assert len(whole._epochs("base")) < 7 and whole.current().first()["count"] == 8
+    assert len(bases(whole)) < 7 and whole.current().first()["count"] == 8
+
+
+def test_calls_do_not_grow_with_the_bases(spark, root, monkeypatch):
+    """Ids that grow, so that every folding leaves a base with the newest copy of some part."""
+    calls = []
+    for name in ("path_exists", "hadoop_path"):
+        real = getattr(table_module, name)
+        monkeypatch.setattr(table_module, name, lambda *a, real=real: calls.append(a) or real(*a))
+    table = EpochTable.named(spark, root, "tweets")
+    counted = []
+    for epoch in range(36):
+        calls.clear()
+        table.write(tweets(spark, [(epoch * 10**8, "a", at(1)), (3, "old", at(1))]), epoch, FIRST)
+        counted.append(len(calls))
+        table.upkeep(epoch, every=2)
+    assert len(bases(table)) > 15
+    assert max(counted[24:]) <= max(counted[6:12])
+    assert table.current().count() == 37
+    table.expire()
+    assert table.current().count() == 37
+
+
+def test_a_base_without_its_index_does_not_count(spark, root):
+    table = EpochTable.named(spark, root, "hashtag_counts", "increment")
+    for epoch in range(4):
+        table.write(counts(spark, [("a", 1, at(5, day=d), at(1)) for d in (1, epoch + 1)]), epoch)
+        if epoch % 2:
+            table.compact()
+    want = rows_of(table.current())
+    os.remove(f"{table.data}/base/epoch=3/_parts".removeprefix("file:"))
+    assert table._base() == 1 and rows_of(table.current()) == want
+    table.compact()
+    assert table._base() == 3 and rows_of(table.current()) == want
 
 
 def test_empty_batches_leave_no_epoch(spark, root):
     table = EpochTable.named(spark, root, "hashtag_counts")
     assert table.write(counts(spark, [("a", 1, at(5), at(1))]), 0) == 1
     assert table.write(counts(spark, []), 1) == 0
-    assert list(table._epochs("log")) == [0]
+    assert list(table._epochs()) == [0]
 
 
 def test_ignore_table(spark, root):
@@ -231,7 +270,7 @@ def test_expire_keeps_the_table(spark, root):
             table.compact()
     want = rows_of(table.current())
     table.expire()
-    assert list(table._epochs("log")) == [3]
+    assert list(table._epochs()) == [3]
     assert rows_of(table.current()) == want
     assert sum(row[1] for row in want) == 7 + 1
     whole = EpochTable.named(spark, root, "user_activity", complete=True)
@@ -239,7 +278,7 @@ def test_expire_keeps_the_table(spark, root):
         whole.replace(spark.createDataFrame([("u", epoch, 1, 1, at(5), at(1))],
                                             TABLES["user_activity"]), epoch)
     whole.expire()
-    assert list(whole._epochs("base")) == [2]
+    assert bases(whole) == [2]
     assert rows_of(whole.current(), "tweet_count") == [(2,)]
 
 

@@ -3,10 +3,12 @@ from __future__ import annotations
 import json
 import os
 import shutil
+from datetime import timedelta
 from types import SimpleNamespace
 
 import pytest
 from conftest import DATA, at, rows_of
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -17,6 +19,8 @@ from postflow.schemas import HASHTAGS_TOPIC, TWEETS_TOPIC, USER_ACTIVITY_TOPIC
 from postflow.sources.messages import topic_stream
 from postflow.sources.posts import event_posts
 from postflow.streaming import jobs
+from postflow.streaming.late import Clock, late_posts
+from postflow.streaming.state import held_windows, state_operators
 from postflow.streaming.table import EpochTable
 
 NOW = {"availableNow": True}
@@ -152,13 +156,14 @@ def test_all_jobs_with_progress_and_comparison(spark, posts, slices, tmp_path):
         queries = jobs.start_analysis(spark, str(tmp_path), source(spark, tmp_path / "in"),
                                       mode="update", trigger=NOW, raw_trigger=NOW)
         jobs.finish(queries.values())
-        assert len(queries) == 7
-        progress.settle(spark)
+        assert len(queries) == 8
+        assert progress.settle(queries.values())
     finally:
         spark.streams.removeListener(progress)
     tables = {name: EpochTable.named(spark, str(tmp_path), name.replace("_direct", ""),
                                      folder=name).current()
               for name in queries if not name.startswith("rejects")}
+    assert tables["late_posts"].count() == 0
     assert tables["tweets"].count() == posts.count()
     assert rows_of(tables["hashtag_counts"]) == rows_of(tables["hashtag_counts_direct"])
     assert rows_of(tables["user_activity"]) == rows_of(tables["user_activity_direct"])
@@ -262,3 +267,86 @@ def test_comparison_takes_the_last_mode_and_skips_zero_times(spark, posts):
 def test_activity_rows_are_stamped_now_by_default(spark, posts):
     stamped = activity_rows(posts).select("timestamp").distinct().collect()
     assert len(stamped) == 1 and stamped[0][0] > at(0).replace(tzinfo=None)
+
+
+def state_sizes(query) -> int:
+    """Most rows that the query held in state after a batch."""
+    return max(sum(x["numRowsTotal"] for x in p["stateOperators"]) for p in query.recentProgress)
+
+
+def test_chained_windows_equal_batch_and_hold_less_state(spark, posts, slices, tmp_path):
+    arrange(slices, tmp_path / "in", ORDERED)
+    tags = hashtag_rows(jobs.good(source(spark, tmp_path / "in"), TWEETS_TOPIC))
+    held, newest = {}, posts.agg(F.max("timestamp")).first()[0]
+    for name, rows, mode in (("chained", windows.chained_hashtags(tags), "append"),
+                             ("plain", windows.windowed_hashtags(tags), "update")):
+        table = EpochTable.named(spark, str(tmp_path), "hashtag_counts", folder=name)
+        query = jobs.start_merge(rows, table, mode, NOW)
+        jobs.finish([query])
+        held[name] = state_sizes(query)
+        if name == "chained":
+            passed = F.col("window_end") <= F.lit(newest) - F.expr("INTERVAL 20 MINUTES")
+            want = windows.windowed_hashtags(hashtag_rows(posts)).withColumnRenamed(
+                "timestamp", "last_updated").filter(passed)
+            assert tuple(compare.parity(table.current(), want).first())[2:] == (0, 0)
+            names = state_operators(spark, table.checkpoint).select("operatorName").distinct()
+            assert names.count() == 1 and state_operators(
+                spark, table.checkpoint).select("operatorId").distinct().count() == 2
+        else:
+            ends = held_windows(spark, table.checkpoint).agg(F.min("window_end")).first()[0]
+            assert ends > newest - timedelta(minutes=20)
+    assert held["chained"] < held["plain"]
+    batch = windows.chained_hashtags(hashtag_rows(posts))
+    assert tuple(compare.parity(batch, windows.windowed_hashtags(hashtag_rows(posts)))
+                 .first())[2:] == (0, 0)
+
+
+def test_windows_of_a_row(spark, posts):
+    spread = windows.windows_of(posts).groupBy("username", "window_end").agg(
+        F.count(F.lit(1)).alias("tweet_count"))
+    want = windows.windowed_posts(posts).select("username", "window_end", "tweet_count")
+    assert tuple(compare.parity(spread, want).first())[2:] == (0, 0)
+
+
+def test_late_posts_of_an_epoch_that_runs_again(spark, posts, root):
+    clock = Clock(spark, f"{root}/clock")
+    assert clock.before(0) is None
+    clock.set(0, at(10))
+    clock.set(1, at(50))
+    clock.set(2, at(55))
+    for _ in range(2):  # the last epoch again: the one before it is still known
+        assert clock.before(2) == at(50).replace(tzinfo=None)
+        clock.set(2, at(55))
+    assert len(os.listdir(f"{root}/clock")) <= 3
+    rows = spark.createDataFrame([(1, at(29, 59)), (2, at(30)), (3, at(14))], "tweet_id long, timestamp timestamp")
+    found = late_posts(rows, at(50))
+    assert rows_of(found, "tweet_id", "window_end") == sorted(
+        [(1, at(30).replace(tzinfo=None))]
+        + [(3, at(m).replace(tzinfo=None)) for m in (15, 20, 25)], key=repr)
+    assert late_posts(rows, None).count() == 0
+
+
+def test_queries_have_pools_of_their_own(spark, slices, tmp_path):
+    arrange(slices, tmp_path / "in", ORDERED)
+    queries = jobs.start_analysis(spark, str(tmp_path / "t"), source(spark, tmp_path / "in"),
+                                  "update", NOW, NOW)
+    jobs.finish(queries.values())
+    context = spark.sparkContext
+    assert context.getLocalProperty("spark.scheduler.pool") is None
+    pools = {name for name in queries if context._jsc.sc().getPoolForName(name).isDefined()}
+    assert pools >= set(queries)
+
+
+def test_the_first_failure_stops_all_queries(spark, slices, tmp_path):
+    arrange(slices, tmp_path / "in", ORDERED)
+    rows = jobs.good(source(spark, tmp_path / "in"), TWEETS_TOPIC)
+
+    def broken(batch, epoch):
+        raise ValueError("broken")
+
+    running = jobs.start(rows, lambda batch, epoch: None, str(tmp_path / "a"), name="running",
+                         trigger={"processingTime": "1 second"})
+    failing = jobs.start(rows, broken, str(tmp_path / "b"), name="failing", trigger=NOW)
+    with pytest.raises(StreamingQueryException):
+        jobs.finish([failing, running])
+    assert not running.isActive and not failing.isActive
