@@ -29,6 +29,7 @@ from contextlib import contextmanager
 from dataclasses import replace
 from datetime import date
 from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -47,6 +48,9 @@ ADAPTIVE = "spark.sql.adaptive.enabled"
 # How a table can be written: its own policy, or that of another job.
 KINDS = ({}, {"policy": "increment"}, {"policy": "increment", "latest": True}, {"complete": True})
 
+# Key bounds that a batch's reading is narrowed by; with more of them it reads whole parts.
+MOST_BOUNDS = 100
+
 # Epochs between two foldings by the writing job.
 UPKEEP_EPOCHS = 60
 
@@ -283,8 +287,16 @@ class EpochTable:
                 # with most of the rows is still split. Rows are counted after the
                 # shuffle: below it an empty batch would drop the count with the plan.
                 parted = rows.withColumn(self.part, self._part_of()).hint("rebalance", self.part)
-                (parted.observe(seen, count).write.mode("overwrite").partitionBy(self.part)
-                 .parquet(folder))
+                options = {}
+                if self.part == RANGE:
+                    # Row groups of few neighbouring keys, which their bounds and filters rule out.
+                    key = self.spec.keys[0]
+                    parted = parted.sortWithinPartitions(self.part, key)
+                    if part == "base":
+                        options = {f"parquet.bloom.filter.enabled#{key}": "true",
+                                   "parquet.bloom.filter.adaptive.enabled": "true"}
+                (parted.observe(seen, count).write.mode("overwrite").options(**options)
+                 .partitionBy(self.part).parquet(folder))
         stored = seen.get["rows"]
         if not stored:
             self._delete([folder])
@@ -308,13 +320,24 @@ class EpochTable:
     def _new_rows(self, rows: DataFrame, epoch: int, order: tuple[str, ...]) -> DataFrame:
         """First rows of the keys that earlier epochs lack.
 
-        Only the key ranges that occur in the batch are read, and of them only
-        the keys. The driver learns the ranges, as many as the batch touches.
+        Only the parts that occur in the batch are read, of them only the keys, and
+        of these only row groups that can hold one between the batch's least and
+        greatest key there. The driver learns these bounds, a row for each part that
+        the batch touches.
         """
         fresh = merge.first_per_key(rows, self.spec.keys, order)
-        touched = {str(row[0]) for row in rows.select(self._part_of()).distinct().collect()}
-        plan = self._plan(before=epoch, wanted=touched.__contains__)
-        return merge.unseen(self._content(*plan), fresh, self.spec) if any(plan) else fresh
+        key = self.spec.keys[0]
+        bounds = {str(row[0]): row[1:] for row in rows.groupBy(self._part_of()).agg(
+            F.min(key), F.max(key)).collect()}
+        plan = self._plan(before=epoch, wanted=bounds.__contains__)
+        if not any(plan):
+            return fresh
+        stored = self._content(*plan)
+        if self.part == RANGE and len(bounds) <= MOST_BOUNDS:
+            stored = stored.filter(reduce(or_, [
+                F.col(key) == low if low == high else F.col(key).between(low, high)
+                for low, high in bounds.values()]))
+        return merge.unseen(stored, fresh, self.spec)
 
     def write(self, rows: DataFrame, epoch: int, order: tuple[str, ...] = (),
               unique: bool = False) -> int:

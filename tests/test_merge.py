@@ -5,6 +5,7 @@ import random
 from dataclasses import replace
 from datetime import date
 
+import pyarrow.parquet as pq
 import pytest
 from conftest import at, rows_of
 from hypothesis import HealthCheck, given, settings
@@ -171,6 +172,31 @@ def test_a_batch_reads_only_the_key_ranges_it_touches(spark, root):
     assert table.current().count() == 18
 
 
+def test_old_ids_read_few_row_groups(spark, root):
+    """One old id in a batch: of its part only the row groups that can hold it are read."""
+    table = EpochTable.named(spark, root, "tweets")
+    table.write(spark.range(0, 400_000, 2).selectExpr(
+        "id AS tweet_id", "'u' AS username", "'a' AS tweet_text", "0 AS retweets", "0 AS likes",
+        "timestamp_seconds(id) AS timestamp"), 0, FIRST)
+    spark.conf.set("parquet.block.size", "200000")
+    hadoop = spark._jsc.hadoopConfiguration()
+    hadoop.set("parquet.block.size", "200000")
+    try:
+        table.compact()
+    finally:
+        hadoop.unset("parquet.block.size")
+        spark.conf.unset("parquet.block.size")
+    files = table.current().inputFiles()
+    groups = sum(pq.ParquetFile(f.removeprefix("file://")).num_row_groups for f in files)
+    assert groups > 4
+    batch = [(1234, "again", at(0)), (1235, "new", at(0)), (10**9, "b", at(1))]
+    fresh = table._new_rows(table._shaped(tweets(spark, batch)), 1, FIRST)
+    plan = fresh._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters" in plan and "GreaterThanOrEqual(tweet_id,1234)" in plan
+    assert sorted(r.tweet_id for r in fresh.collect()) == [1235, 10**9]
+    assert table.write(tweets(spark, batch), 1, FIRST) == 2
+
+
 def test_upkeep_bounds_the_folders(spark, root):
     for name, rows in (("tweets", lambda n: tweets(spark, [(n, "a", at(1))])),
                        ("hashtag_counts", lambda n: counts(spark, [("a", n, at(5), at(1))]))):
