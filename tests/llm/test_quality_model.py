@@ -1,9 +1,12 @@
 from __future__ import annotations
 
+import math
 import zlib
 
+import zstandard
 from cases import DATA, TEXTS, documents
 
+from postflow.llm import quality_model
 from postflow.llm.quality_model import fitted, keep_good, quality_scores, sample, scores, trained
 
 
@@ -92,3 +95,27 @@ def test_texts_that_cannot_be_trained_on():
     assert fitted([(p, q, "", 2) for p in (0, 1) for q in (0, 1)]).constant == 0.5
     same = fitted([(i % 2, q, f"{q}" * 900, 60) for q in (0, 1) for i in range(60)])
     assert same.constant is None
+
+
+def test_a_score_from_its_parts(spark):
+    """Scores computed anew from the model's dictionaries, slope and shift, byte by byte."""
+    docs = spark.read.parquet(str(DATA / "sf0.01/documents.parquet"))
+    model = quality_model.trained(docs, spark.read.parquet(str(DATA / "sf0.01/labels.parquet")))
+    packers = []
+    for data in (model.good, model.bad):
+        held = zstandard.ZstdCompressionDict(data)
+        held.precompute_compress(level=quality_model.LEVEL)
+        packers.append(zstandard.ZstdCompressor(
+            level=quality_model.LEVEL, dict_data=held, write_content_size=False,
+            write_checksum=False, write_dict_id=False))
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    for row in quality_model.quality_scores(docs, model).collect():
+        data, sizes = texts[row.doc_id].encode(), [0, 0]
+        for at in range(0, len(data), quality_model.BLOCK):
+            for side, packer in enumerate(packers):
+                sizes[side] += len(packer.compress(data[at:at + quality_model.BLOCK]))
+        prior = quality_model.PRIOR_BYTES
+        x = (sizes[0] - sizes[1] + model.usual * prior) / (len(data) + prior)
+        z = max(-30.0, min(30.0, model.slope * x + model.shift))
+        assert abs(row.score - 1 / (1 + math.exp(-z))) < 1e-9
+        assert row.predicted == int(row.score >= 0.7)

@@ -2,8 +2,13 @@ from __future__ import annotations
 
 import random
 import re
+from collections import Counter
+from itertools import combinations
+from math import sqrt
 
-from postflow.llm.url_rules import RULES, held_out_precision, url_filter
+from postflow.llm.url_rules import (
+    LEAST_CONFIDENCE, LEAST_LIFT, LEAST_PAGES, RULES, SIGNIFICANCE, held_out_precision,
+    mined_rules, url_filter)
 
 URLS = ["http://a.org/x", "https://EXAMPLE.org/es/1", "http://www.example.org/en/17?x=1",
         "http://b.com/fr/2", "http://b.com/de/2#t", "http://com/de/", "http://xcom/de/", "no scheme",
@@ -90,3 +95,39 @@ def test_precision_on_the_held_out_half(spark):
 
 def test_empty_tables(spark):
     assert url_filter(pages(spark, []), labels(spark, [])).count() == 0
+
+
+def plain_rules(pages):
+    """All token sets of (tokens, bad) pages that make a rule, by enumeration."""
+    total = len(pages)
+    share = sum(bad for _, bad in pages) / total
+    counts = Counter()
+    for tokens, bad in pages:
+        for size in range(1, len(tokens) + 1):
+            for rule in combinations(sorted(tokens), size):
+                counts[rule, bad] += 1
+    rules = set()
+    for rule in {r for r, _ in counts}:
+        bad, n = counts[rule, True], counts[rule, True] + counts[rule, False]
+        if bad < LEAST_PAGES or bad / n < LEAST_CONFIDENCE or bad / n < LEAST_LIFT * share:
+            continue
+        p, z = bad / n, SIGNIFICANCE
+        limit = (p + z * z / (2 * n) - z * sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+        if limit > share:
+            rules.add(rule)
+    return {r for r in rules if not any(set(o) < set(r) for o in rules)}
+
+
+def test_mined_rules_equal_enumeration(spark):
+    """The pruned rules of 400 pages, of which some combinations are bad."""
+    draw = random.Random(8)
+    pages = []
+    for _ in range(400):
+        tokens = sorted({f"{kind}{draw.randrange(n)}" for kind, n in (("a", 3), ("b", 4), ("c", 2), ("d", 6))})
+        odds = 0.9 if {"a1", "b2"} <= set(tokens) or "d5" in tokens else 0.05
+        pages.append((tokens, draw.random() < odds))
+    known = spark.createDataFrame([(i, t, b) for i, (t, b) in enumerate(pages)],
+                                  "doc_id long, tokens array<string>, bad boolean")
+    want = plain_rules(pages)
+    assert {tuple(r.rule) for r in mined_rules(known).collect()} == want
+    assert ("a1", "b2") in want and ("d5",) in want
