@@ -302,13 +302,13 @@ def searched(segments: DataFrame, length: int, shards: int) -> DataFrame:
         last, names, bodies, copies, answers = None, [], [], [], []
 
         def solved() -> pa.RecordBatch:
-            rows = [(*name, begin, begin + a, begin + b)
-                    for (name, begin, which), spans in ((n, intervals[n[2]]) for n in names)
-                    for a, b in spans]
-            columns = list(zip(*rows)) or [()] * 5
+            intervals = intervals_in(bodies, copies, length)
+            rows = [(*name, begin + low, begin + high) for name, begin, which in names
+                    for low, high in intervals[which]]
+            columns = list(zip(*rows)) or [()] * 4
             return pa.RecordBatch.from_arrays(
                 [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()),
-                 pa.array(columns[3], pa.int32()), pa.array(columns[4], pa.int32())],
+                 pa.array(columns[2], pa.int32()), pa.array(columns[3], pa.int32())],
                 ["minimizer", "content", "low", "high"])
 
         for batch in batches:
@@ -316,7 +316,6 @@ def searched(segments: DataFrame, length: int, shards: int) -> DataFrame:
             for shard, minimizer, content, begin, times, body in zip(*columns):
                 if shard != last:
                     if bodies:
-                        intervals = intervals_in(bodies, copies, length)
                         yield solved()
                     last, names, bodies, copies = shard, [], [], []
                 name = (minimizer, content)
@@ -331,7 +330,6 @@ def searched(segments: DataFrame, length: int, shards: int) -> DataFrame:
                     copies.append(times)
                 names.append((name, begin, len(bodies) - 1))
         if bodies:
-            intervals = intervals_in(bodies, copies, length)
             yield solved()
 
     return segments.repartitionById(shards, F.col("shard")).sortWithinPartitions(
