@@ -1,4 +1,4 @@
-"""Command line: ``python -m postflow <produce|stream|load|report|compare|results|sql|compact> ...``."""
+"""Command line: ``python -m postflow <command> ...``, the commands being those of ``COMMANDS``."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 
 from postflow.operators.posts import message_rows
+from postflow.plans import catalog as published
 from postflow.plans import metrics, reports
 from postflow.plans.results import results_parity, store_results
 from postflow.plans.views import register_views, stored_tables
@@ -25,7 +26,7 @@ def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="postflow", description=__doc__)
     top.add_argument("command",
                      choices=("produce", "stream", "load", "report", "compare", "results", "sql",
-                              "compact"))
+                              "compact", "catalog"))
     top.add_argument("--root", help="folder of the stored tables and of rejects")
     top.add_argument("--brokers", help="Kafka bootstrap servers")
     top.add_argument("--topics", help="folder of topic files, in place of Kafka")
@@ -43,6 +44,8 @@ def parser() -> argparse.ArgumentParser:
     top.add_argument("--query", help="SQL text over the stored tables (sql)")
     top.add_argument("--out", help="folder for the result, as Parquet (sql, compare)")
     top.add_argument("--expire", action="store_true", help="delete what is folded (compact)")
+    top.add_argument("--database", help="database of the catalog that shows the stored tables "
+                     "(catalog; stream, load and compact keep it fresh)")
     top.add_argument("--master", help="Spark master, if not set elsewhere")
     return top
 
@@ -98,6 +101,7 @@ def watch(spark: SparkSession, args, start) -> None:
         print(progress.line())
         if time.monotonic() - logged >= LOG_SECONDS:
             flush()
+            publish(spark, args)
             logged = time.monotonic()
 
     queries = []
@@ -114,6 +118,14 @@ def watch(spark: SparkSession, args, start) -> None:
         flush()
         metrics.append_metrics(spark, progress.drain(), f"{args.root}/performance_metrics")
         spark.streams.removeListener(progress)
+    if args.database:  # the queries have ended, so all they stored can be folded and shown
+        compact(spark, args)
+
+
+def publish(spark: SparkSession, args) -> None:
+    """What is folded by now, into the catalog, if a database is named."""
+    if args.database:
+        published.publish_all(spark, args.root, args.database)
 
 
 def stream(spark: SparkSession, args) -> None:
@@ -186,14 +198,24 @@ def sql(spark: SparkSession, args) -> None:
 
 
 def compact(spark: SparkSession, args) -> None:
-    for table in stored_tables(spark, args.root).values():
+    tables = stored_tables(spark, args.root).values()
+    for table in tables:
         table.compact()
-        if args.expire:
+    publish(spark, args)  # before the files that the catalog pointed to are deleted
+    if args.expire:
+        for table in tables:
             table.expire()
 
 
+def catalog(spark: SparkSession, args) -> None:
+    """Show all that is stored in the catalog, folded first."""
+    if not args.database:
+        raise SystemExit("catalog needs --database")
+    compact(spark, args)
+
+
 COMMANDS = {"produce": produce, "stream": stream, "load": load, "report": report,
-            "compare": compare, "results": results, "sql": sql, "compact": compact}
+            "compare": compare, "results": results, "sql": sql, "compact": compact, "catalog": catalog}
 
 
 def main(argv: list[str] | None = None) -> None:

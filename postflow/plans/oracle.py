@@ -340,6 +340,8 @@ WHERE b.mean > 0 AND s.mean > 0""",
  JOIN ends USING (slice) WHERE window_end <= later - INTERVAL 20 MINUTE"""),
     "stream_chained_windows": _with(HASHTAG_WINDOWS, f"""{STORED_HASHTAGS}
  WHERE window_end <= (SELECT max(timestamp) FROM posts) - INTERVAL 20 MINUTE"""),
+    "catalog_hashtags": _with(HASHTAG_WINDOWS, """SELECT CAST(window_end AS DATE) AS day, hashtag,
+ count(*) AS n_windows, CAST(sum(count) AS BIGINT) AS n_tags FROM hw GROUP BY ALL"""),
     "stream_state_rows": _with(USER_WINDOWS, """SELECT window_end, count(*) AS n_keys FROM uw
  WHERE window_end > (SELECT max(timestamp) FROM posts) - INTERVAL 20 MINUTE GROUP BY window_end"""),
     "stream_republish_once": _with(SLICED, f"""SELECT 'user_windows_topic' AS topic,

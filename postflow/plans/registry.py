@@ -14,7 +14,7 @@ from postflow.functions.text import (
 from postflow.operators import compare as matching
 from postflow.operators import merge, windows
 from postflow.operators.posts import activity_rows, hashtag_rows, message_rows, window_messages
-from postflow.plans import metrics, reports, results
+from postflow.plans import catalog, metrics, reports, results
 from postflow.plans.views import register_views
 from postflow.schemas import (
     HASHTAGS_TOPIC, MERGES, TWEETS_TOPIC, USER_ACTIVITY_TOPIC, USER_WINDOWS_TOPIC, MergeSpec)
@@ -675,6 +675,27 @@ def stream_shared_users(spark, sf):
     return without_zone(table.current())
 
 
+def catalog_hashtags(spark, sf):
+    """A stored table as the catalog shows it by day: published empty, after a first folding and
+    after a second one, which moves the days that got news."""
+    root = new_folder(spark, "tables")
+    table = EpochTable.named(spark, root, "hashtag_counts", "increment", latest=True)
+    database = f"stored_{root.split('-')[-1].split('/')[0]}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{root}/_database'")
+    name = catalog.table_name(database, "hashtag_counts")
+    posts = posts_of(spark, sf)
+    slice_of = F.pmod(F.xxhash64("tweet_id"), F.lit(BATCHES))
+    for epoch in range(BATCHES):
+        catalog.publish(table, name)
+        rows = windows.windowed_hashtags(hashtag_rows(posts.filter(slice_of == epoch)))
+        table.write(rows, epoch, unique=True)
+        table.compact()
+    catalog.publish(table, name)
+    table.expire()
+    return spark.table(name).groupBy("day", "hashtag").agg(
+        F.count(F.lit(1)).alias("n_windows"), F.sum("count").alias("n_tags"))
+
+
 class Broken(RuntimeError):
     """What a sink raises that is meant to fail."""
 
@@ -845,5 +866,5 @@ QUERIES = {query.__name__: query for query in (
     stream_analysis, stream_loads, stream_shared_hashtags, stream_shared_users,
     stream_batch_parity, stream_rejects, stored_results,
     stream_metrics_keyed, stream_observed, stream_late_rows,
-    stream_chained_windows, stream_state_rows, stream_republish_once,
+    stream_chained_windows, stream_state_rows, stream_republish_once, catalog_hashtags,
 )}

@@ -185,6 +185,16 @@ class EpochTable:
         return {part: f"{self.data}/base/epoch={epoch}/{self.part}={part}"
                 for part, epoch in index.items() if wanted is None or wanted(part)}
 
+    def folded(self) -> tuple[int, dict[str, str]]:
+        """The newest finished base (-1 if there is none), and where each part lies as of it."""
+        base = self._base()
+        return base, self._stored(base)
+
+    def folded_as_of(self, base: int) -> dict[str, str]:
+        """Where each part lay as of an earlier base; nothing if that base is gone."""
+        mark = f"{self.data}/base/epoch={base}/{PARTS}"
+        return self._stored(base) if base >= 0 and path_exists(self.spark, mark) else {}
+
     def _epochs(self, after: int = -1) -> dict[int, str]:
         """Finished epochs of the log beyond ``after``, oldest first."""
         found = {}
