@@ -85,6 +85,23 @@ def test_nothing_is_lost(spark, post_csv, root, capsys, mode):
     assert not glob.glob(f"{tables}/*/*/log/epoch=*")
 
 
+def test_results_copy_only_new_posts(spark, post_csv, root, capsys):
+    topics, tables = f"{root}/topics", f"{root}/tables"
+    main(["produce", "--csv", post_csv, "--topics", topics])
+    main(["stream", "--once", "--topics", topics, "--root", tables])
+    main(["results", "--root", tables])
+    files = set(glob.glob(f"{tables}/raw_tweets/part-*"))
+    send_seeds(spark, topics)
+    main(["stream", "--once", "--topics", topics, "--root", tables])
+    for _ in range(2):
+        main(["results", "--root", tables])
+        copied = spark.read.parquet(f"{tables}/raw_tweets")
+        assert (copied.count(), copied.select("tweet_id").distinct().count()) == (85, 85)
+    added = set(glob.glob(f"{tables}/raw_tweets/part-*")) - files
+    assert files < files | added and spark.read.parquet(*added).count() == 5
+    assert "|83|83|0|0|" in capsys.readouterr().out
+
+
 def test_sql_leaves_the_catalog_as_it_was(spark, post_csv, root, capsys):
     """Views of stored tables hide no catalog table of the same name, in this session or later."""
     topics, tables = f"{root}/topics", f"{root}/tables"
