@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from postflow.operators import compare, windows
 from postflow.operators.posts import activity_rows, hashtag_rows, message_rows
-from postflow.plans import metrics, reports
+from postflow.plans import metrics, registry, reports
 from postflow.schemas import HASHTAGS_TOPIC, TWEETS_TOPIC, USER_ACTIVITY_TOPIC
 from postflow.sources.messages import topic_stream
 from postflow.sources.posts import event_posts
@@ -350,3 +350,28 @@ def test_the_first_failure_stops_all_queries(spark, slices, tmp_path):
     with pytest.raises(StreamingQueryException):
         jobs.finish([failing, running])
     assert not running.isActive and not failing.isActive
+
+
+def event_folder(spark, root, minutes):
+    """An event table with a post at each of these minutes."""
+    rows = [(number, minute, number % 7) for number, minute in enumerate(minutes)]
+    start = "TIMESTAMP_NTZ'2024-01-01 00:00:00'"
+    (spark.createDataFrame(rows, "event_id long, minute long, user_id long").selectExpr(
+        "event_id", f"{start} + make_dt_interval(0, 0, minute) AS ts", "user_id",
+        "'click' AS event_type", "event_id * 1.5D AS value", """'{"k": "5"}' AS props""")
+     .write.parquet(f"{root}/events.parquet"))
+    return root
+
+
+def test_files_of_topics_grow_in_number_and_not_in_size(spark, root, monkeypatch):
+    """A task sorts about ``FILE_MESSAGES``, and the stream still reads them in two batches."""
+    monkeypatch.setattr(registry, "FILE_MESSAGES", 100, raising=False)
+    folder = registry.topic_files(spark, event_folder(spark, root, range(1000)))
+    written = spark.read.schema("value binary, topic string").parquet(folder)
+    sizes = written.groupBy(F.regexp_extract(F.input_file_name(), "part-([0-9]+)", 1)).count()
+    assert written.count() == 4000
+    assert sizes.count() == 40 and sizes.agg(F.max("count")).first()[0] <= 150
+    posts = jobs.good(registry.replay(spark, folder), TWEETS_TOPIC)
+    table = EpochTable.named(spark, f"{root}/tables", "tweets")
+    jobs.finish([jobs.start_merge(posts, table, trigger=NOW, order=("timestamp",))])
+    assert table.next_epoch() == 2 and table.current().count() == 1000
