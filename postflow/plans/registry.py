@@ -19,7 +19,8 @@ from postflow.operators.posts import activity_rows, hashtag_rows, message_rows,
 from postflow.plans import catalog, metrics, reports, results
 from postflow.plans.views import register_views
 from postflow.schemas import (
-    HASHTAGS_TOPIC, MERGES, TWEETS_TOPIC, USER_ACTIVITY_TOPIC, USER_WINDOWS_TOPIC, MergeSpec)
+    HASHTAGS_TOPIC, MERGES, MESSAGES, TWEETS_TOPIC, USER_ACTIVITY_TOPIC, USER_WINDOWS_TOPIC,
+    MergeSpec)
 from postflow.session import new_folder
 from postflow.sources.messages import accepted, once, parse, rejected, topic_stream
 from postflow.sources.posts import csv_posts, event_posts, typed_posts
@@ -568,12 +569,27 @@ def timed_files(spark: SparkSession, sf: str, order=range(SLICES)) -> str:
     first, last = posts.agg(F.min(seconds), F.max(seconds)).first()
     width = (last - first) // SLICES + 1
     slice_of = F.floor((seconds - first) / width)
-    for number in order:
+    # A post makes a message, its activity another, and so does each of its tags.
+    messages = F.sum(F.coalesce(hashtag_count("text"), F.lit(0)) + 2)
+    largest = posts.groupBy(slice_of.alias("slice")).agg(messages.alias("n")).agg(F.max("n"))
+    files = file_count(largest.first()[0], FILES // 2)
+    for done, number in enumerate(order, 1):
         part = posts.filter(slice_of == number)
-        write_topics(message_rows(part, F.col("timestamp")), folder, FILES // 2)
+        write_topics(message_rows(part, F.col("timestamp")), folder, files)
+        fill_topics(spark, folder, done * files)
     return folder
 
 
+def fill_topics(spark: SparkSession, folder: str, files: int) -> None:
+    """Empty files where a topic has fewer than ``files``: a micro-batch that reads on into the
+    next slice moves the watermark past posts of that slice which come after it."""
+    found = files_by_topic(spark, folder)
+    empty = spark.createDataFrame([], "value binary")
+    for topic in MESSAGES:
+        for _ in range(files - found[topic]):
+            empty.write.mode("append").parquet(f"{folder}/topic={topic}")
+
+
 def stream_update_merge_hashtags(spark, sf):
     """A micro-batch per slice of time: windows at the slices' edges are overwritten."""
     posts = jobs.good(replay(spark, timed_files(spark, sf), SLICES), TWEETS_TOPIC)

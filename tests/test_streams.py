@@ -375,3 +375,17 @@ def test_files_of_topics_grow_in_number_and_not_in_size(spark, root, monkeypatch
     table = EpochTable.named(spark, f"{root}/tables", "tweets")
     jobs.finish([jobs.start_merge(posts, table, trigger=NOW, order=("timestamp",))])
     assert table.next_epoch() == 2 and table.current().count() == 1000
+
+
+def test_slices_of_time_have_equally_many_files(spark, root, monkeypatch):
+    """Also one with a single post: each micro-batch is a slice, so no post comes too late."""
+    monkeypatch.setattr(registry, "FILE_MESSAGES", 100, raising=False)
+    minutes = [*range(250), 300, *range(500, 1000)]
+    folder = event_folder(spark, root, minutes)
+    found = spark.read.schema("value binary, topic string").parquet(
+        registry.timed_files(spark, folder)).inputFiles()
+    for topic in (TWEETS_TOPIC, HASHTAGS_TOPIC, USER_ACTIVITY_TOPIC):
+        assert sum(f"/topic={topic}/" in path for path in found) == 10 * registry.SLICES
+    stream = registry.stream_update_merge_users(spark, folder)
+    batch = registry.without_zone(batch_users(registry.posts_of(spark, folder)))
+    assert rows_of(stream) == rows_of(batch, *stream.columns)
