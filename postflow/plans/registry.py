@@ -621,12 +621,10 @@ def stream_republish(spark, sf):
         windows.windowed_posts(jobs.good(source, TWEETS_TOPIC)), table, "update", NOW,
         send=jobs.message_writer("parquet", path=out))])
     sent = spark.read.schema("value string, topic string").parquet(out)
-    field = {name: F.get_json_object("value", f"$.{name}")
-             for name in ("username", "window_end", "tweet_count")}
+    fields = F.json_tuple("value", "username", "window_end", "tweet_count").alias("u", "w", "n")
     # A window's count only grows, so the greatest is the last.
-    return sent.groupBy("topic", field["username"].alias("u"), field["window_end"].alias("w")).agg(
-        F.max_by("value", field["tweet_count"].cast("long")).alias("value")).select(
-        "topic", "value")
+    return sent.select("topic", "value", fields).groupBy("topic", "u", "w").agg(
+        F.max_by("value", F.col("n").cast("long")).alias("value")).select("topic", "value")
 
 
 def stream_rejects(spark, sf):
