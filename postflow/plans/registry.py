@@ -34,8 +34,9 @@ NOW = {"availableNow": True}
 BATCHES, EPOCHS = 2, 3
 # Files per topic that the streams read, or a multiple of them; half of them make a micro-batch.
 FILES = 4
-# Messages of all topics that the task which writes files sorts at most, about.
-FILE_MESSAGES = 500_000
+# Messages of all topics that go to one file of each, about, while there are no more than so many
+# files per topic: a shuffle into up to 200 parts streams its rows, one into more holds them.
+FILE_MESSAGES, MOST_FILES = 500_000, 200
 # Slices of the time span, for streams in time order.
 SLICES = 4
 
@@ -491,15 +492,23 @@ def processed_results(spark, sf):
 # Streams ---------------------------------------------------------------------
 
 def file_count(messages: int, least: int = FILES) -> int:
-    """Files per topic for that many messages: a multiple of ``least``."""
-    return least * max(1, ceil(messages / (least * FILE_MESSAGES)))
+    """Files per topic for that many messages: a multiple of ``least``, ``MOST_FILES`` at most."""
+    return least * max(1, min(MOST_FILES // least, ceil(messages / (least * FILE_MESSAGES))))
 
 
 def write_topics(messages: DataFrame, folder: str, files: int) -> None:
     """Messages as transport rows, one folder per topic with so many more files, or fewer if there
-    are fewer messages."""
-    (messages.select("topic", F.col("value").cast("binary").alias("value"))
-     .repartition(files).write.mode("append").partitionBy("topic").parquet(folder))
+    are fewer messages.
+
+    No task sorts: rows are dealt by their number, as ``repartition(files)`` sorts a scan task's
+    messages first, and topics are written one after the other, as ``partitionBy`` sorts by topic.
+    """
+    dealt = F.pmod(F.monotonically_increasing_id(), F.lit(files)).cast("int")
+    for topic in MESSAGES:
+        (messages.filter(F.col("topic") == topic)
+         .select(F.col("value").cast("binary").alias("value"), dealt.alias("file"))
+         .repartitionById(files, "file").drop("file")
+         .write.mode("append").parquet(f"{folder}/topic={topic}"))
 
 
 def topic_files(spark: SparkSession, sf: str, messages: DataFrame | None = None) -> str:

@@ -389,3 +389,21 @@ def test_slices_of_time_have_equally_many_files(spark, root, monkeypatch):
     stream = registry.stream_update_merge_users(spark, folder)
     batch = registry.without_zone(batch_users(registry.posts_of(spark, folder)))
     assert rows_of(stream) == rows_of(batch, *stream.columns)
+
+
+def test_files_of_topics_are_so_many_at_most_and_even(spark, root, monkeypatch):
+    """A shuffle into more parts holds a task's messages in memory. All messages are written, and
+    the stream still reads them in two batches."""
+    monkeypatch.setattr(registry, "FILE_MESSAGES", 10)
+    monkeypatch.setattr(registry, "MOST_FILES", 8, raising=False)
+    folder = registry.topic_files(spark, event_folder(spark, root, range(1000)))
+    for topic, rows in ((TWEETS_TOPIC, 1000), (HASHTAGS_TOPIC, 2000), (USER_ACTIVITY_TOPIC, 1000)):
+        sizes = spark.read.parquet(f"{folder}/topic={topic}").groupBy(F.input_file_name()).count()
+        found = [row["count"] for row in sizes.collect()]
+        assert len(found) == 8 and sum(found) == rows and max(found) - min(found) <= 8
+    posts = jobs.good(registry.replay(spark, folder), TWEETS_TOPIC)
+    table = EpochTable.named(spark, f"{root}/tables", "tweets")
+    jobs.finish([jobs.start_merge(posts, table, trigger=NOW, order=("timestamp",))])
+    assert table.next_epoch() == 2 and table.current().count() == 1000
+    monkeypatch.undo()
+    assert registry.file_count(10**9) <= 200 >= registry.file_count(10**9, 2)
