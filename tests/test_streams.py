@@ -13,10 +13,10 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from postflow.operators import compare, windows
-from postflow.operators.posts import activity_rows, hashtag_rows, message_rows
+from postflow.operators.posts import activity_rows, hashtag_rows, message_rows, window_messages
 from postflow.plans import metrics, registry, reports
 from postflow.schemas import HASHTAGS_TOPIC, TWEETS_TOPIC, USER_ACTIVITY_TOPIC
-from postflow.sources.messages import topic_stream
+from postflow.sources.messages import once, topic_stream
 from postflow.sources.posts import event_posts
 from postflow.streaming import jobs
 from postflow.streaming.late import Clock, late_posts
@@ -407,3 +407,20 @@ def test_files_of_topics_are_so_many_at_most_and_even(spark, root, monkeypatch):
     assert table.next_epoch() == 2 and table.current().count() == 1000
     monkeypatch.undo()
     assert registry.file_count(10**9) <= 200 >= registry.file_count(10**9, 2)
+
+
+def test_a_reader_deals_only_ids_and_values(spark, root, monkeypatch):
+    """The other columns of transport rows would go through the shuffle by id; each message still
+    comes once, and the last of each window is among them."""
+    dealt = []
+
+    def noted(messages):
+        dealt.append(messages.columns)
+        return once(messages)
+
+    monkeypatch.setattr(registry, "once", noted)
+    folder = event_folder(spark, root, range(0, 400, 4))
+    read = rows_of(registry.stream_republish_once(spark, folder), "topic", "value")
+    assert dealt == [["key", "value"]]
+    assert len(read) == len(set(read))
+    assert set(rows_of(window_messages(registry.user_windows_of(spark, folder)))) <= set(read)
